@@ -1,0 +1,66 @@
+"""Joins whose left side may be skewed on its key."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 1 / 256
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows.
+
+    At most ``1 / share`` keys can do so, whatever the data: the result is safe to
+    broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    return counts.filter(F.col("_n") > F.lit(share) * total.scalar()).select(*keys)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    spread_by: str,
+    *,
+    share: float = HOT_SHARE,
+    salts: int = 256,
+) -> DataFrame:
+    """Equi-join that spreads the hot keys of ``left`` over ``salts`` tasks.
+
+    Only the matching rows of ``right`` are repeated. ``how`` may be any join that keeps
+    or tests left rows: inner, left, left_semi, left_anti. Rows with a null key never
+    match, and are kept away from the shuffle.
+    """
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    hot = F.broadcast(hot_keys(left.filter(present), keys, share).withColumn("_hot", F.lit(True)))
+    left_salted = (
+        left.filter(present)
+        .join(hot, list(keys), "left")
+        .withColumn(
+            "_salt",
+            F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(
+                F.lit(0)
+            ),
+        )
+        .drop("_hot")
+    )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    right_salted = (
+        right.join(hot, list(keys), "left")
+        .withColumn("_salt", F.explode(copies).cast("bigint"))
+        .drop("_hot")
+    )
+    joined = left_salted.join(right_salted, [*keys, "_salt"], how).drop("_salt")
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(left.filter(~present), allowMissingColumns=True)
