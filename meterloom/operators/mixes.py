@@ -196,5 +196,6 @@ def load_mix(
     if max_samples is None:
         return seeded_shuffle(within_length(members, min_chars, max_chars), seed=seed)
     share = per_source_share(max_samples, entries.count())
+    # Equal shares add up to no more than max_samples, so no further cap is needed (L3).
     capped = cap_per_source(members, share, min_chars=min_chars, max_chars=max_chars)
-    return take_shuffled(capped, max_samples, seed=seed)
+    return seeded_shuffle(capped, seed=seed)

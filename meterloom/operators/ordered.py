@@ -92,8 +92,8 @@ def take_first(
 ) -> DataFrame:
     """Exactly the first ``n`` rows of every group, in ``order``, for an ``n`` of any size.
 
-    ``block`` must rise with ``order``. Blocks that fit whole pass without being sorted;
-    rows are ranked only inside the one block per group where the cut falls.
+    ``block`` must rise with ``order``. Block counts, from a scan of the key columns, tell
+    which blocks the cut leaves in; only their rows are shuffled, and ranked per block.
     """
     if n <= 0:
         raise ValueError(f"cannot take the first {n} rows")
@@ -111,16 +111,13 @@ def take_first(
         .withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
         .filter(F.col("_before") < n)
     )
-    whole = plan.filter(F.col("_before") + F.col("_n") <= n).select(*keys)
-    cut = plan.filter(F.col("_before") + F.col("_n") > n).select(*keys, "_before")
     inside = Window.partitionBy(*keys).orderBy(*order)
-    from_whole = blocked.join(whole, keys, "left_semi")
-    from_cut = (
-        blocked.join(cut, keys)
+    return (
+        blocked.join(plan.select(*keys, "_before"), keys)
         .withColumn("_rank", F.row_number().over(inside))
         .filter(F.col("_before") + F.col("_rank") <= n)
+        .select(*df.columns)
     )
-    return from_whole.select(*df.columns).unionByName(from_cut.select(*df.columns))
 
 
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.operators.skew import salted_join
+from meterloom.session import stage
 
 # A group below this many rows fits the value map of the builtin percentile.
 DIRECT_ROWS = 1_000_000
@@ -39,18 +40,26 @@ def exact_quantiles(
         *keys, F.col(value).cast("double").alias("_v")
     )
     largest = present.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if rank == "linear" and largest <= direct_rows:
-        return _direct(present, keys, quantiles)
-    cuts = buckets if largest > direct_rows else 1
-    return _bucketed(present, keys, quantiles, rank, cuts, direct_rows)
+    if largest > direct_rows:
+        return _bucketed(present, keys, quantiles, rank, buckets, direct_rows)
+    return _direct(present, keys, quantiles, rank)
 
 
-def _direct(present: DataFrame, keys: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
+def _direct(
+    present: DataFrame, keys: Sequence[str], quantiles: Sequence[float], rank: str
+) -> DataFrame:
+    """For groups of at most ``direct_rows`` rows."""
     wanted = [float(q) for q in quantiles]
-    grouped = present.groupBy(*keys).agg(
-        F.count("_v").alias("n"),
-        F.percentile("_v", F.lit(wanted)).alias("_found"),
-    )
+    if rank == "linear":
+        found = F.percentile("_v", F.lit(wanted))
+        grouped = present.groupBy(*keys).agg(F.count("_v").alias("n"), found.alias("_found"))
+    else:
+        listed = present.groupBy(*keys).agg(
+            F.count("_v").alias("n"), F.sort_array(F.collect_list("_v")).alias("_all")
+        )
+        places = [F.floor(F.lit(q) * (F.col("n") - 1)).cast("int") for q in wanted]
+        found = F.array(*[F.get("_all", place) for place in places])
+        grouped = listed.select(*keys, "n", found.alias("_found"))
     pairs = F.arrays_zip(F.lit(wanted).alias("q"), F.col("_found").alias("quantile"))
     return grouped.select(*keys, "n", F.explode(pairs).alias("_p")).select(
         *keys, "_p.q", "n", "_p.quantile"
@@ -66,27 +75,27 @@ def _bucketed(
     direct_rows: int,
 ) -> DataFrame:
     # Equal values collapse on the map side, so repeated values cannot make a hot key.
-    counted = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if buckets > 1:
-        # Only groups too large for one task are cut; the others are their own bucket 0.
-        steps = F.lit([i / buckets for i in range(1, buckets)])
-        bounds = (
-            counted.groupBy(*keys)
-            .agg(
-                F.count(F.lit(1)).alias("_values"),
-                F.percentile_approx("_v", steps, F.lit(buckets * 8)).alias("_bounds"),
-            )
-            .filter(F.col("_values") > direct_rows)
-            .drop("_values")
-        )
-        below = F.size(F.filter("_bounds", lambda bound: bound < F.col("_v")))
-        counted = (
-            salted_join(counted, bounds, keys, "left", "_v")
-            .withColumn("_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(below))
-            .drop("_bounds")
+    # Staged, because the bounds, the counts and the ranks each read it.
+    counted = stage(
+        present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantiles"
+    )
+    # Only groups too large for one task are cut; the others are their own bucket 0.
+    steps = F.lit([i / buckets for i in range(1, buckets)])
+    bounds = (
+        counted.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_values"),
+            F.percentile_approx("_v", steps, F.lit(buckets * 8)).alias("_bounds"),
         )
-    else:
-        counted = counted.withColumn("_bucket", F.lit(0))
+        .filter(F.col("_values") > direct_rows)
+        .drop("_values")
+    )
+    below = F.size(F.filter("_bounds", lambda bound: bound < F.col("_v")))
+    counted = (
+        salted_join(counted, bounds, keys, "left", "_v")
+        .withColumn("_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(below))
+        .drop("_bounds")
+    )
 
     in_order = (
         Window.partitionBy(*keys)

@@ -6,11 +6,11 @@ A flat report is a table ``run_id, name, metric, tag``: exactly one of ``metric`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType
+from pyspark.sql.types import BooleanType, NumericType, StructField
 
 from meterloom.functions.replies import read_body
 from meterloom.functions.text import strip
@@ -148,30 +148,35 @@ def split_metrics_and_tags(
     Decided from the schema, before any row is read.
     """
     fields = [f for f in report.schema.fields if f.name not in keys]
-    metrics = [f.name for f in fields if isinstance(f.dataType, NumericType)]
-    tags = [f for f in fields if not isinstance(f.dataType, NumericType)]
-
-    def as_text(field) -> Column:
-        text = F.col(field.name).cast("string")
-        return F.initcap(text) if isinstance(field.dataType, BooleanType) else text
-
-    def long(columns: list[Column], value: str) -> DataFrame:
-        names = [f"{prefix}{c}" for c in value_names[value]]
-        picked = report.select(*keys, *columns).toDF(*keys, *names)
-        found = picked.unpivot(list(keys), names, "name", value)
-        return found.filter(F.col(value).isNotNull())
-
-    value_names = {"metric": metrics, "tag": [f.name for f in tags]}
-    empty = report.select(*keys, F.lit("").alias("name")).limit(0)
-    as_metrics = (
-        long([F.col(m).cast("double") for m in metrics], "metric")
-        if metrics
-        else empty.withColumn("metric", F.lit(0.0))
-    )
-    as_tags = (
-        long([as_text(t) for t in tags], "tag") if tags else empty.withColumn("tag", F.lit(""))
+    numeric = [f for f in fields if isinstance(f.dataType, NumericType)]
+    others = [f for f in fields if not isinstance(f.dataType, NumericType)]
+
+    def number(field: StructField) -> Column:
+        return F.col(field.name).cast("double").alias(field.name)
+
+    def text(field: StructField) -> Column:
+        said = F.col(field.name).cast("string")
+        shown = F.initcap(said) if isinstance(field.dataType, BooleanType) else said
+        return shown.alias(field.name)
+
+    def long(chosen: list[StructField], read: Callable, value: str, kind: str) -> DataFrame:
+        if not chosen:
+            nothing = report.select(*keys).limit(0)
+            return nothing.select(
+                *keys, F.lit("").alias("name"), F.lit(None).cast(kind).alias(value)
+            )
+        names = [f.name for f in chosen]
+        picked = report.select(*keys, *[read(f) for f in chosen])
+        return (
+            picked.unpivot(list(keys), names, "name", value)
+            .filter(F.col(value).isNotNull())
+            .withColumn("name", F.concat(F.lit(prefix), "name"))
+        )
+
+    return (
+        long(numeric, number, "metric", "double"),
+        long(others, text, "tag", "string"),
     )
-    return as_metrics, as_tags
 
 
 def metrics_of(flat: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:

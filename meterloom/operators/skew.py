@@ -41,23 +41,24 @@ def salted_join(
     for key in keys:
         present = present & F.col(key).isNotNull()
     hot = F.broadcast(hot_keys(left.filter(present), keys, share).withColumn("_hot", F.lit(True)))
+    zero = F.lit(0).cast("bigint")
     left_salted = (
         left.filter(present)
         .join(hot, list(keys), "left")
         .withColumn(
             "_salt",
             F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(
-                F.lit(0)
+                zero
             ),
         )
         .drop("_hot")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
+    copies = F.when(
+        F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("bigint"))
+    ).otherwise(F.array(zero))
     right_salted = (
         right.join(hot, list(keys), "left")
-        .withColumn("_salt", F.explode(copies).cast("bigint"))
+        .withColumn("_salt", F.explode(copies))
         .drop("_hot")
     )
     joined = left_salted.join(right_salted, [*keys, "_salt"], how).drop("_salt")

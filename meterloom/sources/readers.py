@@ -41,6 +41,15 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if "/" in table else spark.read.table(table)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than there are cores.
+
+    A corpus of many files is left as it is; only planning is done to find out.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_instructions(raw: DataFrame, source: str) -> DataFrame:
     """The instruction columns as strings, nulls as empty, with their provenance."""
     columns = [

@@ -126,8 +126,12 @@ def account_live(
     its request was emitted is dropped and counted; the count comes with a second row at
     expiry. Add :func:`meterloom.operators.streams.diagnose` for R6.
     """
-    parsed = parse_frames(frames.withWatermark("ts", delay)).withColumn(
-        "request_id", F.col("request_id").cast("string")
+    # Event time must be a plain timestamp; recorded times may lack a zone.
+    parsed = (
+        parse_frames(frames)
+        .withColumn("request_id", F.col("request_id").cast("string"))
+        .withColumn("ts", F.timestamp_micros("at_us"))
+        .withWatermark("ts", delay)
     )
 
     def step(
