@@ -7,6 +7,7 @@ builtin; that one step is an Arrow UDF and only sees rows that might not be comp
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # Unicode classes, spelled out because Java's \s and \w are ASCII only.
-# Whitespace other than the newline, as Python's str.isspace() defines it.
-INLINE_SPACE = (
-    r"\x{09}\x{0b}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}"
-    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-SPACE = r"\x{0a}" + INLINE_SPACE
+# Few terms per class: the regex engine tries every term of a class on every character.
+# Whitespace other than the newline, as Python's str.isspace() defines it; \p{Z} holds the
+# plain space and all separators beyond ASCII.
+ODD_SPACE = r"\x09\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x85"
+INLINE_SPACE = ODD_SPACE + r"\p{Z}"
+SPACE = r"\x0a" + INLINE_SPACE
 # A letter in any script: categories L*, Nl and No, without combining marks.
 LETTER = r"\p{L}\p{Nl}\p{No}"
 # A word character: letters, numbers and the underscore.
@@ -27,13 +28,11 @@ WORD = r"\p{L}\p{N}_"
 # Precomposed syllables, conjoining jamo, compatibility jamo.
 HANGUL = r"\x{ac00}-\x{d7a3}\x{1100}-\x{11ff}\x{3130}-\x{318f}"
 
-# Code points that NFC never changes and that never combine with what precedes them.
-# A text made of these alone is already composed, so it skips the Arrow hop.
-NFC_INERT = (
-    r"\x{00}-\x{2ff}\x{400}-\x{482}\x{48a}-\x{52f}\x{2010}-\x{2027}\x{2030}-\x{205e}"
-    r"\x{20a0}-\x{20bf}\x{3000}-\x{3029}\x{3041}-\x{3096}\x{30a1}-\x{30fa}"
-    r"\x{3131}-\x{318e}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}\x{ff01}-\x{ff5e}"
-)
+# Code points that NFC may change, or that may combine with what precedes them: all but
+# Latin, dashes and quotes, and Hangul syllables. A text without any is already composed and
+# skips the Arrow hop; for other scripts the hop is cheaper than a finer test would be.
+# Written as what to find, because negated classes of several ranges are slow to match.
+NFC_SUSPECT = r"\x{300}-\x{200f}\x{2028}-\x{abff}\x{d7a4}-\x{10ffff}"
 
 
 @F.pandas_udf(StringType())
@@ -42,18 +41,26 @@ def _compose(texts: pd.Series) -> pd.Series:
 
 
 def nfc(text: Column) -> Column:
-    """Canonical composition. Rows of inert characters cross to Python as null."""
-    suspect = F.when(text.rlike(f"[^{NFC_INERT}]"), text)
+    """Canonical composition. Rows that cannot change cross to Python as null."""
+    suspect = F.when(text.rlike(f"[{NFC_SUSPECT}]"), text)
     return F.coalesce(_compose(suspect), text)
 
 
 def tidy_layout(text: Column) -> Column:
-    """T1 without composition: newlines, whitespace runs, blank-line runs, line strips."""
-    text = F.regexp_replace(text, r"\r\n?", "\n")
-    text = F.regexp_replace(text, f"[{INLINE_SPACE}]+", " ")
+    """T1 without composition: newlines, whitespace runs, blank-line runs, line strips.
+
+    Patterns match only where something changes, not at every plain space; once runs are
+    single spaces, stripping lines is plain replacement.
+    """
+    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    text = F.replace(text, F.lit("\r"), F.lit("\n"))
+    text = F.regexp_replace(
+        text, f"(?: [{INLINE_SPACE}]|[{INLINE_SPACE}&&[^ ]])[{INLINE_SPACE}]*", " "
+    )
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
-    text = F.regexp_replace(text, r"(?m)^ +| +$", "")
-    return F.regexp_replace(text, r"\A\n+|\n+\z", "")
+    text = F.replace(text, F.lit(" \n"), F.lit("\n"))
+    text = F.replace(text, F.lit("\n "), F.lit("\n"))
+    return F.btrim(text, F.lit(" \n"))
 
 
 def normalize_text(text: Column) -> Column:
@@ -71,7 +78,7 @@ def letters_of(text: Column) -> Column:
 
 
 def count_in_class(letters: Column, script: str) -> Column:
-    return F.length(F.regexp_replace(letters, f"[^{script}]+", ""))
+    return F.length(letters) - F.length(F.regexp_replace(letters, f"[{script}]+", ""))
 
 
 def script_ratio(text: Column, script: str = HANGUL) -> Column:
@@ -102,45 +109,60 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def repetition_ratio(text: Column) -> Column:
     """T4: share of the most frequent token; 0.0 under four tokens."""
-    ordered = F.sort_array(tokens(text))
-    # One pass over the sorted tokens, tracking the run being read and the longest run.
-    longest = F.aggregate(
-        ordered,
-        F.struct(
-            F.lit(None).cast("string").alias("token"),
-            F.lit(0).alias("run"),
-            F.lit(0).alias("best"),
-        ),
-        lambda acc, token: F.struct(
-            token.alias("token"),
-            F.when(acc["token"] == token, acc["run"] + 1).otherwise(F.lit(1)).alias("run"),
-            F.greatest(
-                acc["best"],
+
+    def ratio(ordered: Column) -> Column:
+        # One pass over the sorted tokens, with the current run and the longest run.
+        longest = F.aggregate(
+            ordered,
+            F.struct(
+                F.lit(None).cast("string").alias("token"),
+                F.lit(0).alias("run"),
+                F.lit(0).alias("best"),
+            ),
+            lambda acc, token: _with(
                 F.when(acc["token"] == token, acc["run"] + 1).otherwise(F.lit(1)),
-            ).alias("best"),
-        ),
-        lambda acc: acc["best"],
-    )
-    return F.when(F.size(ordered) >= 4, longest / F.size(ordered)).otherwise(F.lit(0.0))
+                lambda run: F.struct(
+                    token.alias("token"),
+                    run.alias("run"),
+                    F.greatest(acc["best"], run).alias("best"),
+                ),
+            ),
+            lambda acc: acc["best"],
+        )
+        n = F.size(ordered)
+        return F.when(n >= 4, longest / n).otherwise(F.lit(0.0))
 
+    return _with(F.sort_array(tokens(text)), ratio)
 
-def is_repetitive(text: Column, max_ratio: float = 0.5) -> Column:
-    """T4 compared with a limit, without computing the ratio where that can be avoided.
+
+def is_dominated(words: Column, max_ratio: float = 0.5) -> Column:
+    """Whether one token of ``words`` exceeds ``max_ratio``, a half or more of the list.
 
     A token above half of the list must be the one in the middle of the sorted list, so
-    for limits of a half and more only that token has to be counted.
+    only that token has to be counted.
     """
     if max_ratio < 0.5:
-        return repetition_ratio(text) > F.lit(max_ratio)
-    found = tokens(text)
-    n = F.size(found)
-    middle = F.get(F.sort_array(found), F.shiftright(n, 1))
-    count = n - F.size(F.array_remove(found, middle))
+        raise ValueError("a token below half of the list need not be in its middle")
+    n = F.size(words)
+    middle = F.get(F.sort_array(words), F.shiftright(n, 1))
+    count = n - F.size(F.array_remove(words, middle))
     return F.when(n >= 4, count > F.lit(max_ratio) * n).otherwise(F.lit(False))
 
 
+def is_repetitive(text: Column, max_ratio: float = 0.5) -> Column:
+    """T4 compared with a limit."""
+    if max_ratio < 0.5:
+        return repetition_ratio(text) > F.lit(max_ratio)
+    return _with(tokens(text), lambda words: is_dominated(words, max_ratio))
+
+
 def strip(text: Column) -> Column:
     """Python's str.strip(): Unicode whitespace off both ends."""
     return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")

@@ -70,6 +70,12 @@ def score(
         with_canonical(rows)
         .withColumn("_letters_in", T.letters_of(F.col("instruction_n")))
         .withColumn("_letters_out", T.letters_of(F.col("output_n")))
+        .withColumn("_words", T.tokens(F.col("output_n")))
+    )
+    repetitive = (
+        T.is_dominated(F.col("_words"), max_repeat_ratio)
+        if max_repeat_ratio >= 0.5
+        else T.repetition_ratio(output) > max_repeat_ratio
     )
     instruction, output = F.col("instruction_n"), F.col("output_n")
     both = (instruction != "") & (output != "")
@@ -89,13 +95,17 @@ def score(
             both & (F.col("_instruction_c") == F.col("_output_c")),
             F.lit("output_echoes_instruction"),
         ),
-        F.when(both & T.is_repetitive(output, max_repeat_ratio), F.lit("repetitive")),
+        F.when(both & repetitive, F.lit("repetitive")),
     )
-    return (
-        prepared.withColumn("reasons", F.array_compact(reasons))
-        .withColumn("dedup_key", F.sha1(F.concat("_instruction_c", "_output_c")))
-        .drop("_letters_in", "_letters_out", "_instruction_c", "_output_c")
+    computed = F.struct(
+        instruction.alias("instruction_n"),
+        output.alias("output_n"),
+        F.array_compact(reasons).alias("reasons"),
+        F.sha1(F.concat("_instruction_c", "_output_c")).alias("dedup_key"),
     )
+    # A generator, not a projection: the optimizer would copy the text expressions into
+    # every later filter on the reasons, and evaluate them once per mention.
+    return prepared.select(*rows.columns, F.inline(F.array(computed)))
 
 
 def accepted(scored: DataFrame) -> DataFrame:
@@ -123,12 +133,13 @@ def dedup_exact(
 ) -> DataFrame:
     """A2: one row per key, the one with the lowest id.
 
-    The aggregate shuffles keys and ids only and combines copies on the map side, so a
-    text copied a billion times is one row per task. The join back is on the unique id:
-    no copy group is ever gathered.
+    Copies are combined on the map side: a text copied a billion times leaves each map
+    task as one row, so no copy group is ever gathered, and every row is scored, read and
+    shuffled once.
     """
-    survivors = rows.groupBy(*key).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return rows.join(survivors, row_id, "left_semi")
+    rest = [c for c in rows.columns if c not in key]
+    kept = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(row_id)).alias("_kept"))
+    return kept.select(*key, "_kept.*").select(*rows.columns)
 
 
 def funnel(scored: DataFrame, by: str = "source") -> DataFrame:
