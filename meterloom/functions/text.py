@@ -40,6 +40,11 @@ def _compose(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def nfc(text: Column) -> Column:
     """Canonical composition. Rows that cannot change cross to Python as null."""
     suspect = F.when(text.rlike(f"[{NFC_SUSPECT}]"), text)
@@ -83,8 +88,10 @@ def count_in_class(letters: Column, script: str) -> Column:
 
 def script_ratio(text: Column, script: str = HANGUL) -> Column:
     """Share of the letters that belong to ``script``; 0.0 without letters."""
-    letters = letters_of(F.coalesce(text, F.lit("")))
-    return ratio_or_zero(count_in_class(letters, script), F.length(letters))
+    return _with(
+        letters_of(F.coalesce(text, F.lit(""))),
+        lambda letters: ratio_or_zero(count_in_class(letters, script), F.length(letters)),
+    )
 
 
 def ratio_or_zero(part: Column, whole: Column) -> Column:
@@ -109,11 +116,6 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often it is mentioned."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def repetition_ratio(text: Column) -> Column:
     """T4: share of the most frequent token; 0.0 under four tokens."""
 

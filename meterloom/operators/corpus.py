@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions import text as T
 from meterloom.functions.messages import chat_messages, chat_record
+from meterloom.operators.once import computed_once
 from meterloom.operators.ordered import take_first
 
 DEFAULT_MIN_RATIO = 0.3
@@ -97,15 +98,14 @@ def score(
         ),
         F.when(both & repetitive, F.lit("repetitive")),
     )
-    computed = F.struct(
-        instruction.alias("instruction_n"),
-        output.alias("output_n"),
-        F.array_compact(reasons).alias("reasons"),
-        F.sha1(F.concat("_instruction_c", "_output_c")).alias("dedup_key"),
+    return computed_once(
+        prepared,
+        rows.columns,
+        instruction_n=instruction,
+        output_n=output,
+        reasons=F.array_compact(reasons),
+        dedup_key=F.sha1(F.concat("_instruction_c", "_output_c")),
     )
-    # A generator, not a projection: the optimizer would copy the text expressions into
-    # every later filter on the reasons, and evaluate them once per mention.
-    return prepared.select(*rows.columns, F.inline(F.array(computed)))
 
 
 def accepted(scored: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.messages import normalize_role, render_plain, to_messages
 from meterloom.functions.text import is_blank
+from meterloom.operators.once import computed_once
 from meterloom.operators.ordered import take_first
 from meterloom.operators.skew import salted_join
 
@@ -56,9 +57,9 @@ def render_rows(
 
     ``render`` maps the messages column to text and may be a pandas UDF.
     """
-    with_messages = rows.select(*keep, to_messages(rows.schema).alias("messages"))
+    with_messages = computed_once(rows, list(keep), messages=to_messages(rows.schema))
     text = F.when(F.col("messages").isNotNull(), render(F.col("messages")))
-    return with_messages.withColumn("text", text).drop("messages")
+    return computed_once(with_messages.withColumn("_text", text), list(keep), text=F.col("_text"))
 
 
 def within_length(

@@ -17,7 +17,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
     return counts.filter(F.col("_n") > F.lit(share) * total.scalar()).select(*keys)
 
 

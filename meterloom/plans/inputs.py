@@ -83,7 +83,7 @@ def reply_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def frame_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Recorded stream lines: a request per user, a line per event."""
-    return frames_from(table(spark, folder, "events"))
+    return frames_from(spread(table(spark, folder, "events")))
 
 
 def frames_from(events: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from meterloom.plans.inputs import (
     with_sql,
 )
 from meterloom.plans.registry import query
-from meterloom.session import shared_folder
+from meterloom.session import shared_folder, stage
 from meterloom.streaming.frames import account_live
 from meterloom.streaming.polls import sighting_feed, status_feed
 
@@ -25,7 +25,8 @@ MAX_TOKENS = 64
 
 
 def parsed(spark: SparkSession, folder: str) -> DataFrame:
-    return streams.before_done(streams.parse_frames(frame_rows(spark, folder)))
+    # Parsing JSON is the costly part and its result is narrow: done once, then staged.
+    return streams.before_done(stage(streams.parse_frames(frame_rows(spark, folder)), "frames"))
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,7 +148,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     gaps = streams.chunk_gaps(parsed(spark, folder), block_rows=4096)
-    found = streams.gap_percentiles(gaps, direct_rows=20, buckets=8)
+    found = streams.gap_percentiles(gaps)
     return found.withColumn("quantile", F.round("quantile", 6))
 
 
