@@ -44,24 +44,29 @@ def judge_means(results: DataFrame) -> DataFrame:
     ``is_overall`` marks the grand row, so a category may be called anything. The overall
     mean is over questions, and 0.0 when nothing was scored.
     """
-    grouped = results.groupingSets(
-        [[F.col("category")], []], F.col("category")
-    ).agg(
-        F.grouping("category").alias("_overall"),
-        F.avg("score").alias("_mean"),
+    total, scored = F.sum("_sum"), F.sum("n_scored")
+    by_category = results.groupBy("category").agg(
+        F.sum("score").alias("_sum"),
         F.count("score").alias("n_scored"),
         F.count_if(F.col("score").isNull()).alias("n_failed"),
     )
-    is_overall = F.col("_overall") == 1
-    return grouped.select(
-        is_overall.alias("is_overall"),
-        F.when(is_overall, F.lit("overall")).otherwise(F.col("category")).alias("category"),
-        F.when(is_overall, F.coalesce("_mean", F.lit(0.0)))
-        .otherwise(F.col("_mean"))
-        .alias("mean_score"),
+    # From the category sums, not from the questions again. Unlike grouping sets, a plain
+    # aggregate has a row for no questions at all.
+    overall = by_category.agg(
+        F.lit(True).alias("is_overall"),
+        F.lit("overall").alias("category"),
+        F.coalesce(F.try_divide(total, scored), F.lit(0.0)).alias("mean_score"),
+        F.coalesce(scored, F.lit(0)).alias("n_scored"),
+        F.coalesce(F.sum("n_failed"), F.lit(0)).alias("n_failed"),
+    )
+    categories = by_category.select(
+        F.lit(False).alias("is_overall"),
+        "category",
+        F.try_divide("_sum", "n_scored").alias("mean_score"),
         "n_scored",
         "n_failed",
-    ).orderBy("is_overall", "category")
+    )
+    return categories.unionByName(overall).orderBy("is_overall", "category")
 
 
 def answer_with(

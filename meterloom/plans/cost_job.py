@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from meterloom.operators import costs
 from meterloom.session import stage
@@ -54,16 +55,26 @@ def audit(listings: Listings, by: Sequence[str], rates: DataFrame | None = None)
         ],
     )
     priced = stage(costs.price_items(items, rates), "items")
-    scans = listings.scans.select(*keys, "section", "ok", "detail")
-    # A listing with unreadable records is no evidence, whatever its own status said.
-    read = scans.filter(scans["section"] != costs.JOBS_SECTION)
-    all_scans = read.unionByName(costs.job_scan(listings.jobs, keys))
-    unlisted = scans.filter(scans["section"] == costs.JOBS_SECTION).filter(~scans["ok"])
-    all_scans = all_scans.unionByName(unlisted)
+    # A job listing with unreadable records is no evidence, whatever its own status said.
+    holes = (
+        costs.job_scan(listings.jobs, keys)
+        .filter("NOT ok")
+        .select(*keys, "section", F.col("detail").alias("_hole"))
+    )
+    scans = (
+        listings.scans.select(*keys, "section", "ok", "detail")
+        .join(holes, [*keys, "section"], "left")
+        .select(
+            *keys,
+            "section",
+            (F.col("ok") & F.col("_hole").isNull()).alias("ok"),
+            F.coalesce("_hole", "detail").alias("detail"),
+        )
+    )
     return Audit(
         items=costs.in_report_order(priced, keys),
-        verdict=costs.billing_verdict(priced, all_scans, keys),
-        leftovers=costs.leftovers(priced, all_scans, keys),
+        verdict=costs.billing_verdict(priced, scans, keys),
+        leftovers=costs.leftovers(priced, scans, keys),
         unpriced=costs.unpriced(priced),
         unread=costs.unread(priced),
         withheld_ips=costs.withheld_ips(listings.public_ips, listings.scans, keys),

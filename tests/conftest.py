@@ -4,11 +4,16 @@ import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+import meterloom  # noqa: E402
+
+cloudpickle.register_pickle_by_value(meterloom)
+
 
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
