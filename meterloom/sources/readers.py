@@ -105,21 +105,20 @@ def read_reports(
     """
     corrupt = "_corrupt"
     try:
-        raw = (
-            spark.read.schema(f"{schema}, {corrupt} string")
-            .option("multiLine", True)
-            .option("columnNameOfCorruptRecord", corrupt)
-            .json(path)
-            .withColumn(
-                "run_id", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.json)?\z", 1)
-            )
-        )
+        files = spark.read.text(path, wholetext=True)
     except PySparkException as exc:
         absent = [(path, str(exc).split("\n", 1)[0][:400])]
         return (
-            spark.createDataFrame([], f"{schema}, run_id string"),
+            spark.createDataFrame([], f"run_id string, {schema}"),
             spark.createDataFrame(absent, "run_id string, reason string"),
         )
+    read = F.from_json(
+        "value", f"{schema}, {corrupt} string", {"columnNameOfCorruptRecord": corrupt}
+    )
+    raw = files.select(
+        F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.json)?\z", 1).alias("run_id"),
+        read.alias("_r"),
+    ).select("run_id", "_r.*")
     good = raw.filter(F.col(corrupt).isNull()).drop(corrupt)
     bad = raw.filter(F.col(corrupt).isNotNull()).select(
         "run_id", F.lit("not a readable report").alias("reason")
