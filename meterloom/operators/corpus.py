@@ -137,9 +137,13 @@ def dedup_exact(
     task as one row, so no copy group is ever gathered, and every row is scored, read and
     shuffled once.
     """
-    rest = [c for c in rows.columns if c not in key]
-    kept = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(row_id)).alias("_kept"))
-    return kept.select(*key, "_kept.*").select(*rows.columns)
+    # One aggregate per column, so that columns nobody reads later are not shuffled.
+    kept = [
+        F.min_by(c, row_id).alias(c) if c != row_id else F.min(c).alias(c)
+        for c in rows.columns
+        if c not in key
+    ]
+    return rows.groupBy(*key).agg(*kept).select(*rows.columns)
 
 
 def funnel(scored: DataFrame, by: str = "source") -> DataFrame:
@@ -158,8 +162,9 @@ def funnel(scored: DataFrame, by: str = "source") -> DataFrame:
         .groupBy(by, "_key")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("row_id").alias("_first"))
     )
-    same_key = Window.partitionBy("_key")
     kept = F.col("_key").isNotNull()
+    # At most one row per source and key is left; rejected rows have no key to share.
+    same_key = Window.partitionBy("_key", F.when(~kept, F.col(by)))
     return (
         collapsed.withColumn("_survivor", F.min("_first").over(same_key) == F.col("_first"))
         .groupBy(by)

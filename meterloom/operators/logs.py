@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.classify import cluster_error, log_read
 from meterloom.functions.text import SPACE, is_blank, strip
 from meterloom.operators.ordered import BLOCK_ROWS, with_group_facts, with_neighbour
+from meterloom.session import stage
 
 # What marks the line where something went wrong.
 ERROR_MARKS = (
@@ -72,10 +73,15 @@ def cause_block(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The unbroken run of the first speaker, stamps stripped, blanks dropped."""
-    started = first_error(lines, file, position, block_rows).filter(F.col("speaker") != "")
+    started = first_error(lines, file, position, block_rows)
+    return _cause_of(started, file, position, block_rows)
+
+
+def _cause_of(started: DataFrame, file: str, position: str, block_rows: int) -> DataFrame:
+    stamped = started.filter(F.col("speaker") != "")
     other = F.when(~F.col("line").startswith(F.col("speaker")), F.col(position))
     return (
-        with_group_facts(started, [file], position, {"_stop": ("min", other)}, block_rows)
+        with_group_facts(stamped, [file], position, {"_stop": ("min", other)}, block_rows)
         .filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop")))
         .withColumn(
             "line",
@@ -117,14 +123,16 @@ def error_excerpt(
     A stamped cause keeps its first ``head`` and last ``window - head`` lines with a
     marker between; an unstamped one keeps ``window`` lines as they are.
     """
-    unstamped = first_error(lines, file, position, block_rows).filter(F.col("speaker") == "")
+    # Staged twice: the files' lines are read once for the first error and once for the
+    # rows, and the block's stop, size and both ends are found without reading them again.
+    started = stage(first_error(lines, file, position, block_rows), "started")
+    unstamped = started.filter(F.col("speaker") == "")
     plain = _first_ranked(unstamped, file, F.col(position), window).select(
         file, F.col(position).cast("bigint").alias("_at"), "line"
     )
 
-    block = cause_block(lines, file, position, block_rows).withColumn(
-        "_at", F.col(position).cast("bigint")
-    )
+    cause = _cause_of(started, file, position, block_rows)
+    block = stage(cause.withColumn("_at", F.col(position).cast("bigint")), "cause")
     sizes = block.groupBy(file).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_start")
     )

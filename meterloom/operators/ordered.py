@@ -8,6 +8,7 @@ row per block, the summary, is ever ordered within a group.
 Positions are integers that rise in the wanted order: line numbers, frame sequence
 numbers, poll numbers, row ids. The input is read twice, once for the summaries and once
 for the rows; stage it first (:func:`meterloom.session.stage`) where it is costly to make.
+Group columns hold no nulls.
 """
 
 from __future__ import annotations
