@@ -125,7 +125,7 @@ def chunk_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     Every fifth request closes its thinking block, with the tag spread over chunks.
     """
-    turns = table(spark, folder, "conversations")
+    turns = spread(table(spark, folder, "conversations"))
     closing = F.lit(["</th", "in", "k", ">tail"])
     words = F.split("text", " ")
     chunks = F.when(
