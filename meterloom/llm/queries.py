@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, hilbert
+from meterloom.llm import bpe, hilbert, mixing
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -41,6 +41,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIX = {"entropy": 0.95, "repeats": 4.0, "seed": 17}
+
+
+@_query(mixing.mix_sql("documents", **MIX))
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 95 % of the largest entropy of sources, in as many tokens."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    rows = docs.select("doc_id", "source", mixing.estimated_tokens("text").alias("tokens"))
+    return mixing.mix(rows, "doc_id", "source", F.col("tokens"), **MIX)
+
+
 SHARDS = 24
 
 
