@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, hilbert, mixing
+from meterloom.llm import arc, bpe, hilbert, mixing
+from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -27,6 +28,41 @@ def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(('0x' || substr(hex, {1 + 5 * i}, 5))"
+    f"::BIGINT >> {15 - 5 * j} & 31 AS INTEGER), 1)"
+    for i in range(8)
+    for j in range(4)
+)
+
+
+@_query(f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+    q AS (SELECT page_id, strlen(body) AS n, hex, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
+    SELECT page_id, n::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM q
+""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to ARC, converted to WARC and read back."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    old, new = staged_path(spark, "arc"), staged_path(spark, "warc")
+    arc.write_arc(pages, old, row="page_id", url="url", body="html")
+    arc.convert(spark, old, new, least_bytes=0)
+    records = arc.read_warc(spark, new, payloads=False).filter(F.col("row").isNotNull())
+    known = records.filter("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to_id"), F.col("row").alias("refers_to")
+    )
+    return records.join(known, "refers_to_id", "left").select(
+        F.col("row").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 @_query()
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
