@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import arc, bpe, hilbert, mixing
+from meterloom.llm import arc, bpe, hilbert, minmax, mixing
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +63,32 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@_query(f"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5
+        THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3),
+        lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (shingle)
+        WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+        WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+    walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
+        SELECT walk.a, links.b FROM walk JOIN links ON links.a = walk.b),
+    c AS (SELECT a AS doc_id, min(b) AS component_id FROM walk GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id,
+        d.doc_id = c.component_id AS kept
+    FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+""")
+def op3_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
+
+
 @_query()
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
