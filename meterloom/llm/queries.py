@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import arc, bpe, hilbert, minmax, mixing
+from meterloom.llm import arc, bpe, hilbert, minmax, mixing, suffixes
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,20 @@ def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+@_query()
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 100 bytes that start earlier."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    cut = suffixes.without_repeats(docs, "doc_id")
+    return cut.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        "n_removed",
+        F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(('0x' || substr(hex, {1 + 5 * i}, 5))"
     f"::BIGINT >> {15 - 5 * j} & 31 AS INTEGER), 1)"
