@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import arc, bpe, hilbert, minmax, mixing, suffixes
+from meterloom.llm import arc, bpe, hilbert, minmax, mixing, rabitq, suffixes
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -103,6 +103,29 @@ def op3_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
 
 
+@_query("""
+    WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v
+        FROM embeddings WHERE list_dot_product(embedding, embedding) > 0
+        AND NOT isnan(list_sum(embedding)) AND len(list_filter(embedding, lambda x: x IS NULL
+        OR isinf(x))) = 0),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id <> y.vec_id
+        WHERE list_dot_product(x.v, y.v)
+            / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.9),
+    walk AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION
+        SELECT walk.a, links.b FROM walk JOIN links ON links.a = walk.b),
+    c AS (SELECT a AS vec_id, min(b) AS component_id FROM walk GROUP BY a),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id,
+        vec_id = component_id AS kept
+    FROM c LEFT JOIN n USING (vec_id)
+""")
+def op4_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors."""
+    return rabitq.near_vectors(
+        _table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", 0.9
+    )
+
+
 @_query()
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
