@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import arc, bpe, hilbert, minmax, mixing, rabitq, suffixes
+from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, rabitq, suffixes
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -178,3 +178,10 @@ def op9_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+@_query()
+def op10_adsampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for those whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return adsampling.search(vectors, vectors.filter("vec_id % 20 = 0"), "vec_id", "embedding", 20)
