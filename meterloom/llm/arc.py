@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterloom.llm.shared import staged
+
 # Fields of the ARC versions, and the first lines of WARC records.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -34,6 +36,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROW_HEADER = "X-Archive-Row"
 
 CHUNK = 1 << 20
+IDS_SENT = 500_000
 BATCH_BYTES = 4 << 20
 COMPRESSION = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
@@ -340,8 +343,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
     Of response records with the same payload, of ``least_bytes`` or more, the first (the
     smallest row, or else archive and offset) keeps it; the others become revisits of it.
     The archives are parsed twice: for digests, then for payloads. Only ids and digests
-    are grouped, with the first of each archive taken before the shuffle; payloads move
-    once, to be joined with what they repeat. Empty archives give none.
+    are grouped, combined before the shuffle. The ids of revisits (about 100 bytes each) are
+    sent to the readers of the payloads up to half a million; beyond that payloads move
+    once, to be joined with them. Empty archives give none.
     """
     rank = F.struct(F.coalesce("row", F.lit((1 << 63) - 1)), "archive", "offset", "record_id")
     facts = read_arc(spark, arc_path, payloads=False).filter(
@@ -353,5 +357,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
     revisits = facts.join(firsts, "payload_digest").filter(
         F.col("record_id") != F.col("first.record_id")
     ).select("record_id", F.col("first.record_id").alias("first_id"))
+    revisits = staged(revisits, "revisits")
+    if revisits.count() <= IDS_SENT:
+        revisits = F.broadcast(revisits)
     records = read_arc(spark, arc_path).join(revisits, "record_id", "left")
     records.select(warc_text(records)).write.options(lineSep="\r\n\r\n", **COMPRESSION).text(warc_path)
