@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from meterloom.llm.shared import sliced, text_bytes, with_columns
+from meterloom.llm.shared import received, send, sliced, text_bytes, with_columns
 
 # The splitting pattern of byte-level vocabularies. The commonest alternative comes first:
 # no other can start with a letter, or with a space before one.
@@ -384,7 +384,7 @@ def _texts(array: pa.Array) -> Iterator[str]:
 
 def _read(df: DataFrame, tokenizer: str):
     with open(tokenizer, encoding="utf-8") as file:
-        return df.sparkSession.sparkContext.broadcast(Vocabulary(file.read()))
+        return send(df.sparkSession, Vocabulary(file.read()))
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -398,7 +398,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
     spec = _read(df, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = spec.value
+        vocabulary = received(spec)
         words = _Words(vocabulary)
         for batch in sliced(batches, text):
             rows = encode_texts(vocabulary, words, list(_texts(batch.column(text))))
@@ -415,7 +415,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
     spec = _read(df, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = spec.value.bytes_of
+        table = received(spec).bytes_of
         for batch in sliced(batches, ids):
             data, ends = text_bytes(batch.column(ids))
             flat = list(map(table.__getitem__, data.view("<u4").tolist())) if len(data) else []

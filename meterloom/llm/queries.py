@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, rabitq, suffixes
+from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, rabitq, suffixes, toxicity
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -126,6 +126,30 @@ def op4_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(identity: str):
+    """Rows that no label is learnt from: crc32 of the id as text is divisible by 5."""
+    return F.crc32(F.coalesce(F.col(identity).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "id")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").withColumnRenamed("doc_id", "id")
+    return toxicity.fit(docs, labels, ~held_out("id"))
+
+
+@_query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by its nearest labelled examples."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.scored(docs, toxicity_model(spark, sf_dir)).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 @_query()
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 2 << 20
@@ -37,6 +39,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of bounded size, with its class if that travels by value."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> object:
+    return pickle.loads(sent.value)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """A small table behind ``checkpoint()``, in the shared folder."""
     shared_folder(df.sparkSession)

@@ -6,8 +6,6 @@ Words are runs of bytes other than space and 0x09-0x0D; A-Z count as a-z.
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 
 MASK = (1 << 64) - 1
@@ -21,20 +19,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@cache
-def _powers(log: int, inverse: bool) -> np.ndarray:
-    base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-    out = np.empty(1 << log, np.uint64)
-    out[0] = 1
-    for k in range(log):
-        n = 1 << k
-        out[n : 2 * n] = out[:n] * np.uint64(pow(base, n, 1 << 64))
-    return out
+_POWERS: dict[bool, np.ndarray] = {}
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """base^0 .. base^(n - 1) modulo 2^64, of an odd base or of its inverse."""
-    return _powers(max(1, (max(n, 1) - 1).bit_length()), inverse)[:n]
+    known = _POWERS.get(inverse)
+    if known is None or len(known) < n:
+        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
+        known = np.ones(1, np.uint64)
+        while len(known) < n:
+            known = np.concatenate([known, known * np.uint64(pow(base, len(known), 1 << 64))])
+        _POWERS[inverse] = known
+    return known[:n]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
