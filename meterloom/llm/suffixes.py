@@ -34,7 +34,7 @@ from meterloom.llm.shingles import mixed, prefix_hashes
 
 CELL = 8
 MANY = 16
-DOCUMENTS_SENT = 500_000
+DOCUMENTS_SENT = 200_000
 ENTRIES = "key bigint, whole bigint, id bigint, first bigint, last bigint, kind int"
 FOUND = "id bigint, first bigint, last bigint, kind int"
 ENTRY, MARK, REPEAT, OPEN = 0, 1, 2, 3
@@ -226,7 +226,7 @@ def _run_entries(docs: DataFrame) -> DataFrame:
 
 def _with_texts(docs: DataFrame, per_doc: DataFrame, how: str = "inner") -> DataFrame:
     """Join a table of one small row a document: sent to the readers of the texts up to
-    500,000 rows, by a shuffle of both beyond."""
+    200,000 rows, by a shuffle of both beyond."""
     known = F.broadcast(per_doc) if per_doc.count() <= DOCUMENTS_SENT else per_doc
     return docs.join(known, "id", how)
 
