@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, rabitq, suffixes, toxicity
+from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, ordinal, rabitq, suffixes, toxicity
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -150,6 +150,25 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op5_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document graded: 0 poor, 1 sound but toxic, 2 sound."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "id")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    ratings = labels.select(
+        F.col("doc_id").alias("id"), (F.col("quality") * (2 - F.col("toxic"))).alias("grade")
+    )
+    model = ordinal.fit(docs, ratings, 3, ~held_out("id"))
+    return ordinal.graded(docs, model).select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "expected_grade",
+        F.col("tails")[0].alias("p_grade_1_or_better"),
+        F.col("tails")[1].alias("p_grade_2_or_better"),
+        (F.col("tails")[0] >= 0.5).alias("kept"),
+    )
+
+
 @_query()
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.runs import GRAM, WIDTH, runs_of, substring_hashes
-from meterloom.llm.shared import checkpointed, sliced, staged, text_bytes
+from meterloom.llm.shared import checkpointed, sliced, staged, text_bytes, with_columns
 from meterloom.llm.shingles import mixed, prefix_hashes
 
 CELL = 8
@@ -242,6 +242,8 @@ def _closer_entries(docs: DataFrame, still: DataFrame, width: int) -> DataFrame:
             data, ends = text_bytes(batch.column("text"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             lists = batch.column("spans")
+            if not len(data):
+                continue
             bounds = lists.offsets.to_numpy()
             flat = lists.values
             lo, hi = bounds[0], bounds[-1]
@@ -301,7 +303,9 @@ def repeated_spans(df: DataFrame, identity: str, text: str = "text") -> DataFram
     document with a smaller id, or before it in the same one. Documents without any are
     left out, as are null texts and texts under 100 bytes.
     """
-    docs = df.select(F.col(identity).cast("bigint").alias("id"), F.col(text).alias("text"))
+    docs = df.select(F.col(identity).cast("bigint").alias("id"), F.col(text).alias("text")).filter(
+        "id is not null and octet_length(text) > 0"
+    )
     found = staged(resolved(_run_entries(docs)), "runs")
     repeats = found.filter(F.col("kind") == REPEAT)
     for width in (CELL, 1):
@@ -334,44 +338,53 @@ def repeated_spans(df: DataFrame, identity: str, text: str = "text") -> DataFram
     )
 
 
-def without_repeats(df: DataFrame, identity: str, text: str = "text") -> DataFrame:
+def without_repeats(
+    df: DataFrame, identity: str, text: str = "text", whole_characters: bool = False
+) -> DataFrame:
     """Add ``n_removed``, ``spans`` (what was taken out) and ``kept`` (the bytes left, binary).
 
-    Null ids never match others but count as the smallest of all; ids have to be unique. A
-    null text is empty. An empty table stays empty; columns of these names are replaced.
+    With ``whole_characters`` a span gives up the bytes at its ends that are only a part of
+    a UTF-8 character. Ids have to be unique; a row with a null id is compared with nothing
+    and keeps its text. A null text is empty. An empty table stays
+    empty; columns of these names are replaced.
     """
-    df = df.drop("spans", "kept", "n_removed")
-    spans = repeated_spans(df, identity, text)
+    df = df.drop("spans", "kept", "n_removed", "_id")
+    spans = repeated_spans(df, identity, text).filter("id is not null")
     known = F.broadcast(spans) if spans.count() <= DOCUMENTS_SENT else spans
-    joined = df.join(known.withColumnRenamed("id", "_id"), F.col(identity).cast("bigint") == F.col("_id"), "left").drop("_id")
-
-    def cut(raw: F.Column) -> F.Column:
-        # Ends of what is kept: before each span, and after the last.
-        spans_or_none = F.coalesce("spans", F.array().cast("array<struct<from: bigint, to: bigint>>"))
-        state = F.struct(F.lit(b"").alias("kept"), F.lit(0).cast("bigint").alias("at"))
-        folded = F.aggregate(
-            spans_or_none,
-            state,
-            lambda s, x: F.struct(
-                F.concat(
-                    s["kept"],
-                    F.call_function(
-                        "substring", raw, (s["at"] + 1).cast("int"), (x["from"] - s["at"]).cast("int")
-                    ),
-                ).alias("kept"),
-                x["to"].alias("at"),
-            ),
-            lambda s: F.concat(
-                s["kept"],
-                F.call_function("substring", raw, (s["at"] + 1).cast("int"), F.octet_length(raw)),
-            ),
-        )
-        return F.when(F.size(spans_or_none) == 0, raw).otherwise(folded)
-
-    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    removed = F.aggregate(
-        F.coalesce("spans", F.array().cast("array<struct<from: bigint, to: bigint>>")),
-        F.lit(0).cast("bigint"),
-        lambda n, x: n + x["to"] - x["from"],
+    joined = df.join(
+        known.withColumnRenamed("id", "_id"), F.col(identity).cast("bigint") == F.col("_id"), "left"
+    ).drop("_id")
+    kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text):
+            data, ends = text_bytes(batch.column(text))
+            inner = (data & 0xC0) == 0x80
+            kept, removed, taken = [], [], []
+            for a, b, spans in zip(ends[:-1].tolist(), ends[1:].tolist(), batch.column("spans")):
+                at, parts, out = a, [], []
+                for span in spans.as_py() or ():
+                    start, stop = a + span["from"], a + span["to"]
+                    while whole_characters and start < stop and inner[start]:
+                        start += 1
+                    while whole_characters and start < stop < b and inner[stop]:
+                        stop -= 1
+                    if start < stop:
+                        parts.append(data[at:start].tobytes())
+                        out.append({"from": start - a, "to": stop - a})
+                        at = stop
+                kept.append(b"".join([*parts, data[at:b].tobytes()]))
+                removed.append(b - a - len(kept[-1]))
+                taken.append(out)
+            yield with_columns(
+                batch,
+                n_removed=pa.array(removed, pa.int64()),
+                spans=pa.array(taken, kind),
+                kept=pa.array(kept, pa.binary()),
+            )
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return joined.mapInArrow(
+        run,
+        f"{fields}, n_removed bigint, spans array<struct<from: bigint, to: bigint>>, kept binary",
     )
-    return joined.withColumn("n_removed", removed).withColumn("kept", cut(raw))
