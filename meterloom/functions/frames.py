@@ -24,7 +24,7 @@ DELTA_SCHEMA = "choices array<struct<delta: string>>"
 def payload_of(line: Column) -> Column:
     """What follows ``data:``; null on any other line."""
     return F.when(
-        line.startswith(DATA_PREFIX), strip(F.substring(line, len(DATA_PREFIX) + 1, 1 << 30))
+        line.startswith(DATA_PREFIX), strip(F.substr(line, F.lit(len(DATA_PREFIX) + 1)))
     )
 
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.operators.skew import salted_join
 
 
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -28,30 +27,29 @@ def without_shared(left: DataFrame, left_id: str, right: DataFrame, right_id: st
     return left.join(known, left_id, "left_anti")
 
 
-def dangling(
-    rows: DataFrame, reference: str, known: DataFrame, known_key: str, spread_by: str
-) -> DataFrame:
+def dangling(rows: DataFrame, reference: str, known: DataFrame, known_key: str) -> DataFrame:
     """Rows whose non-null reference points at nothing.
 
-    References are skewed by nature, so hot ones are spread by ``spread_by``.
+    References are skewed by nature: adaptive execution splits hot ones in this join.
     """
     keys = known.select(F.col(known_key).alias(reference)).distinct()
     pointing = rows.filter(F.col(reference).isNotNull())
-    return salted_join(pointing, keys, [reference], "left_anti", spread_by)
+    return pointing.join(keys, reference, "left_anti")
 
 
 def license_drift(
-    declared: DataFrame, observed: DataFrame, key: str = "dataset_id", spread_by: str = "key"
+    declared: DataFrame, observed: DataFrame, key: str = "dataset_id"
 ) -> DataFrame:
     """Declared licenses against a metadata snapshot.
 
     ``status`` is ``missing`` for an id the snapshot does not hold, ``drift`` for
     licenses that differ beyond case, ``unknown`` when one side states none, else ``ok``.
+    Of several entries of an id in the snapshot the smallest license counts.
     """
-    snapshot = observed.select(
-        key, F.col("license").alias("observed_license"), F.lit(True).alias("_seen")
+    snapshot = observed.groupBy(key).agg(
+        F.min("license").alias("observed_license"), F.lit(True).alias("_seen")
     )
-    joined = salted_join(declared, snapshot, [key], "left", spread_by)
+    joined = declared.join(snapshot, key, "left")
     unstated = _unstated("license", "unknown") | _unstated("observed_license", "unspecified")
     status = (
         F.when(F.col("_seen").isNull(), F.lit("missing"))

@@ -16,9 +16,6 @@ DEFAULT_MIN_RATIO = 0.3
 DEFAULT_MIN_OUTPUT_CHARS = 10
 DEFAULT_MAX_REPEAT_RATIO = 0.5
 
-# Rows a single sort may hand out; a larger cap is cut block by block.
-SORTED_LIMIT = 10_000
-
 
 def from_documents(documents: DataFrame) -> DataFrame:
     """Instruction rows from plain documents: first line asks, the rest answers."""
@@ -181,12 +178,10 @@ def funnel(scored: DataFrame, by: str = "source") -> DataFrame:
 def cap_rows(rows: DataFrame, n: int, order: str = "row_id", width: int = 1 << 20) -> DataFrame:
     """S3: the first ``n`` rows by ``order``; 0 means no cap.
 
-    A cap too large for one sorted list is cut by ranges of the integer ``order`` column.
+    The cut is found by ranges of the integer ``order`` column, for a cap of any size.
     """
     if n == 0:
         return rows
-    if n <= SORTED_LIMIT:
-        return rows.orderBy(order).limit(n)
     return take_first(rows, n, [order], F.expr(f"cast(`{order}` as bigint) div {width}L"))
 
 

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.operators.skew import salted_join
 
 HOURS_PER_MONTH = 730
 
@@ -73,9 +72,14 @@ def hourly_rate(sku: Column, rates: dict[str, float] = SKU_HOURLY_USD) -> Column
     return _lookup(rates, sku)
 
 
-def with_hourly_rate(items: DataFrame, rates: DataFrame, spread_by: str = "name") -> DataFrame:
-    """J8 against a price table ``sku, hourly_usd`` of any size."""
-    return salted_join(items, rates.select("sku", "hourly_usd"), ["sku"], "left", spread_by)
+def with_hourly_rate(items: DataFrame, rates: DataFrame) -> DataFrame:
+    """J8 against a price table ``sku, hourly_usd`` of any size.
+
+    Of several prices of a SKU the highest counts, so that no item is repeated or priced too
+    low; hot SKUs are split by adaptive execution.
+    """
+    prices = rates.groupBy("sku").agg(F.max("hourly_usd").alias("hourly_usd"))
+    return items.join(prices, "sku", "left")
 
 
 def disk_monthly_usd(
@@ -205,17 +209,21 @@ def endpoint_items(
     instance_type, instance_count``; ``scans`` has a section ``deployments of {endpoint}``.
     """
     key = [*by, "endpoint"]
-    # Deployments are the many side, so they lead the join; endpoints without any are
-    # found by an anti-join instead of an outer join that could not be spread.
-    serving = salted_join(deployments, endpoints.select(*key), key, "left_semi", "deployment")
+    # A deployment bills whether its endpoint was listed or not.
+    known = endpoints.select(*key, F.lit(True).alias("_known")).distinct()
+    serving = deployments.join(known, key, "left")
     count = F.col("instance_count")
+    stray = F.when(F.col("_known"), F.lit("")).otherwise(F.lit(", endpoint not listed"))
     running = serving.select(
         *by,
         *_item(
             "online-deployment",
             F.concat_ws("/", "endpoint", "deployment"),
-            F.when(count.isNull(), F.lit("bills 24/7, instance count not reported")).otherwise(
-                F.lit("bills 24/7")
+            F.concat(
+                F.when(count.isNull(), F.lit("bills 24/7, instance count not reported")).otherwise(
+                    F.lit("bills 24/7")
+                ),
+                stray,
             ),
             sku=F.col("instance_type"),
             instances=count,
@@ -228,7 +236,7 @@ def endpoint_items(
         *by,
         F.regexp_extract("section", r"\Adeployments of (.*)\z", 1).alias("endpoint"),
         F.col("ok").alias("_listed"),
-    ).filter(F.col("endpoint") != "")
+    ).filter(F.col("endpoint") != "").groupBy(*key).agg(F.bool_and("_listed").alias("_listed"))
     looked = F.coalesce(F.col("_listed"), F.lit(False))
     shells = bare.join(listed, key, "left").select(
         *by,
@@ -258,14 +266,15 @@ def orphan_disks(disks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Disks nothing claims, in state unattached, priced by tier."""
     unclaimed = F.coalesce("managedBy", F.lit("")) == ""
     unattached = F.lower("properties.diskState") == "unattached"
-    size = F.coalesce("properties.diskSizeGB", F.lit(0))
+    size = F.col("properties.diskSizeGB")
+    held = F.coalesce(F.concat(size, F.lit(" GB")), F.lit("size not reported,"))
     sku = F.coalesce("sku.name", F.lit(""))
     return disks.filter(unclaimed & unattached).select(
         *by,
         *_item(
             "orphaned-disk",
             F.col("name"),
-            F.concat(size, F.lit(" GB "), sku, F.lit(", unattached")),
+            F.concat(held, F.lit(" "), sku, F.lit(", unattached")),
             sku=sku,
             bills=True,
             monthly=disk_monthly_usd(size, sku),
@@ -306,9 +315,10 @@ def _attached_by_scan(
         happened = read.agg((F.count(F.lit(1)) > 0).alias("_ok")).scalar()
         return attached.filter(happened), attached.filter(~happened)
     accounts = read.select(*by).distinct()
-    judged = salted_join(attached, accounts, list(by), "left_semi", "name")
-    withheld = salted_join(attached, accounts, list(by), "left_anti", "name")
-    return judged, withheld
+    # A row an account: small beside the addresses, and split where one account is hot.
+    return attached.join(accounts, list(by), "left_semi"), attached.join(
+        accounts, list(by), "left_anti"
+    )
 
 
 def orphan_ips(
@@ -326,12 +336,8 @@ def orphan_ips(
         .select(*by, F.lower("name").alias("_nic"))
         .distinct()
     )
-    dead = salted_join(
-        judged.withColumn("_nic", nic_name(_config_id())),
-        live,
-        [*by, "_nic"],
-        "left_anti",
-        "name",
+    dead = judged.withColumn("_nic", nic_name(_config_id())).join(
+        live, [*by, "_nic"], "left_anti"
     )
     return _ip_items(loose.unionByName(dead.select(*ips.columns)), by)
 
@@ -432,7 +438,7 @@ def _with_scans(totals: DataFrame, scans: DataFrame, by: Sequence[str]) -> DataF
 def billing_verdict(
     priced: DataFrame, scans: DataFrame, by: Sequence[str] = ()
 ) -> DataFrame:
-    """What may be said about an account. Never ``nothing`` while a scan failed.
+    """What may be said about an account. Never ``nothing`` while a scan failed or none ran.
 
     ``hourly_usd`` and ``monthly_usd`` are null unless some billing item has a price.
     """
@@ -441,7 +447,7 @@ def billing_verdict(
     verdict = (
         F.when((F.col("billing") > 0) & some_price, F.lit("billing"))
         .when(F.col("billing") > 0, F.lit("cost unknown"))
-        .when(F.col("failed_scans") > 0, F.lit("could not look"))
+        .when((F.col("failed_scans") > 0) | (F.col("scans") == 0), F.lit("could not look"))
         .otherwise(F.lit("nothing"))
     )
     return (

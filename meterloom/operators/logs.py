@@ -6,11 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from meterloom.functions.classify import cluster_error, log_read
 from meterloom.functions.text import SPACE, is_blank, strip
-from meterloom.operators.ordered import BLOCK_ROWS, with_group_facts, with_neighbour
-from meterloom.session import stage
+from meterloom.operators.ordered import (
+    BLOCK_ROWS,
+    block_of,
+    take_first,
+    with_group_facts,
+    with_neighbour,
+)
+
+# Where lines are kept that a plan reads more than once.
+KEPT = StorageLevel.DISK_ONLY
 
 # What marks the line where something went wrong.
 ERROR_MARKS = (
@@ -94,11 +103,15 @@ def _cause_of(started: DataFrame, file: str, position: str, block_rows: int) ->
     )
 
 
-def _first_ranked(rows: DataFrame, file: str, order: Column, n: int) -> DataFrame:
-    # A rank below a small constant is cut on the map side already: no task receives
-    # more than n rows of a file from each map task.
-    ranked = F.row_number().over(Window.partitionBy(file).orderBy(order))
-    return rows.withColumn("_rank", ranked).filter(F.col("_rank") <= n)
+def _first_ranked(
+    rows: DataFrame, file: str, position: str, n: int, last: bool = False
+) -> DataFrame:
+    """The first (or last) ``n`` lines of every file with their ``_rank``, for any ``n``."""
+    sign = -1 if last else 1
+    ordered = rows.withColumn("_order", F.col(position).cast("bigint") * sign)
+    taken = take_first(ordered, n, ["_order"], block_of("_order"), [file])
+    ranked = F.row_number().over(Window.partitionBy(file).orderBy("_order"))
+    return taken.withColumn("_rank", ranked).drop("_order")
 
 
 def _joined_text(rows: DataFrame, file: str, position: str) -> DataFrame:
@@ -123,24 +136,24 @@ def error_excerpt(
     A stamped cause keeps its first ``head`` and last ``window - head`` lines with a
     marker between; an unstamped one keeps ``window`` lines as they are.
     """
-    # Staged twice: the files' lines are read once for the first error and once for the
-    # rows, and the block's stop, size and both ends are found without reading them again.
-    started = stage(first_error(lines, file, position, block_rows), "started")
+    # Kept twice, when the result is asked for: the block's stop, size and both ends are
+    # then found without reading the files again.
+    started = first_error(lines, file, position, block_rows).persist(KEPT)
     unstamped = started.filter(F.col("speaker") == "")
-    plain = _first_ranked(unstamped, file, F.col(position), window).select(
+    plain = _first_ranked(unstamped, file, position, window).select(
         file, F.col(position).cast("bigint").alias("_at"), "line"
     )
 
     cause = _cause_of(started, file, position, block_rows)
-    block = stage(cause.withColumn("_at", F.col(position).cast("bigint")), "cause")
+    block = cause.withColumn("_at", F.col(position).cast("bigint")).persist(KEPT)
     sizes = block.groupBy(file).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_start")
     )
     overlong = F.col("_n") > window
-    opening = _first_ranked(block, file, F.asc("_at"), window).join(sizes, file).filter(
+    opening = _first_ranked(block, file, "_at", window).join(sizes, file).filter(
         ~overlong | (F.col("_rank") <= head)
     )
-    closing = _first_ranked(block, file, F.desc("_at"), window - head).join(
+    closing = _first_ranked(block, file, "_at", window - head, last=True).join(
         sizes.filter(overlong), file
     )
     # The marker sorts after the opening lines and before the closing ones.
@@ -170,7 +183,7 @@ def log_tail(
     lines: DataFrame, n: int = 40, file: str = "file_id", position: str = "line_no"
 ) -> DataFrame:
     """The last ``n`` lines of every file, as rows."""
-    return _first_ranked(lines, file, F.desc(position), n).drop("_rank")
+    return _first_ranked(lines, file, position, n, last=True).drop("_rank")
 
 
 def tail_text(

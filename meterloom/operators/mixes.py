@@ -12,13 +12,10 @@ from meterloom.functions.messages import normalize_role, render_plain, to_messag
 from meterloom.functions.text import is_blank
 from meterloom.operators.once import computed_once
 from meterloom.operators.ordered import take_first
-from meterloom.operators.skew import salted_join
 
 DEFAULT_MIN_CHARS = 10
 DEFAULT_MAX_CHARS = 8000
 DEFAULT_SEED = 42
-# Reading this many times the cap leaves room for rows the length filter drops.
-READ_AHEAD = 4
 
 
 def license_gate(datasets: DataFrame, allow_noncommercial: bool = False) -> DataFrame:
@@ -103,10 +100,12 @@ def assemble_turns(
         .filter((F.col("n_turns") >= 2) & F.col("n_chars").between(min_chars, max_chars))
     )
     ordered = F.array_sort(F.collect_list(F.struct(turn, "role", "content")))
-    # An overlong conversation finds no partner, but its turns still reach this join:
-    # spread them. What survives is bounded per conversation.
+    # An overlong conversation finds no partner, but its turns still reach this join. The
+    # shuffle after it leaves adaptive execution free to split it; what it moves is small
+    # and bounded per conversation.
     return (
-        salted_join(usable, fitting, [conversation], "inner", turn)
+        usable.join(fitting, conversation)
+        .repartition(conversation)
         .groupBy(conversation, "n_turns", "n_chars")
         .agg(ordered.alias("_turns"))
         .select(
@@ -139,10 +138,9 @@ def cap_per_source(
     order: str = "row_id",
     width: int = 1 << 16,
 ) -> DataFrame:
-    """L1: read ahead, filter by length, keep the first ``cap`` rows of every source."""
+    """L1: the first ``cap`` rows of every source among those of usable length."""
     block = F.expr(f"cast(`{order}` as bigint) div {width}L")
-    ahead = take_first(rows, cap * READ_AHEAD, [order], block, [source])
-    usable = within_length(ahead, min_chars, max_chars)
+    usable = within_length(rows, min_chars, max_chars)
     return take_first(usable, cap, [order], block, [source])
 
 

@@ -7,12 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.operators.skew import salted_join
-from meterloom.session import stage
+# Steps into which the values between two powers of two are cut.
+STEPS = 1 << 16
 
-# A group below this many rows fits the value map of the builtin percentile.
-DIRECT_ROWS = 1_000_000
-BUCKETS = 1024
+
+def bucket_of(value: Column, steps: int = STEPS) -> Column:
+    """An integer that never falls as a double rises: its power of two, and the step in it.
+
+    It is read off the value alone, so no pass is needed to find bounds, and equal values
+    are in one bucket. NaN comes last, as in Spark's order.
+    """
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    step = F.floor((size / F.pow(F.lit(2.0), power) - 1) * steps)
+    place = (power + 1100) * steps + step
+    endless = F.lit(1 << 61).cast("bigint")
+    return (
+        F.when(F.isnan(value), endless + 1)
+        .when(value == 0, F.lit(0).cast("bigint"))
+        .when(size == float("inf"), F.when(value > 0, endless).otherwise(-endless))
+        .when(value > 0, place)
+        .otherwise(-place)
+    )
 
 
 def exact_quantiles(
@@ -22,79 +38,26 @@ def exact_quantiles(
     quantiles: Sequence[float],
     *,
     rank: str = "linear",
-    direct_rows: int = DIRECT_ROWS,
-    buckets: int = BUCKETS,
+    steps: int = STEPS,
 ) -> DataFrame:
     """One row per group and quantile: ``keys, q, n, quantile``.
 
     ``rank="linear"`` interpolates at ``(n - 1) * q``; ``rank="lower"`` takes the value at
     ``floor(q * (n - 1))``. Null values are left out.
 
-    The builtin ``percentile`` keeps every distinct value of a group in one task. Its
-    largest group is measured first, over the key columns only; beyond ``direct_rows``
-    the values are ranked bucket by bucket instead, with the same result.
+    Equal values are counted on the map side; counts of buckets of neighbouring values tell
+    which buckets hold a wanted rank, and only their values are ordered, a bucket a task.
     """
     if rank not in ("linear", "lower"):
         raise ValueError(f"unknown rank rule {rank!r}")
     present = values.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v")
     )
-    largest = present.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > direct_rows:
-        return _bucketed(present, keys, quantiles, rank, buckets, direct_rows)
-    return _direct(present, keys, quantiles, rank)
-
-
-def _direct(
-    present: DataFrame, keys: Sequence[str], quantiles: Sequence[float], rank: str
-) -> DataFrame:
-    """For groups of at most ``direct_rows`` rows."""
-    wanted = [float(q) for q in quantiles]
-    if rank == "linear":
-        found = F.percentile("_v", F.lit(wanted))
-        grouped = present.groupBy(*keys).agg(F.count("_v").alias("n"), found.alias("_found"))
-    else:
-        listed = present.groupBy(*keys).agg(
-            F.count("_v").alias("n"), F.sort_array(F.collect_list("_v")).alias("_all")
-        )
-        places = [F.floor(F.lit(q) * (F.col("n") - 1)).cast("int") for q in wanted]
-        found = F.array(*[F.get("_all", place) for place in places])
-        grouped = listed.select(*keys, "n", found.alias("_found"))
-    pairs = F.arrays_zip(F.lit(wanted).alias("q"), F.col("_found").alias("quantile"))
-    return grouped.select(*keys, "n", F.explode(pairs).alias("_p")).select(
-        *keys, "_p.q", "n", "_p.quantile"
-    )
-
-
-def _bucketed(
-    present: DataFrame,
-    keys: Sequence[str],
-    quantiles: Sequence[float],
-    rank: str,
-    buckets: int,
-    direct_rows: int,
-) -> DataFrame:
     # Equal values collapse on the map side, so repeated values cannot make a hot key.
-    # Staged, because the bounds, the counts and the ranks each read it.
-    counted = stage(
-        present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantiles"
-    )
-    # Only groups too large for one task are cut; the others are their own bucket 0.
-    steps = F.lit([i / buckets for i in range(1, buckets)])
-    bounds = (
-        counted.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_values"),
-            F.percentile_approx("_v", steps, F.lit(buckets * 8)).alias("_bounds"),
-        )
-        .filter(F.col("_values") > direct_rows)
-        .drop("_values")
-    )
-    below = F.size(F.filter("_bounds", lambda bound: bound < F.col("_v")))
     counted = (
-        salted_join(counted, bounds, keys, "left", "_v")
-        .withColumn("_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(below))
-        .drop("_bounds")
+        present.withColumn("_bucket", bucket_of(F.col("_v"), steps))
+        .groupBy(*keys, "_bucket", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
 
     in_order = (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.replies import request_outcome, seconds_per_token
 from meterloom.functions.text import SPACE
-from meterloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from meterloom.operators.quantiles import exact_quantiles
 
 LEVEL = ("deployment", "concurrency")
 # The percentiles a level reports.
@@ -79,7 +79,7 @@ def error_histogram(requests: DataFrame, level: Sequence[str] = LEVEL) -> DataFr
 
 
 def level_percentiles(
-    requests: DataFrame, level: Sequence[str] = LEVEL, direct_rows: int = DIRECT_ROWS
+    requests: DataFrame, level: Sequence[str] = LEVEL
 ) -> DataFrame:
     """TTFT, TPOT and end-to-end percentiles per level, rounded to four places.
 
@@ -96,7 +96,7 @@ def level_percentiles(
     long = measured.unpivot(list(level), list(LEVEL_QUANTILES), "measure", "seconds")
     wanted = sorted({q for qs in LEVEL_QUANTILES.values() for q in qs})
     found = exact_quantiles(
-        long, [*level, "measure"], "seconds", wanted, direct_rows=direct_rows
+        long, [*level, "measure"], "seconds", wanted
     )
 
     def cell(measure: str, q: float) -> Column:
@@ -110,7 +110,7 @@ def level_percentiles(
 
 
 def level_summary(
-    requests: DataFrame, level: Sequence[str] = LEVEL, direct_rows: int = DIRECT_ROWS
+    requests: DataFrame, level: Sequence[str] = LEVEL
 ) -> DataFrame:
     """One row per level.
 
@@ -128,7 +128,7 @@ def level_summary(
         (F.max(end) - F.min("start_s")).alias("_wall"),
         F.coalesce(F.sum(F.when(ok, F.col("output_tokens"))), F.lit(0)).alias("output_tokens"),
     )
-    percentiles = level_percentiles(requests, level, direct_rows)
+    percentiles = level_percentiles(requests, level)
     names = [c for c in percentiles.columns if c not in level]
     wall = F.col("_wall")
 

@@ -9,6 +9,7 @@ from meterloom.plans import (
     serving_queries,
     stream_queries,
 )
+from meterloom.plans import roundtrip_queries  # isort: skip  (builds on the others)
 from meterloom.plans.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -19,6 +20,7 @@ __all__ = [
     "cost_queries",
     "evaluation_queries",
     "log_queries",
+    "roundtrip_queries",
     "serving_queries",
     "stream_queries",
 ]

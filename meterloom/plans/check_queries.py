@@ -46,15 +46,13 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "dangling",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
-       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+    """SELECT doc_id, quality, toxic FROM labels
+       WHERE doc_id NOT IN (SELECT item_id FROM benchmark)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    finished = table(spark, folder, "orders").filter(F.col("o_orderstatus") == "F")
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-    )
-    return checks.dangling(lines, "l_orderkey", finished, "o_orderkey", "l_partkey")
+    """Labels of documents that are no benchmark item."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    return checks.dangling(labels, "doc_id", table(spark, folder, "benchmark"), "item_id")
 
 
 @query(

@@ -426,11 +426,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SHUFFLE_SQL = "md5('42:' || doc_id)"
-_CAPPED = """WITH ahead AS (
-        SELECT * FROM documents
-        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20),
-    capped AS (
-        SELECT * FROM ahead WHERE length(text) BETWEEN 10 AND 4000
+_CAPPED = """WITH capped AS (
+        SELECT * FROM documents WHERE length(text) BETWEEN 10 AND 4000
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5)"""
 
 
@@ -462,12 +459,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     "load_mix",
     f"""WITH chosen AS (SELECT * FROM documents WHERE {_USABLE_SOURCE}),
     share AS (SELECT 70 // count(DISTINCT source) AS cap FROM chosen),
-    ahead AS (
-        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM chosen),
     capped AS (
-        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn2
-        FROM ahead, share WHERE rn <= cap * 4 AND length(text) BETWEEN 10 AND 8000)
-    SELECT doc_id AS row_id, source FROM capped WHERE rn2 <= cap
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn
+        FROM chosen, share WHERE length(text) BETWEEN 10 AND 8000)
+    SELECT doc_id AS row_id, source FROM capped WHERE rn <= cap
     ORDER BY {_SHUFFLE_SQL} LIMIT 70""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:

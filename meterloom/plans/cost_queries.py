@@ -99,7 +99,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "batch_endpoint_items",
-    """SELECT o_orderkey % 5 AS subscription, o_orderkey::VARCHAR AS name,
+    """SELECT o_orderkey % 5 AS subscription,
+              CASE WHEN o_orderkey % 23 = 0 THEN 'gone-' ELSE '' END || o_orderkey AS name,
               false AS bills_when_idle, false AS cost_unknown FROM orders""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,7 +160,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         list(costs.SKU_HOURLY_USD.items()), "sku string, hourly_usd double"
     )
     rows = deployment_rows(spark, folder).withColumnRenamed("instance_type", "sku")
-    return costs.with_hourly_rate(rows, rates, "deployment").select(
+    return costs.with_hourly_rate(rows, rates).select(
         "endpoint", "deployment", "sku", "hourly_usd"
     )
 
@@ -220,7 +221,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "orphan_disks",
     with_sql("disks")
-    + """ SELECT subscription, name, sku, monthly_usd, gb || ' GB ' || sku || ', unattached' AS detail
+    + """ SELECT subscription, name, sku, monthly_usd, 
+             coalesce(gb || ' GB ', 'size not reported, ') || sku || ', unattached' AS detail
           FROM priced_disks WHERE loose AND NOT claimed""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
@@ -302,7 +304,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
                CASE WHEN unpriced < billing THEN hourly_usd END AS hourly_usd,
                CASE WHEN unpriced < billing THEN monthly_usd END AS monthly_usd),
            CASE WHEN billing > 0 AND unpriced < billing THEN 'billing'
-                WHEN billing > 0 THEN 'cost unknown' WHEN failed_scans > 0 THEN 'could not look'
+                WHEN billing > 0 THEN 'cost unknown' WHEN failed_scans > 0 OR scans = 0 THEN 'could not look'
                 ELSE 'nothing' END AS verdict FROM merged""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.text import INLINE_SPACE, WORD
 from meterloom.operators.corpus import from_documents
-from meterloom.sources.readers import spread
 
 # The given documents are in Latin scripts: letters beyond ASCII stand in for the script.
 LATIN_EXTENDED = r"\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}"
@@ -35,7 +34,7 @@ def pick(index: Column, values: tuple) -> Column:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents. Their texts are worth a shuffle when they come in few splits."""
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def instruction_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +82,7 @@ def reply_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def frame_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Recorded stream lines: a request per user, a line per event."""
-    return frames_from(spread(table(spark, folder, "events")))
+    return frames_from(table(spark, folder, "events"))
 
 
 def frames_from(events: DataFrame) -> DataFrame:
@@ -125,11 +124,11 @@ def chunk_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     Every fifth request closes its thinking block, with the tag spread over chunks.
     """
-    turns = spread(table(spark, folder, "conversations"))
+    turns = table(spark, folder, "conversations")
     closing = F.lit(["</th", "in", "k", ">tail"])
     words = F.split("text", " ")
     chunks = F.when(
-        F.col("turn") % 5 == 1, F.concat(F.slice(words, 1, 3), closing, F.slice(words, 4, 10_000_000))
+        F.col("turn") % 5 == 1, F.concat(F.slice(words, 1, 3), closing, F.slice(words, F.lit(4), F.greatest(F.size(words) - 3, F.lit(0))))
     ).otherwise(words)
     return turns.select(
         F.concat_ws("-", "conv_id", "turn").alias("request_id"),
@@ -290,9 +289,9 @@ def body_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def disk_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Disks out of parts."""
+    """Disks out of parts; some do not report their size."""
     key = F.col("p_partkey")
-    size = F.when(key % 17 == 0, 4096).otherwise(F.col("p_size") * 20)
+    size = F.when(key % 19 == 0, F.lit(None)).when(key % 17 == 0, 4096).otherwise(F.col("p_size") * 20)
     return table(spark, folder, "part").select(
         (key % 5).alias("subscription"),
         F.concat(F.lit("disk-"), key).alias("name"),
@@ -338,7 +337,7 @@ def ip_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Listing outcomes: one failed interface listing, one failed orphan scan."""
-    nations = table(spark, folder, "nation").filter(F.col("n_nationkey") < 7)
+    nations = table(spark, folder, "nation")
     account = F.col("n_nationkey").cast("bigint")
     sections = F.lit(["network interfaces", "orphaned disks/IPs (resource group)", "jobs"])
     return nations.select(
@@ -379,9 +378,11 @@ def job_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def endpoint_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Endpoints out of orders; some go by a name that no deployment knows."""
     key = F.col("o_orderkey")
+    name = F.when(key % 23 == 0, F.concat(F.lit("gone-"), key)).otherwise(key.cast("string"))
     return table(spark, folder, "orders").select(
-        (key % 5).alias("subscription"), key.cast("string").alias("endpoint")
+        (key % 5).alias("subscription"), name.alias("endpoint")
     )
 
 
@@ -614,7 +615,8 @@ SQL = {
     "disks": """disks AS (
         SELECT p_partkey % 5 AS subscription, 'disk-' || p_partkey AS name,
                p_partkey % 4 = 0 AS claimed, p_partkey % 3 <> 0 AS loose,
-               CASE WHEN p_partkey % 17 = 0 THEN 4096 ELSE p_size * 20 END AS gb,
+               CASE WHEN p_partkey % 19 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN 4096
+                    ELSE p_size * 20 END AS gb,
                CASE WHEN p_partkey % 6 = 1 THEN 'Standard_LRS' ELSE 'Premium_LRS' END AS sku
         FROM part),
     tiers(tier_gb, usd) AS (VALUES (4, 0.81::DOUBLE), (8, 1.62), (16, 3.24), (32, 5.2795),
@@ -644,8 +646,7 @@ SQL = {
                CASE section WHEN 'network interfaces' THEN n_nationkey <> 3
                             WHEN 'jobs' THEN true ELSE n_nationkey NOT IN (4, 6) END AS ok
         FROM nation, (VALUES ('network interfaces'),
-             ('orphaned disks/IPs (resource group)'), ('jobs')) s(section)
-        WHERE n_nationkey < 7)""",
+             ('orphaned disks/IPs (resource group)'), ('jobs')) s(section))""",
     "rates": """rates(sku, hourly) AS (VALUES ('Standard_NC4as_T4_v3', 0.647::DOUBLE),
         ('Standard_NV6ads_A10_v5', 0.613), ('Standard_NC24ads_A100_v4', 4.959),
         ('Standard_ND96isr_H100_v5', 132.732))""",
@@ -673,11 +674,13 @@ SQL = {
                endpoint || '/' || deployment AS name, sku,
                coalesce(instances, 0) AS instances, true AS bills_when_idle,
                instances IS NULL AS cost_unknown
-        FROM deployments d JOIN orders ON endpoint = o_orderkey::VARCHAR
+        FROM deployments d
         UNION ALL
-        SELECT o_orderkey % 5, 'online-endpoint', o_orderkey::VARCHAR, '', 0, false,
-               o_orderkey % 6 = 0
-        FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))""",
+        SELECT o_orderkey % 5, 'online-endpoint',
+               CASE WHEN o_orderkey % 23 = 0 THEN 'gone-' ELSE '' END || o_orderkey, '', 0, false,
+               o_orderkey % 6 = 0 OR o_orderkey % 23 = 0
+        FROM orders WHERE o_orderkey % 23 = 0
+           OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))""",
 }
 
 

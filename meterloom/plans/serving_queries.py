@@ -88,8 +88,6 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         ["event_type"],
         "value",
         (0.0, 0.5, 0.95, 0.99, 1.0),
-        direct_rows=20,
-        buckets=16,
     )
     return found.withColumn("quantile", F.round("quantile", 6))
 
@@ -404,9 +402,13 @@ def _order_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_metrics_and_tags(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return reports.split_metrics_and_tags(_order_report(spark, folder), prefix="run.")
+
+
 @query("report_metrics", _SPLIT)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.split_metrics_and_tags(_order_report(spark, folder), prefix="run.")[0]
+    return order_metrics_and_tags(spark, folder)[0]
 
 
 @query(
@@ -417,7 +419,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
               WHERE o_orderkey % 3 <> 0""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.split_metrics_and_tags(_order_report(spark, folder), prefix="run.")[1]
+    return order_metrics_and_tags(spark, folder)[1]
 
 
 @query(

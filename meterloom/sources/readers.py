@@ -41,15 +41,6 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if "/" in table else spark.read.table(table)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has fewer splits than there are cores.
-
-    A corpus of many files is left as it is; only planning is done to find out.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def as_instructions(raw: DataFrame, source: str) -> DataFrame:
     """The instruction columns as strings, nulls as empty, with their provenance."""
     columns = [
@@ -79,7 +70,7 @@ def read_sources(
             found[source] = spark.read.format(file_format).load(path)
             status.append((source, True, ""))
         except PySparkException as exc:
-            status.append((source, False, str(exc).split("\n", 1)[0][:400]))
+            status.append((source, False, str(exc)))
     return found, spark.createDataFrame(status, "source string, ok boolean, detail string")
 
 
@@ -107,7 +98,7 @@ def read_reports(
     try:
         files = spark.read.text(path, wholetext=True)
     except PySparkException as exc:
-        absent = [(path, str(exc).split("\n", 1)[0][:400])]
+        absent = [(path, str(exc))]
         return (
             spark.createDataFrame([], f"run_id string, {schema}"),
             spark.createDataFrame(absent, "run_id string, reason string"),

@@ -181,7 +181,7 @@ def test_checks(spark):
     other = spark.createDataFrame([(2,), (9,)], "bench long")
     assert [r.id for r in checks.shared_ids(ids, "id", other, "bench").collect()] == [2]
     assert sorted(str(r.id) for r in checks.without_shared(ids, "id", other, "bench").collect()) == ["1", "None"]
-    assert [r.id for r in checks.dangling(ids, "id", other, "bench", "id").collect()] == [1]
+    assert [r.id for r in checks.dangling(ids, "id", other, "bench").collect()] == [1]
 
 
 def test_license_drift(spark):
