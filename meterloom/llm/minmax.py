@@ -269,7 +269,8 @@ def near_duplicates(df: DataFrame, identity: str, text: str = "text") -> DataFra
     docs = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     seen = staged(signatures(docs), "signatures")
     filled = seen.filter("n > 0")
-    classes = filled.groupBy("f1", "f2", "n").agg(F.min("id").alias("head"))
+    # A table of its own, so that a large class can be split where it is joined.
+    classes = staged(filled.groupBy("f1", "f2", "n").agg(F.min("id").alias("head")), "classes")
     heads = classes.select(F.col("head").alias("id"))
     rows = filled.join(heads, "id", "left_semi").select("id", "n", F.explode("bands").alias("key"))
     centres = (
