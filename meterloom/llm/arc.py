@@ -81,12 +81,17 @@ def write_arc(
 ) -> None:
     """Write a row as an HTTP response in ARC archives, of both versions in turn.
 
-    ``row`` goes into a header of the response. Spaces in a URL are escaped, a null URL is
-    ``unknown:``, a null body is empty.
+    ``row`` goes into a header of the response (empty for null). Spaces in a URL are escaped,
+    a null or empty URL is ``unknown:``, a null body is empty. Rows that are repeated are
+    records of their own; of the same row number and payload, the first one read is the
+    response. An empty table gives archives without such records.
     """
     payload = F.coalesce(F.col(body).cast("binary"), F.lit(b""))
     address = F.regexp_replace(F.coalesce(F.col(url), F.lit("unknown:")), r"\s", "%20")
-    address = F.when(address == "", "unknown:").otherwise(address)
+    # Names that mean something else in an archive are set apart.
+    address = F.when(address == "", "unknown:").when(
+        address.rlike("^(filedesc|dns):"), F.concat(F.lit("urn:"), address)
+    ).otherwise(address)
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "),
         F.octet_length(payload).cast("string"),
@@ -220,7 +225,8 @@ def arc_records(archive: str, content: bytes, payloads: bool) -> Iterator[tuple]
         block = reader.take(int(length))
         if url.startswith("filedesc:"):
             version = 2 if block[:1] == b"2" else 1
-        head, payload = _http_parts(block) if url.startswith("http") else (b"", block)
+        bare = url.startswith(("filedesc:", "dns:"))
+        head, payload = (b"", block) if bare else _http_parts(block)
         kind = (
             "warcinfo" if url.startswith("filedesc:") else "response" if head else "resource"
         )

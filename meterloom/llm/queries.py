@@ -64,7 +64,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = staged_path(spark, "arc"), staged_path(spark, "warc")
     arc.write_arc(pages, old, row="page_id", url="url", body="html")
     arc.convert(spark, old, new, least_bytes=0)
-    records = arc.read_warc(spark, new, payloads=False).filter(F.col("row").isNotNull())
+    records = arc.read_warc(spark, new, payloads=False).filter("record_type <> 'warcinfo'")
     known = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.col("row").alias("refers_to")
     )

@@ -259,7 +259,7 @@ def near_vectors(df: DataFrame, identity: str, vector: str, threshold: float = 0
     of a row's links in a block only the one to the smallest id goes on to the components,
     which leaves a tree of every connected part.
 
-    Vectors that are null, empty, zero or hold a null, NaN or infinity link with nothing; so do
+    Rows that repeat an id and its vector count as copies of each other. Vectors that are null, empty, zero or hold a null, NaN or infinity link with nothing; so do
     vectors of another length than the commonest (each is still a row of the result). An
     empty table gives an empty table.
     """

@@ -57,7 +57,12 @@ def _ordered(entries: Entries) -> tuple[Entries, Entries]:
     same[1:] = (entries["key"][1:] == entries["key"][:-1]) & (
         entries["whole"][1:] == entries["whole"][:-1]
     )
-    return _take(entries, ~same), _take(entries, same)
+    # The same place again is a row that comes twice, not a repeat.
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+    other = same & (
+        (entries["id"] != entries["id"][head]) | (entries["first"] != entries["first"][head])
+    )
+    return _take(entries, ~same), _take(entries, other)
 
 
 class Family:
@@ -77,8 +82,11 @@ class Family:
             later = (old["id"][theirs] > new["id"][mine]) | (
                 (old["id"][theirs] == new["id"][mine]) & (old["first"][theirs] > new["first"][mine])
             )
+            twice = (old["id"][theirs] == new["id"][mine]) & (
+                old["first"][theirs] == new["first"][mine]
+            )
             yield _take(old, theirs[later])
-            yield _take(new, mine[~later])
+            yield _take(new, mine[~later & ~twice])
             for n in ("id", "first", "last"):
                 old[n][theirs[later]] = new[n][mine[later]]
             keep = np.ones(len(new["key"]), bool)
@@ -344,8 +352,9 @@ def without_repeats(
     """Add ``n_removed``, ``spans`` (what was taken out) and ``kept`` (the bytes left, binary).
 
     With ``whole_characters`` a span gives up the bytes at its ends that are only a part of
-    a UTF-8 character. Ids have to be unique; a row with a null id is compared with nothing
-    and keeps its text. A null text is empty. An empty table stays
+    a UTF-8 character. Rows that repeat an id are one document and lose the same spans;
+    their texts have to be equal. A row with a null id is compared with nothing and keeps
+    its text. A null text is empty. An empty table stays
     empty; columns of these names are replaced.
     """
     df = df.drop("spans", "kept", "n_removed", "_id")
