@@ -203,11 +203,23 @@ def _candidates(blocks: DataFrame, dimension: int, threshold: float) -> DataFram
 _LINKS = "id bigint, links bigint, other bigint"
 
 
+def united(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest member of each connected part, after the links x - y are added."""
+    while True:
+        low = np.minimum(root[x], root[y])
+        if (low == np.maximum(root[x], root[y])).all():
+            return root
+        np.minimum.at(root, root[x], low)
+        np.minimum.at(root, root[y], low)
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _exact(blocks: DataFrame, bits: int, bands: int, threshold: float) -> DataFrame:
     """Per row of a block: the copies behind its links there, and one link of a spanning tree.
 
     A pair is counted in the first band that both share, and in one block of it. Rows:
-    ``id, links, other``; ``other`` is the smallest id that the row is linked with.
+    ``id, links, other``; ``other`` is one row for all that links of the block connect.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +232,7 @@ def _exact(blocks: DataFrame, bits: int, bands: int, threshold: float) -> DataFr
             unit = units(matrix(table.column("v").combine_chunks()))
             keys = bands_of(unit, bits, bands).view(np.int64)
             band = (keys == key[:, None]).argmax(axis=1)
-            links, lowest = np.zeros(len(ids), np.int64), ids.copy()
+            links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 if b - a < 2:
                     continue
@@ -238,11 +250,10 @@ def _exact(blocks: DataFrame, bits: int, bands: int, threshold: float) -> DataFr
                     x, y = x[near], y[near]
                     np.add.at(links, x, copies[y])
                     np.add.at(links, y, copies[x])
-                    np.minimum.at(lowest, x, ids[y])
-                    np.minimum.at(lowest, y, ids[x])
+                    root = united(root, x, y)
             some = links > 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[some]), pa.array(links[some]), pa.array(lowest[some])],
+                [pa.array(ids[some]), pa.array(links[some]), pa.array(ids[root[some]])],
                 ["id", "links", "other"],
             )
 
@@ -256,8 +267,7 @@ def near_vectors(df: DataFrame, identity: str, vector: str, threshold: float = 0
     Two vectors are linked if their cosine, in double precision, is ``threshold`` or more.
     Equal vectors are one class, found by grouping; its smallest id goes on and counts for
     all. Links are counted in the blocks where they are found, not written out as pairs;
-    of a row's links in a block only the one to the smallest id goes on to the components,
-    which leaves a tree of every connected part.
+    for the components a block gives a star of every part that its links connect.
 
     Rows that repeat an id and its vector count as copies of each other. Vectors that are null, empty, zero or hold a null, NaN or infinity link with nothing; so do
     vectors of another length than the commonest (each is still a row of the result). An
