@@ -193,6 +193,12 @@ def tail_text(
     return _joined_text(log_tail(lines, n, file, position), file, position)
 
 
+def failure_reason(status: Column, reason: Column) -> Column:
+    """The reason of a failure, on one line of at most 400 characters."""
+    one_line = strip(F.regexp_replace(reason, f"[{SPACE}]+", " "))
+    return F.when((status == "Failed") & ~is_blank(reason), F.substring(one_line, 1, 400))
+
+
 def status_changes(
     polls: DataFrame,
     job: str = "job",
@@ -210,14 +216,7 @@ def status_changes(
     ).filter(F.col("previous").isNull() | (F.col("previous") != F.col("status")))
     if "reason" not in polls.columns:
         return changed
-    one_line = strip(F.regexp_replace("reason", f"[{SPACE}]+", " "))
-    return changed.withColumn(
-        "reason",
-        F.when(
-            (F.col("status") == "Failed") & ~is_blank(F.col("reason")),
-            F.substring(one_line, 1, 400),
-        ),
-    )
+    return changed.withColumn("reason", failure_reason(F.col("status"), F.col("reason")))
 
 
 def first_sightings(values: DataFrame, job: str = "job", position: str = "poll") -> DataFrame:

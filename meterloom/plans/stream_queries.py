@@ -229,7 +229,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "status_feed",
     with_sql("polls")
-    + """ SELECT job, poll, status, previous FROM (
+    + """ SELECT job, poll, status, previous,
+             CASE WHEN status = 'Failed' THEN 'out of quota ' || poll END AS reason FROM (
             SELECT *, lag(status) OVER (PARTITION BY job ORDER BY poll) AS previous FROM polls)
           WHERE previous IS DISTINCT FROM status""",
 )

@@ -9,31 +9,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-FEED_SCHEMA = "job string, poll bigint, status string, previous string"
+from meterloom.operators.logs import failure_reason
+
+FEED_SCHEMA = "job string, poll bigint, status string, previous string, reason string"
 
 
 def _changes(
     key: tuple, batches: Iterator[pd.DataFrame], group: GroupState
 ) -> Iterator[pd.DataFrame]:
+    last_poll, last = group.get if group.exists else (None, None)
+    # What one job sent within a micro-batch: narrow rows, in the order of polls.
     rows = pd.concat(list(batches)).sort_values("poll")
-    last = group.get[0] if group.exists else None
+    if last_poll is not None:
+        rows = rows[rows["poll"] > last_poll]
+    if rows.empty:
+        group.update((last_poll, last))
+        return
     before = rows["status"].shift(1)
     before.iloc[0] = last
     changed = rows.assign(previous=before)[rows["status"].ne(before)]
-    group.update((rows["status"].iloc[-1],))
-    yield changed[["job", "poll", "status", "previous"]]
+    group.update((int(rows["poll"].iloc[-1]), rows["status"].iloc[-1]))
+    yield changed[["job", "poll", "status", "previous", "reason"]]
 
 
 def status_feed(polls: DataFrame) -> DataFrame:
-    """W8 as a stream: one row per change. State is the last status of each job."""
+    """W8 as a stream: one row per change, with the reason of a failure.
+
+    State is the last poll and status of each job. A poll that comes after a later one was
+    handled is left out.
+    """
     state = F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("?"))
+    told = F.col("reason") if "reason" in polls.columns else F.lit(None).cast("string")
     known = polls.select(
         F.col("job").cast("string").alias("job"),
         F.col("poll").cast("bigint").alias("poll"),
         state.alias("status"),
+        failure_reason(state, told).alias("reason"),
     )
+
     return known.groupBy("job").applyInPandasWithState(
-        _changes, FEED_SCHEMA, "status string", "append", GroupStateTimeout.NoTimeout
+        _changes,
+        FEED_SCHEMA,
+        "poll bigint, status string",
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
 
 

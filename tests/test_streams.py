@@ -137,6 +137,18 @@ def test_late_frames_are_dropped_and_counted(spark, tmp_path):
     assert rows == [(1, 0), (1, 1)]
 
 
+def test_status_feed_tells_reasons_and_leaves_out_late_polls(spark, tmp_path):
+    schema = "job string, poll long, status string, reason string"
+    batches = [
+        [("a", 2, "Running", None), ("a", 4, "Failed", " no\n\n room ")],
+        [("a", 3, "Queued", None), ("a", 5, "Running", "x")],
+    ]
+    feed = drain(spark, tmp_path, batches, schema, status_feed)
+    assert sorted((r.poll, r.status, r.previous, r.reason) for r in feed.collect()) == [
+        (2, "Running", None, None), (4, "Failed", "Running", "no room"), (5, "Running", "Failed", None),
+    ]
+
+
 def test_status_feed_emits_changes_only_across_batches(spark, tmp_path):
     schema = "job string, poll long, status string"
     batches = [
