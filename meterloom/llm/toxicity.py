@@ -32,6 +32,7 @@ PREFIXES = (4, 5, 6)
 BLOCK = 64
 NEIGHBOURS = 25
 READ_AT_ONCE = 8
+REMEMBERED = 50_000
 FILTER_BITS = 20
 
 
@@ -119,13 +120,19 @@ class Model:
     def nearest(
         self, feature: np.ndarray, weight: np.ndarray, k: int, but: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The examples with the k largest cosines (above 0), and these; ties to the first."""
+        """The examples with the k largest cosines (above 0), and these.
+
+        Ties go to the block with the larger bound, then to the first example. Blocks are
+        read in growing numbers, so that few rounds read even all of them.
+        """
         bound = weight @ self.bounds[feature]
         order = np.argsort(-bound, kind="stable")
         best, near, lowest = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for at in range(0, len(order), READ_AT_ONCE):
-            blocks = order[at : at + READ_AT_ONCE]
-            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= lowest - 1e-9)]
+        at, more = 0, READ_AT_ONCE
+        while at < len(order):
+            blocks = order[at : at + more]
+            at, more = at + more, 2 * more
+            blocks = blocks[bound[blocks] > lowest + 1e-12]
             if not len(blocks):
                 break
             a, b = self.starts[feature][:, blocks], self.starts[feature][:, blocks + 1]
@@ -314,19 +321,25 @@ def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent)
+        # Texts with the same features as one before have its neighbours.
+        found: dict[tuple[bytes, bytes], tuple[float, list[dict]]] = {}
         for batch in sliced(batches, text):
             row, feature, times = model.known.counts(*text_bytes(batch.column(text)))
             score = np.full(batch.num_rows, model.calibrated(model.prior))
             shown: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
             for a, b in zip(cuts, [*cuts[1:], len(row)]):
-                f = feature[a:b]
-                best, near = model.nearest(f, model.vector(f, times[a:b]), NEIGHBOURS)
-                score[row[a]] = model.calibrated(model.vote(best, near))
-                shown[row[a]] = [
-                    {"id": int(model.ids[e]), "cosine": float(c), "toxic": int(model.toxic[e])}
-                    for e, c in zip(best[:5], near[:5])
-                ]
+                f, t = feature[a:b], times[a:b]
+                same = (f.tobytes(), t.tobytes())
+                if same not in found:
+                    if len(found) >= REMEMBERED:
+                        found.clear()
+                    best, near = model.nearest(f, model.vector(f, t), NEIGHBOURS)
+                    found[same] = model.calibrated(model.vote(best, near)), [
+                        {"id": int(model.ids[e]), "cosine": float(c), "toxic": int(model.toxic[e])}
+                        for e, c in zip(best[:5], near[:5])
+                    ]
+                score[row[a]], shown[row[a]] = found[same]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score), pa.array(shown, kind)],
                 [*batch.schema.names, "score", "evidence"],
