@@ -140,10 +140,39 @@ class Vocabulary:
             self.size_of[i], self.shorter_of[i] = size, -1 if shorter is None else shorter
         for i, (left, right) in self.parts.items():
             self.made_of[i], self.left_of[i], self.right_of[i] = self.made_at[i], left, right
+        self._forget()
+
+    # What only single long words need; made again from the arrays where one turns up.
+    _SCALAR = ("step", "rank", "parts", "made_at", "size", "whole", "fall", "longest", "shorter", "_fits",
+               "seen", "seen_fits")
+
+    def __getstate__(self) -> dict:
+        return {n: v for n, v in self.__dict__.items() if n not in self._SCALAR}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    def _forget(self) -> None:
         # Answers already found, at the slot of a pair's hash; a newer pair takes the slot.
         self.seen = np.full(1 << SEEN_BITS, -1, np.int64)
         self.seen_fits = np.zeros(1 << SEEN_BITS, bool)
 
+    def _unpack(self) -> None:
+        def items(table: HashTable) -> dict[int, int]:
+            there = table.keys != -1
+            return dict(zip(table.keys[there].tolist(), table.values[there].tolist()))
+
+        self.step = items(self.step_table)
+        self.rank = {(k >> 32, k & 0xFFFFFFFF): r for k, r in items(self.rank_table).items()}
+        made = np.flatnonzero(self.made_of >= 0).tolist()
+        self.made_at = {i: int(self.made_of[i]) for i in made}
+        self.parts = {i: (int(self.left_of[i]), int(self.right_of[i])) for i in made}
+        self.size = dict(enumerate(self.size_of.tolist()))
+        self.fall, self.longest = self.fall_of.tolist(), self.longest_of.tolist()
+        self.shorter = dict(enumerate(self.shorter_of.tolist()))
+        self._fits = {}
+
     def _clash(self, a: int, b: int, until: int = _FOREVER) -> bool:
         """Whether the merges, before the one of rank ``until``, join something across a|b.
 
@@ -174,8 +203,8 @@ class Vocabulary:
 
     def word_ids(self, word: bytes) -> list[int]:
         """The ids of one word."""
-        if word in self.whole:
-            return [self.whole[word]]
+        if "step" not in self.__dict__:
+            self._unpack()
         # last: the last token of each prefix, by the prefix's length.
         last: list = [None] * (len(word) + 1)
         step, fall, longest, shorter, size = (
@@ -412,10 +441,11 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
 
     Bytes that are not UTF-8 come out as U+FFFD. A column of that name is replaced.
     """
-    spec = _read(df, tokenizer)
+    with open(tokenizer, encoding="utf-8") as file:
+        spec = send(df.sparkSession, Vocabulary(file.read()).bytes_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = received(spec).bytes_of
+        table = received(spec)
         for batch in sliced(batches, ids):
             data, ends = text_bytes(batch.column(ids))
             flat = list(map(table.__getitem__, data.view("<u4").tolist())) if len(data) else []
