@@ -1,10 +1,13 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine on block-max indexes.
+"""Toxicity by the nearest labelled examples: exact weighted TF-IDF cosine.
 
-Features are words (runs of letters, A-Z as a-z) and their first 4, 5 and 6 bytes; those
-are kept whose counts differ between the classes beyond chance. Examples are a bounded,
-stratified sample of labelled rows. They lie in blocks; the index knows the largest weight
-of every feature in every block, which bounds the cosine of all its examples, so blocks are
-read from the highest bound down until none can hold a nearer example.
+Features are words (runs of letters, A-Z as a-z) and their first 4, 5 and 6 bytes. All that
+an example has are kept; none is cut off. TF-IDF is multiplied by one plus the
+log-likelihood ratio of the feature's counts in the classes: about two where they differ
+by chance, rising with the sample where they do not. What no example has adds to no cosine
+and is left out of a text's length. Examples are a bounded, stratified sample of labelled
+rows. Postings are read from the rarest feature on; the length of what is unread of a text
+bounds all that it can add, so reading stops once few examples can be among the nearest,
+and the cosines of these are computed in full.
 
 The k nearest vote with their cosine, classes weighted back to their true shares, and the
 votes are calibrated by isotonic regression on the examples themselves, each left out of
@@ -13,11 +16,13 @@ its own vote.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +30,10 @@ from meterloom.llm.shared import checkpointed, received, send, sliced, text_byte
 from meterloom.llm.shingles import mixed, powers, prefix_hashes
 
 EXAMPLES = 10_000  # of each class, at most
-FEATURES = 4096  # at most
-SURPRISE = 40.0  # least log-likelihood ratio of a feature
-SEEN = 8  # least number of examples with a feature
 PREFIXES = (4, 5, 6)
-BLOCK = 64
 NEIGHBOURS = 25
-READ_AT_ONCE = 8
+READ_AT_ONCE = 1 << 16
+IN_FULL = 256
 REMEMBERED = 50_000
 FILTER_BITS = 20
 
@@ -101,20 +103,31 @@ class Model:
     """The examples' index, and the steps of the calibration."""
 
     known: Known
-    idf: np.ndarray
+    worth: np.ndarray  # of every feature, in front of its counts
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray  # rows that an example of class 0 or 1 stands for
     prior: float
-    starts: np.ndarray  # (features, blocks + 1): where the postings of a block start
-    examples: np.ndarray
-    weights: np.ndarray
-    bounds: np.ndarray  # (features, blocks): largest weight
+    firsts: np.ndarray  # where the features of an example start
+    features: np.ndarray
+    times: np.ndarray
     steps: np.ndarray
     values: np.ndarray
+    sent: Broadcast | None = None  # the model without the steps
+    postings: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        """Features and counts travel packed, and without weights and postings."""
+        state = vars(self) | {"weights": None, "postings": None}
+        return state | {"features": _packed(np.diff(self.features, prepend=0)), "times": _packed(self.times)}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self.features = np.cumsum(_unpacked(state["features"]), dtype=np.int32)
+        self.times = _unpacked(state["times"])
 
     def vector(self, feature: np.ndarray, times: np.ndarray) -> np.ndarray:
-        weight = (1 + np.log(times)) * self.idf[feature]
+        weight = (1 + np.log(times)) * self.worth[feature]
         return weight / np.sqrt((weight * weight).sum())
 
     def nearest(
@@ -122,35 +135,59 @@ class Model:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The examples with the k largest cosines (above 0), and these.
 
-        Ties go to the block with the larger bound, then to the first example. Blocks are
-        read in growing numbers, so that few rounds read even all of them.
+        Ties go to the first example. Postings are read in growing numbers.
         """
-        bound = weight @ self.bounds[feature]
-        order = np.argsort(-bound, kind="stable")
-        best, near, lowest = np.zeros(0, np.int64), np.zeros(0), 0.0
-        at, more = 0, READ_AT_ONCE
-        while at < len(order):
-            blocks = order[at : at + more]
-            at, more = at + more, 2 * more
-            blocks = blocks[bound[blocks] > lowest + 1e-12]
-            if not len(blocks):
+        if self.postings is None:
+            self.postings = self._inverted()
+        starts, examples, weights = self.postings
+        score = np.zeros(len(self.ids))
+        order = np.argsort(starts[feature + 1] - starts[feature], kind="stable")
+        f, w = feature[order], weight[order]
+        sizes = starts[f + 1] - starts[f]
+        ends = np.cumsum(sizes)
+        unread = np.append(np.sqrt(np.cumsum((w * w)[::-1])[::-1]), 0.0)
+        at, goal, lowest = 0, READ_AT_ONCE, 0.0
+        while at < len(f):
+            to = max(at + 1, int(np.searchsorted(ends, goal, side="right")))
+            place = _places(starts[f[at:to]], starts[f[at:to] + 1])
+            terms = weights[place] * np.repeat(w[at:to], sizes[at:to])
+            score += np.bincount(examples[place], terms, len(score))
+            if but >= 0:
+                score[but] = 0.0
+            at, goal = to, 2 * goal
+            lowest = np.partition(score, -k)[-k] if len(score) >= k else 0.0
+            # Float32 weights may be longer than 1 by their rounding.
+            possible = score + unread[at] > lowest - 1e-6
+            if lowest > unread[at] and at < len(f) and possible.sum() <= IN_FULL:
+                best = np.flatnonzero(possible)
+                near = self.cosines(best, f, w)
                 break
-            a, b = self.starts[feature][:, blocks], self.starts[feature][:, blocks + 1]
-            sizes = (b - a).ravel()
-            place = np.repeat(a.ravel(), sizes) + np.arange(sizes.sum()) - np.repeat(
-                np.cumsum(sizes) - sizes, sizes
-            )
-            terms = self.weights[place] * np.repeat(
-                np.broadcast_to(weight[:, None], a.shape).ravel(), sizes
-            )
-            found, of = np.unique(self.examples[place], return_inverse=True)
-            cosine = np.bincount(of, terms, len(found))
-            keep = found != but
-            best, near = np.concatenate([best, found[keep]]), np.concatenate([near, cosine[keep]])
-            top = np.lexsort((best, -near))[:k]
-            best, near = best[top], near[top]
-            lowest = near[-1] if len(near) == k else 0.0
-        return best, near
+        else:
+            best = np.flatnonzero((score > 0) & (score >= lowest))
+            near = score[best]
+        if but >= 0:
+            best, near = best[best != but], near[best != but]
+        top = np.lexsort((best, -near))[:k]
+        return best[top], near[top]
+
+    def cosines(self, examples: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of some examples, from all their features."""
+        firsts = self.firsts
+        place = _places(firsts[examples], firsts[examples + 1])
+        of = np.repeat(np.arange(len(examples)), firsts[examples + 1] - firsts[examples])
+        dense = np.zeros(len(self.worth))
+        dense[feature] = weight
+        return np.bincount(of, self.weights[place] * dense[self.features[place]], len(examples))
+
+    def _inverted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the postings of a feature start, their examples and weights."""
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.firsts))
+        weight = (1 + np.log(self.times)) * self.worth[self.features]
+        weight /= np.sqrt(np.bincount(example, weight * weight, len(self.ids)))[example]
+        self.weights = weight.astype(np.float32)
+        order = np.argsort(self.features, kind="stable")
+        counts = np.bincount(self.features, minlength=len(self.worth))
+        return np.concatenate([[0], np.cumsum(counts)]), example[order], self.weights[order]
 
     def vote(self, best: np.ndarray, near: np.ndarray) -> float:
         weight = near * self.share[self.toxic[best]]
@@ -180,8 +217,17 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return np.array(steps), np.array(values)
 
 
-def select_features(examples: DataFrame) -> np.ndarray:
-    """Hashes of the features that tell the classes apart, from ``text`` and ``toxic``."""
+def _places(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """All places of some ranges, one range after the other."""
+    sizes = stops - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
+def weigh_features(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all features, in order, and how far they tell the classes apart.
+
+    From ``text`` and ``toxic``; none without examples of both classes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -200,13 +246,12 @@ def select_features(examples: DataFrame) -> np.ndarray:
 
     totals = examples.agg(F.sum("toxic").alias("yes"), F.count(F.lit(1)).alias("n")).first()
     if not totals["yes"] or totals["yes"] == totals["n"]:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0)
     share = totals["yes"] / totals["n"]
     counts = (
         examples.mapInArrow(run, "h bigint, yes bigint, n bigint")
         .groupBy("h")
         .agg(F.sum("yes").alias("yes"), F.sum("n").alias("n"))
-        .filter(F.col("n") >= SEEN)
     )
 
     def term(seen: F.Column, expected: F.Column) -> F.Column:
@@ -214,15 +259,10 @@ def select_features(examples: DataFrame) -> np.ndarray:
 
     yes, no = F.col("yes").cast("double"), (F.col("n") - F.col("yes")).cast("double")
     surprise = term(yes, F.col("n") * share) + term(no, F.col("n") * (1 - share))
-    best = (
-        counts.withColumn("surprise", surprise)
-        .filter(F.col("surprise") >= SURPRISE)
-        .orderBy(F.desc("surprise"), "h")
-        .limit(FEATURES)
-        .select("h")
-        .toPandas()
-    )
-    return best["h"].to_numpy(np.int64).view(np.uint64)
+    found = counts.select("h", surprise.alias("surprise")).toPandas()
+    h = found["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], 1.0 + np.maximum(found["surprise"].to_numpy()[order], 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
@@ -240,68 +280,83 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
         picked = some if picked is None else picked.unionByName(some)
     picked = checkpointed(picked.dropDuplicates(["id"]))
     examples = checkpointed(docs.join(F.broadcast(picked), "id"))
-    known = Known(select_features(examples))
-    n = len(known.hashes)
+    hashes, surprise = weigh_features(examples)
+    known, n = Known(hashes), len(hashes)
+    sent = send(docs.sparkSession, known)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = received(sent), np.zeros(n, np.int64)
         for batch in sliced(batches, "text"):
             _, feature, _ = known.counts(*text_bytes(batch.column("text")))
-            found, count = np.unique(feature, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count)], ["f", "n"])
+            count += np.bincount(feature, minlength=n)
+        found = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count[found])], ["f", "n"])
 
     total = docs.count()
     holding = np.zeros(n)
-    for r in docs.mapInArrow(held, "f bigint, n bigint").groupBy("f").agg(F.sum("n")).collect():
-        holding[r[0]] = r[1]
-    idf = np.log1p(total / np.maximum(holding, 1))
+    counts = docs.mapInArrow(held, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
+    holding[counts["f"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    worth = np.log1p(total / np.maximum(holding, 1)) * surprise
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = received(sent)
         for batch in sliced(batches, "text"):
             row, feature, times = known.counts(*text_bytes(batch.column("text")))
-            cuts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (feature, times)]
+            cuts = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (feature, times)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("toxic"), *lists], ["id", "toxic", "f", "n"]
             )
 
     kept = (
-        examples.mapInArrow(counted, "id bigint, toxic int, f array<bigint>, n array<bigint>")
+        examples.mapInArrow(counted, "id bigint, toxic int, f array<int>, n array<int>")
         .orderBy("toxic", "id")
-        .toPandas()
+        .toArrow()
     )
-    toxic = kept["toxic"].to_numpy(np.int64)
+    toxic, ids = (kept.column(x).to_numpy().astype(np.int64) for x in ("toxic", "id"))
+    index = _index(n, worth, {x: [r.values.to_numpy() for r in kept.column(x)] for x in ("f", "n")})
+    del kept
     used = np.bincount(toxic, minlength=2)
     share = np.array([sizes.get(c, 0) / max(used[c], 1) for c in (0, 1)])
     prior = sizes.get(1, 0) / max(sum(sizes.values()), 1)
-    model = Model(
-        known, idf, kept["id"].to_numpy(np.int64), toxic, share, prior,
-        *_index(n, idf, kept), np.zeros(0), np.zeros(0),
-    )
-    votes = np.full(len(kept), prior)
-    for i, (f, t) in enumerate(zip(kept["f"], kept["n"])):
-        if len(f):
-            votes[i] = model.vote(*model.nearest(f, model.vector(f, t), NEIGHBOURS, but=i))
+    model = Model(known, worth, ids, toxic, share, prior, *index, np.zeros(0), np.zeros(0))
+    whole = send(docs.sparkSession, model)
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = received(whole)
+        for batch in batches:
+            votes = np.full(batch.num_rows, model.prior)
+            for at, i in enumerate(batch.column("id").to_numpy()):
+                own = slice(model.firsts[i], model.firsts[i + 1])
+                if own.start < own.stop:
+                    f, n = model.features[own], model.times[own]
+                    votes[at] = model.vote(*model.nearest(f, model.vector(f, n), NEIGHBOURS, but=i))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes)], ["id", "vote"])
+
+    parts = max(1, min(len(toxic) // 64, 4 * docs.sparkSession.sparkContext.defaultParallelism))
+    rows = docs.sparkSession.range(0, len(toxic), 1, parts).mapInArrow(voted, "id bigint, vote double").toPandas()
+    votes = np.full(len(toxic), prior)
+    votes[rows["id"].to_numpy(np.int64)] = rows["vote"].to_numpy()
+    model.sent = whole
     model.steps, model.values = isotonic(votes, toxic.astype(float), share[toxic])
     return model
 
 
-def _index(n: int, idf: np.ndarray, kept) -> tuple[np.ndarray, ...]:
-    """Postings by feature and block of examples, and the largest weight of each."""
-    sizes = np.array([len(f) for f in kept["f"]], np.int64)
-    example = np.repeat(np.arange(len(sizes)), sizes)
-    feature = np.concatenate([*kept["f"], np.zeros(0, np.int64)]).astype(np.int64)
-    times = np.concatenate([*kept["n"], np.zeros(0, np.int64)]).astype(np.float64)
-    weight = (1 + np.log(times)) * idf[feature]
-    weight = weight / np.sqrt(np.bincount(example, weight * weight, len(sizes)))[example]
-    blocks = max(1, -(-len(sizes) // BLOCK))
-    order = np.lexsort((example, feature))
-    example, feature, weight = example[order], feature[order], weight[order]
-    cell = feature * blocks + example // BLOCK
-    starts = np.searchsorted(cell, np.arange(n * blocks + 1))
-    bounds = np.zeros(n * blocks)
-    np.maximum.at(bounds, cell, weight)
-    table = np.concatenate([starts[:-1].reshape(n, blocks), starts[blocks::blocks][:n, None]], axis=1)
-    return table, example, weight, bounds.reshape(n, blocks)
+def _index(n: int, worth: np.ndarray, kept) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the features of every example start, these, and how often each is there."""
+    firsts = np.concatenate([[0], np.cumsum([len(f) for f in kept["f"]])]).astype(np.int64)
+    both = (np.concatenate([*kept[x], np.zeros(0, np.int32)]).astype(np.int32) for x in ("f", "n"))
+    return firsts, *both
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, most of them small: like bytes together, deflated."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 SCORED = "score double, evidence array<struct<id: bigint, cosine: double, toxic: int>>"
@@ -316,11 +371,13 @@ def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     classes every score is the share of toxic rows in the labels (0 without labels).
     """
     df = df.drop("score", "evidence")
-    sent = send(df.sparkSession, model)
+    sent = model.sent or send(df.sparkSession, model)
+    steps, values = model.steps, model.values
     kind = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent)
+        model.steps, model.values = steps, values
         # Texts with the same features as one before have its neighbours.
         found: dict[tuple[bytes, bytes], tuple[float, list[dict]]] = {}
         for batch in sliced(batches, text):

@@ -275,3 +275,23 @@ def test_shingles_of_words():
     assert [len(f) for f in found] == [0, 1, 1, 1, 2, 1, 1, 1]
     assert found[1] == found[2] and found[3] == found[5] != found[6] and found[3] < found[4]
     assert not re.match(r"\s", "\x00")
+
+
+def test_toxicity_keeps_every_term(spark):
+    """A word in six of 60 toxic examples and in no clean one; too few for any cut-off."""
+    rng = random.Random(4)
+    plain = [a + b + "rst" for a in "abcdefghij" for b in "klmnopqrst"]
+    rows, labels = [], []
+    for i in range(300):
+        words = rng.choices(plain, k=rng.randint(8, 20))
+        if i < 60:
+            words.append("scarce" if i < 6 else "nasty")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i < 60)))
+    rows += [(900, " ".join(rng.choices(plain, k=9)) + " Scarce"), (901, " ".join(rng.choices(plain, k=9)))]
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "id bigint, toxic int"), F.lit(True))
+    words = {w for _, text in rows[:300] for w in text.lower().split()}
+    assert len(model.known.hashes) == len(words | {w[:k] for w in words for k in (4, 5, 6) if len(w) > k})
+    scores = {r.id: r.score for r in toxicity.scored(docs.filter("id >= 900"), model).collect()}
+    assert scores[900] >= 0.5 > scores[901]
