@@ -9,9 +9,9 @@ rows. Postings are read from the rarest feature on; the length of what is unread
 bounds all that it can add, so reading stops once few examples can be among the nearest,
 and the cosines of these are computed in full.
 
-The k nearest vote with their cosine, classes weighted back to their true shares, and the
-votes are calibrated by isotonic regression on the examples themselves, each left out of
-its own vote.
+The k nearest vote with their cosine, classes weighted back to their true shares; all that
+tie for the last votes share these. The votes are calibrated by isotonic regression on the
+examples themselves, each left out of its own vote.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ PREFIXES = (4, 5, 6)
 NEIGHBOURS = 25
 READ_AT_ONCE = 1 << 16
 IN_FULL = 256
+TIED = 1e-9
 REMEMBERED = 50_000
 FILTER_BITS = 20
 
@@ -135,7 +136,8 @@ class Model:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The examples with the k largest cosines (above 0), and these.
 
-        Ties go to the first example. Postings are read in growing numbers.
+        All that tie with the k-th are returned, so there may be more than k. Postings are
+        read in growing numbers.
         """
         if self.postings is None:
             self.postings = self._inverted()
@@ -163,11 +165,13 @@ class Model:
                 near = self.cosines(best, f, w)
                 break
         else:
-            best = np.flatnonzero((score > 0) & (score >= lowest))
+            best = np.flatnonzero((score > 0) & (score >= lowest - TIED))
             near = score[best]
         if but >= 0:
             best, near = best[best != but], near[best != but]
-        top = np.lexsort((best, -near))[:k]
+        top = np.lexsort((best, -near))
+        if len(top) > k:
+            top = top[near[top] >= near[top[k - 1]] - TIED]
         return best[top], near[top]
 
     def cosines(self, examples: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -189,8 +193,12 @@ class Model:
         counts = np.bincount(self.features, minlength=len(self.worth))
         return np.concatenate([[0], np.cumsum(counts)]), example[order], self.weights[order]
 
-    def vote(self, best: np.ndarray, near: np.ndarray) -> float:
+    def vote(self, best: np.ndarray, near: np.ndarray, k: int = NEIGHBOURS) -> float:
+        """The share of toxic rows; all that tie with the k-th share the votes left to them."""
         weight = near * self.share[self.toxic[best]]
+        if len(near) > k:
+            tied = near <= near[k - 1] + TIED
+            weight[tied] *= (k - (~tied).sum()) / tied.sum()
         # The prior has the say of one row: all of it where there is no neighbour.
         return float(
             ((weight * self.toxic[best]).sum() + self.prior) / (weight.sum() + 1.0)
@@ -310,7 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
 
     kept = (
         examples.mapInArrow(counted, "id bigint, toxic int, f array<int>, n array<int>")
-        .orderBy("toxic", "id")
+        .orderBy("id")
         .toArrow()
     )
     toxic, ids = (kept.column(x).to_numpy().astype(np.int64) for x in ("toxic", "id"))

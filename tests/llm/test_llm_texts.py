@@ -9,12 +9,13 @@ import re
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meterloom.llm import arc, bpe, minmax, mixing, ordinal, queries, suffixes, toxicity
-from meterloom.llm.shared import staged_path
+from meterloom.llm.shared import staged_path, text_bytes
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, id string"
@@ -295,3 +296,15 @@ def test_toxicity_keeps_every_term(spark):
     assert len(model.known.hashes) == len(words | {w[:k] for w in words for k in (4, 5, 6) if len(w) > k})
     scores = {r.id: r.score for r in toxicity.scored(docs.filter("id >= 900"), model).collect()}
     assert scores[900] >= 0.5 > scores[901]
+
+
+def test_toxicity_ties_share_the_vote(spark):
+    """Copies among the labelled rows: the order of classes and ids must not decide."""
+    rows = [(i, "some odious words" if i < 100 else f"calm number{i}") for i in range(200)]
+    for toxic in (range(30, 100), range(70)):
+        labels = [(i, int(i in toxic)) for i in range(200)]
+        docs = spark.createDataFrame(rows, "id bigint, text string")
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "id bigint, toxic int"), F.lit(True))
+        _, feature, times = model.known.counts(*text_bytes(pa.array([rows[0][1]])))
+        best, near = model.nearest(feature, model.vector(feature, times), toxicity.NEIGHBOURS)
+        assert abs(model.vote(best, near) - 0.7) < 0.02
