@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -35,6 +36,11 @@ WARC_LINE = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROW_HEADER = "X-Archive-Row"
 
+# What is escaped in a URL: control characters, and what is white space to Python or Java.
+BLANK = [
+    c for c in map(chr, range(0x3001)) if c.isspace() or unicodedata.category(c) in ("Cc", "Zs", "Zl", "Zp")
+]
+
 CHUNK = 1 << 20
 IDS_SENT = 500_000
 BATCH_BYTES = 4 << 20
@@ -58,6 +64,7 @@ ARC_SCHEMA = T.StructType(
         T.StructField("truncated", T.BooleanType()),
         T.StructField("head", T.BinaryType()),
         T.StructField("payload", T.BinaryType()),
+        T.StructField("passed_over", T.LongType()),
     ]
 )
 WARC_SCHEMA = T.StructType(
@@ -81,13 +88,18 @@ def write_arc(
 ) -> None:
     """Write a row as an HTTP response in ARC archives, of both versions in turn.
 
-    ``row`` goes into a header of the response (empty for null). Spaces in a URL are escaped,
-    a null or empty URL is ``unknown:``, a null body is empty. Rows that are repeated are
+    ``row`` goes into a header of the response (empty for null). White space and control
+    characters in a URL, Unicode's too, are escaped as their UTF-8 bytes, a null or empty URL is ``unknown:``, a null body is empty. Rows that are repeated are
     records of their own; of the same row number and payload, the first one read is the
     response. An empty table gives archives without such records.
     """
     payload = F.coalesce(F.col(body).cast("binary"), F.lit(b""))
-    address = F.regexp_replace(F.coalesce(F.col(url), F.lit("unknown:")), r"\s", "%20")
+    address = F.coalesce(F.col(url), F.lit("unknown:"))
+    escaped = address
+    for c in BLANK:
+        escaped = F.replace(escaped, F.lit(c), F.lit("".join(f"%{b:02X}" for b in c.encode())))
+    any_of = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANK) + "]"
+    address = F.when(address.rlike(any_of), escaped).otherwise(address)
     # Names that mean something else in an archive are set apart.
     address = F.when(address == "", "unknown:").when(
         address.rlike("^(filedesc|dns):"), F.concat(F.lit("urn:"), address)
@@ -198,8 +210,8 @@ def _row_of(head: bytes) -> int | None:
 
 
 _ARC_LINE = {
-    1: re.compile(r"(\S.*) (\S+) (\d{8,17}) (\S+) (\d+)"),
-    2: re.compile(r"(\S.*) (\S+) (\d{8,17}) (\S+) \S+ \S+ \S+ \S+ \S+ (\d+)"),
+    1: re.compile(r"([^ ].*) (\S+) (\d{8,17}) (\S+) (\d+)"),
+    2: re.compile(r"([^ ].*) (\S+) (\d{8,17}) (\S+) \S+ \S+ \S+ \S+ \S+ (\d+)"),
 }
 
 
@@ -207,20 +219,31 @@ def arc_records(archive: str, content: bytes, payloads: bool) -> Iterator[tuple]
     """The records of one archive, as rows of ``ARC_SCHEMA``.
 
     The version block says which fields a header line has; without one, the line does. A
-    line that is no header is passed over. A length beyond the end is kept as truncated.
+    line that is no header is passed over; those with anything in them are counted in the
+    record before (``passed_over``; in the first one, also those before it), and an archive
+    that has nothing else is an error. A length beyond the end is kept as truncated.
     """
     reader, version = _Reader(content), 0
+    last, passed = None, 0
     while True:
         offset = reader.offset
         line = reader.line()
         if line is None:
+            if last:
+                yield (*last, passed)
+            elif passed:
+                raise ValueError(f"{archive}: no ARC header in {passed} lines")
             return
         text = line.decode("utf-8", "replace")
         found = None
         for v in [version] if version else [2, 1]:
             found = found or _ARC_LINE[v].fullmatch(text)
         if not found:
+            passed += bool(line.strip())
             continue
+        if last:
+            yield (*last, passed)
+            passed = 0
         url, ip, date, mime, length = found.groups()
         block = reader.take(int(length))
         if url.startswith("filedesc:"):
@@ -232,7 +255,7 @@ def arc_records(archive: str, content: bytes, payloads: bool) -> Iterator[tuple]
         )
         made = hashlib.md5(f"{archive}:{offset}:{url}:{date}".encode()).hexdigest()
         name = "-".join((made[:8], made[8:12], "5" + made[13:16], "8" + made[17:20], made[20:]))
-        yield (
+        last = (
             archive, offset, version, url, ip, date, mime, kind, _row_of(head),
             f"<urn:uuid:{name}>", _digest(payload), len(payload), _digest(block),
             len(block) < int(length), head, payload if payloads else None,
@@ -278,7 +301,7 @@ def _read(spark: SparkSession, path: str, parse, schema: T.StructType) -> DataFr
                 rows, held = [], 0
                 for row in parse(archive.as_py(), content.as_py()):
                     rows.append(row)
-                    held += 200 + len(row[-1] or b"")
+                    held += 200 + sum(len(x) for x in row if isinstance(x, bytes))
                     if held >= BATCH_BYTES:
                         yield batch(rows)
                         rows, held = [], 0

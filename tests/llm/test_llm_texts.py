@@ -308,3 +308,26 @@ def test_toxicity_ties_share_the_vote(spark):
         _, feature, times = model.known.counts(*text_bytes(pa.array([rows[0][1]])))
         best, near = model.nearest(feature, model.vector(feature, times), toxicity.NEIGHBOURS)
         assert abs(model.vote(best, near) - 0.7) < 0.02
+
+
+def test_archives_keep_pages_of_any_url(spark):
+    blank = ["\u00a0", "\u3000", "\u2028", "\x1c", "\x00", "\x85", "\t", " ", "\r\n"]
+    rows = [(i, f"{c}http://a/{c}b", f"page {i % 10}") for i, c in enumerate(blank + ["", "\ufeff"])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    old, new = staged_path(spark, "arc"), staged_path(spark, "warc")
+    arc.write_arc(pages, old, row="page_id", url="url", body="html")
+    read = arc.read_arc(spark, old).collect()
+    assert {r.passed_over for r in read} == {0}
+    urls = {r.row: r.url for r in read}
+    assert urls[1] == "%E3%80%80http://a/%E3%80%80b" and urls[3] == "%1Chttp://a/%1Cb"
+    arc.convert(spark, old, new)
+    found = arc.read_warc(spark, new).filter("record_type <> 'warcinfo'").collect()
+    assert sorted(r.row for r in found) == list(range(len(rows)))
+
+
+def test_archive_lines_passed_over_are_counted():
+    body = "odd\n\u3000http://a/ 0.0.0.0 20200101000000 text/plain 2\nhi\nodd\n\nodd\n"
+    (found,) = arc.arc_records("x.arc", body.encode(), True)
+    assert dict(zip(arc.ARC_SCHEMA.names, found))["passed_over"] == 3
+    with pytest.raises(ValueError):
+        list(arc.arc_records("x.arc", b"odd\n", True))
