@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import adsampling, arc, bpe, hilbert, minmax, mixing, ordinal, rabitq, suffixes, toxicity
+from meterloom.llm import (
+    adsampling,
+    arc,
+    bpe,
+    hilbert,
+    masks,
+    minmax,
+    mixing,
+    ordinal,
+    pii,
+    rabitq,
+    resample,
+    suffixes,
+    toxicity,
+)
 from meterloom.llm.shared import staged_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -228,3 +242,84 @@ def op10_adsampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all vectors for those whose id is divisible by 20."""
     vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return adsampling.search(vectors, vectors.filter("vec_id % 20 = 0"), "vec_id", "embedding", 20)
+
+
+@_query(f"""
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+    m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM n, c),
+    w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT
+        AS w FROM f, c GROUP BY term),
+    q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+    s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+        FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM s WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50
+""")
+def op11_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every item of the benchmark."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    return masks.rank(docs, items, "doc_id", "text", "item_id", "text", 50)
+
+
+# The CRC of a word, byte by byte and bit by bit.
+_CRC = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(range(1, octet_length(encode(word)) + 1),
+        lambda i: ('0x' || substr(hex(encode(word)), (2 * i - 1)::BIGINT, 2))::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda k: 0::UBIGINT)),
+        lambda r, z: xor(r >> 1, 3988292384::UBIGINT * (r & 1)))))"""
+
+
+def _words_sql(table: str) -> str:
+    return f"""regexp_extract_all(translate(coalesce({table}.text, ''), {_LETTERS}),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+
+@_query(f"""
+    WITH d AS (SELECT doc_id, {_words_sql("documents")} AS words FROM documents),
+    u AS (SELECT doc_id, unnest(words) AS word FROM d),
+    v AS (SELECT unnest({_words_sql("benchmark")}) AS word FROM benchmark),
+    b AS (SELECT word, ({_CRC} % 10000)::INTEGER AS bucket
+        FROM (SELECT DISTINCT word FROM (SELECT word FROM u UNION ALL SELECT word FROM v))),
+    s AS (SELECT bucket, count(*) AS s FROM u JOIN b USING (word) GROUP BY ALL),
+    t AS (SELECT bucket, count(*) AS t FROM v JOIN b USING (word) GROUP BY ALL),
+    g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE
+            * ((SELECT count(*) FROM u) + 10000)::DOUBLE)
+            / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM v) + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM s FULL JOIN t USING (bucket)),
+    w AS (SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+        FROM u JOIN b USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+    x AS (SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+            / 4294967296)))::BIGINT AS score FROM d LEFT JOIN w USING (doc_id)),
+    e AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM x
+        WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score,
+        CASE WHEN rank <= 10 * (SELECT count(*) FROM e) // 100 THEN rank END AS rank
+    FROM x LEFT JOIN e USING (doc_id)
+""")
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and a tenth of them drawn."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    target = _table(spark, sf_dir, "benchmark", "text")
+    return resample.resample(docs, target, "doc_id", "text", "text").withColumnRenamed("id", "doc_id")
+
+
+@_query()
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: by fixed patterns, and what the tagger adds."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii.find(docs, "text", pii.fit(docs, "text"))
+    joined = pii.joined_spans
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
