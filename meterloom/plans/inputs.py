@@ -82,10 +82,7 @@ def reply_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def frame_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Recorded stream lines: a request per user, a line per event."""
-    return frames_from(table(spark, folder, "events"))
-
-
-def frames_from(events: DataFrame) -> DataFrame:
+    events = table(spark, folder, "events")
     event, kind = F.col("event_id"), F.col("event_type")
 
     def delta(field: str) -> Column:
@@ -157,12 +154,9 @@ def log_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def poll_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return polls_from(table(spark, folder, "events"))
-
-
-def polls_from(events: DataFrame) -> DataFrame:
-    """Polled job states: a job per user, a poll per event."""
+def poll_rows(spark: SparkSession, folder: str, timed: bool = False) -> DataFrame:
+    """Polled job states: a job per user, a poll per event; with ``timed`` also when it was."""
+    events = table(spark, folder, "events")
     kind, event = F.col("event_type"), F.col("event_id")
     status = (
         F.when(kind.isin("view", "click"), F.lit("Running"))
@@ -173,6 +167,7 @@ def polls_from(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("job"),
         event.alias("poll"),
+        *(["ts"] if timed else []),
         status.alias("status"),
         F.when(kind == "error", F.concat(F.lit(" out of\n\n  quota "), event, F.lit("\t"))).alias(
             "reason"

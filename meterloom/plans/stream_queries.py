@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.operators import streams
 from meterloom.plans.inputs import (
     chunk_rows,
     frame_rows,
-    frames_from,
-    polls_from,
+    poll_rows,
     table,
     with_sql,
 )
 from meterloom.plans.registry import query
 from meterloom.session import shared_folder
 from meterloom.streaming.frames import account_live
-from meterloom.streaming.polls import sighting_feed, status_feed
+from meterloom.streaming.held import use_rocksdb
+from meterloom.streaming.polls import sighting_feed, status_feed, watch_progress
 
 MAX_TOKENS = 64
 
@@ -202,9 +202,39 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Recorded tables span weeks; a watermark this far behind drops none of their rows.
+WHOLE_SPAN = "3650 days"
+AFTER_ALL = "INTERVAL 7300 DAYS"
+
+
+def _dealt(rows: DataFrame, name: str, **closing: Column) -> DataFrame:
+    """``rows`` as a stream, dealt to several micro-batches in no order.
+
+    A last file holds one row long after all others, with the values of ``closing``: it moves
+    the watermark past them, and stays open itself.
+    """
+    spark = rows.sparkSession
+    target = f"{shared_folder(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    files = max(8, spark.sparkContext.defaultParallelism)
+    rows.repartition(files).write.parquet(target)
+    last = rows.agg((F.max("ts") + F.expr(AFTER_ALL)).alias("ts")).select(
+        *[
+            F.col(f.name) if f.name == "ts" else closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in rows.schema
+        ]
+    )
+    last.write.mode("append").parquet(target)
+    return (
+        spark.readStream.schema(rows.schema)
+        .option("maxFilesPerTrigger", -(-files // 4))
+        .parquet(target)
+    )
+
+
 def _drain(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over all that is there, into a table of the shared folder."""
     spark = stream.sparkSession
+    use_rocksdb(spark)
     target = f"{shared_folder(spark)}/streams/{name}-{uuid.uuid4().hex}"
     running = (
         stream.writeStream.format("parquet")
@@ -216,26 +246,46 @@ def _drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(target)
 
 
-@query(
-    "account_live",
-    with_sql("frames", "accounts") + _ACCOUNT_SQL + " WHERE done",
-)
+@query("account_live", with_sql("frames", "accounts") + _ACCOUNT_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests that ended; the others stay open until the watermark passes them."""
-    live = _drain(account_live(frames_from(_stream(spark, folder))), "accounts")
-    return _rounded(live.filter("done").drop("late_frames"))
+    """Every request, whether it was ended by its last frame or by silence."""
+    frames = _dealt(frame_rows(spark, folder), "frames", request_id=F.lit("closing"), seq=F.lit(0))
+    live = _drain(account_live(frames, delay=WHOLE_SPAN), "accounts")
+    return _rounded(live.drop("late_frames"))
 
 
-@query(
-    "status_feed",
-    with_sql("polls")
-    + """ SELECT job, poll, status, previous,
+_CHANGES = """SELECT job, poll, status, previous,
              CASE WHEN status = 'Failed' THEN 'out of quota ' || poll END AS reason FROM (
             SELECT *, lag(status) OVER (PARTITION BY job ORDER BY poll) AS previous FROM polls)
-          WHERE previous IS DISTINCT FROM status""",
+          WHERE previous IS DISTINCT FROM status"""
+
+
+def _status_feed(spark: SparkSession, folder: str) -> DataFrame:
+    polls = _dealt(poll_rows(spark, folder, timed=True), "polls", job=F.lit("closing"), poll=F.lit(0))
+    ever = 100 * 365 * 86_400_000
+    feed = status_feed(polls, delay=WHOLE_SPAN, keep_ms=ever, give_up_ms=ever)
+    return _drain(feed, "status")
+
+
+@query("status_feed", f"{with_sql('polls')} {_CHANGES}")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _status_feed(spark, folder)
+
+
+@query(
+    "watch_progress",
+    with_sql("polls")
+    + """, last AS (
+        SELECT job::BIGINT % 3 AS watch, arg_max(status, poll) AS status FROM polls GROUP BY job)
+        SELECT watch, count(*)::BIGINT AS jobs,
+             (count(*) FILTER (WHERE status IN ('Completed', 'Failed', 'Canceled')))::BIGINT AS terminal,
+             bool_and(status IN ('Completed', 'Failed', 'Canceled')) AS all_terminal
+          FROM last GROUP BY 1""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _drain(status_feed(polls_from(_stream(spark, folder))), "status")
+    """Whether all jobs of a watch list have ended, from the live feed of changes."""
+    feed = _status_feed(spark, folder).withColumn("watch", F.col("job").cast("bigint") % 3)
+    return watch_progress(feed, "watch")
 
 
 @query(

@@ -1,19 +1,19 @@
 """R1 to R6 on a live stream: many interleaved requests, one state per request.
 
 Frames are parsed and narrowed by expressions before the shuffle, so neither JSON nor
-text reaches the state. A request's state is a dozen numbers.
+text reaches the state. A request's state is a dozen numbers, and the frames that the
+watermark has not passed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from meterloom.operators.streams import MICROS, parse_frames
+from meterloom.streaming.held import Held
 
 OUTPUT_SCHEMA = """
     request_id string, counted bigint, content_chunks bigint, thinking_chunks bigint,
@@ -21,110 +21,126 @@ OUTPUT_SCHEMA = """
     e2e_s double, output_tokens bigint, chunks_per_s double, old_meter_blind boolean,
     late_frames bigint
 """
-STATE_SCHEMA = """
-    start_us bigint, last_us bigint, first_seq bigint, first_us bigint, counted bigint,
-    content bigint, thinking bigint, usage_seq bigint, usage bigint, finish_seq bigint,
-    finish string, done_seq bigint, late bigint
-"""
-NEVER = 1 << 62
-FRESH = (NEVER, -1, NEVER, NEVER, 0, 0, 0, -1, -1, -1, "", NEVER, 0)
-
-
-def _absorb(state: tuple, batch: pd.DataFrame) -> tuple:
-    """Fold one batch of a request's parsed frames into its state."""
-    (
-        start, last, first_seq, first_us, counted, content, thinking,
-        usage_seq, usage, finish_seq, finish, done_seq, late,
-    ) = state
-    done = batch.loc[batch["is_done"], "seq"]
-    if len(done):
-        done_seq = min(done_seq, int(done.min()))
-    batch = batch[batch["seq"] <= done_seq]
-    if batch.empty:
-        return (*state[:11], done_seq, late)
-    start = min(start, int(batch["at_us"].min()))
-    last = max(last, int(batch["at_us"].max()))
-    texts = batch[batch["text_choices"] > 0]
-    if len(texts):
-        opening = texts.loc[texts["seq"].idxmin()]
-        if int(opening["seq"]) < first_seq:
-            first_seq, first_us = int(opening["seq"]), int(opening["at_us"])
-    counted += int(batch["text_choices"].sum())
-    content += int(batch["content_choices"].sum())
-    thinking += int(batch["thinking_choices"].sum())
-    billed = batch[batch["usage_tokens"] > 0]
-    if len(billed):
-        latest = billed.loc[billed["seq"].idxmax()]
-        if int(latest["seq"]) > usage_seq:
-            usage_seq, usage = int(latest["seq"]), int(latest["usage_tokens"])
-    ended = batch[batch["finish_reason"].notna()]
-    if len(ended):
-        latest = ended.loc[ended["seq"].idxmax()]
-        if int(latest["seq"]) > finish_seq:
-            finish_seq, finish = int(latest["seq"]), str(latest["finish_reason"])
-    return (
-        start, last, first_seq, first_us, counted, content, thinking,
-        usage_seq, usage, finish_seq, finish, done_seq, late,
-    )
-
-
-def _account(request: str, state: tuple) -> pd.DataFrame:
-    (
-        start, last, _, first_us, counted, content, thinking,
-        _, usage, finish_seq, finish, done_seq, late,
-    ) = state
-    elapsed = (last - start) / MICROS
-    ok = counted > 0
-    return pd.DataFrame(
-        {
-            "request_id": [request],
-            "counted": [counted],
-            "content_chunks": [content],
-            "thinking_chunks": [thinking],
-            "usage_tokens": pd.array([usage if usage > 0 else None], dtype="Int64"),
-            "finish_reason": [finish if finish_seq >= 0 else None],
-            "done": [done_seq < NEVER],
-            "ok": [ok],
-            "ttft_s": [(first_us - start) / MICROS if ok else None],
-            "e2e_s": [elapsed],
-            "output_tokens": [usage if usage > 0 else counted],
-            "chunks_per_s": [(content + thinking) / elapsed if elapsed > 0 else None],
-            "old_meter_blind": [ok and content == 0],
-            "late_frames": [late],
-        }
+
+
+class Frame(NamedTuple):
+    seq: int
+    at_ms: int
+    at_us: int
+    is_done: bool
+    text: int
+    content: int
+    thinking: int
+    usage: int | None
+    finish: str | None
+
+
+class Sums(NamedTuple):
+    """What is known of a request; ``told`` once its row was emitted."""
+
+    start: int
+    last: int
+    first: int | None = None
+    counted: int = 0
+    content: int = 0
+    thinking: int = 0
+    usage: int | None = None
+    finish: str | None = None
+    done: bool = False
+    late: int = 0
+    told: bool = False
+
+
+class Accounts(Held):
+    HELD = """seq bigint, at_ms bigint, at_us bigint, is_done boolean, text bigint, content bigint,
+        thinking bigint, usage bigint, finish string"""
+    KNOWN = """start bigint, last bigint, first bigint, counted bigint, content bigint,
+        thinking bigint, usage bigint, finish string, done boolean, late bigint, told boolean"""
+
+    def __init__(self, timeout_ms: int) -> None:
+        self.timeout_ms = timeout_ms
+
+    def read(self, row: Row) -> tuple:
+        return tuple(
+            Frame(
+                row.seq, row.at_us // 1000, row.at_us, row.is_done, row.text_choices,
+                row.content_choices, row.thinking_choices, row.usage_tokens, row.finish_reason,
+            )
+        )
+
+    def fold(
+        self, key: tuple, known: tuple | None, ready: list[tuple], now: int
+    ) -> tuple[list[Row], tuple | None, int | None]:
+        sums = Sums(*known) if known else None
+        for row in ready:
+            sums = _absorb(sums, Frame(*row))
+        if sums is None:
+            return [], None, None
+        ends = sums.last // 1000 + self.timeout_ms
+        out = []
+        if not sums.told and (sums.done or now >= ends):
+            out.append(_account(key[0], sums))
+            sums = sums._replace(told=True)
+        # A request that was told is remembered as long as a silent one is waited for, so
+        # that what comes too late does not open it again.
+        if sums.told and now >= ends:
+            return out, None, None
+        return out, tuple(sums), ends
+
+
+def _absorb(sums: Sums | None, frame: Frame) -> Sums:
+    sums = sums or Sums(frame.at_us, frame.at_us)
+    if sums.done or sums.told:
+        return sums._replace(late=sums.late + 1)
+    has_text = frame.text > 0
+    return sums._replace(
+        start=min(sums.start, frame.at_us),
+        last=max(sums.last, frame.at_us),
+        first=frame.at_us if has_text and sums.first is None else sums.first,
+        counted=sums.counted + frame.text,
+        content=sums.content + frame.content,
+        thinking=sums.thinking + frame.thinking,
+        usage=frame.usage if (frame.usage or 0) > 0 else sums.usage,
+        finish=sums.finish if frame.finish is None else frame.finish,
+        done=frame.is_done,
     )
 
 
-def _step(
-    key: tuple, batches: Iterator[pd.DataFrame], group: GroupState, timeout_ms: int
-) -> Iterator[pd.DataFrame]:
-    state = group.get if group.exists else FRESH
-    if group.hasTimedOut:
-        # Emitted already if it was done; then only late arrivals are worth a row.
-        if state[11] == NEVER or state[12] > 0:
-            yield _account(key[0], state)
-        group.remove()
-        return
-    emitted = state[11] < NEVER
-    for batch in batches:
-        if emitted:
-            state = (*state[:12], state[12] + len(batch))
-        else:
-            state = _absorb(state, batch)
-    if not emitted and state[11] < NEVER:
-        yield _account(key[0], state)
-    group.update(state)
-    group.setTimeoutTimestamp(max(group.getCurrentWatermarkMs(), state[1] // 1000) + timeout_ms)
+def _account(request: str, sums: Sums) -> Row:
+    elapsed = (sums.last - sums.start) / MICROS
+    ok = sums.counted > 0
+    chunks = sums.content + sums.thinking
+    return Row(
+        request_id=request,
+        counted=sums.counted,
+        content_chunks=sums.content,
+        thinking_chunks=sums.thinking,
+        usage_tokens=sums.usage,
+        finish_reason=sums.finish,
+        done=sums.done,
+        ok=ok,
+        ttft_s=(sums.first - sums.start) / MICROS if ok else None,
+        e2e_s=elapsed,
+        output_tokens=sums.counted if sums.usage is None else sums.usage,
+        chunks_per_s=chunks / elapsed if elapsed > 0 else None,
+        old_meter_blind=ok and sums.content == 0,
+        late_frames=sums.late,
+    )
 
 
 def account_live(
     frames: DataFrame, *, delay: str = "30 seconds", timeout_ms: int = 600_000
 ) -> DataFrame:
-    """R2 to R5 as a stream: a request is emitted on ``[DONE]``, or when it times out.
-
-    ``frames`` is a streaming ``request_id, seq, ts, line``. A frame that arrives after
-    its request was emitted is dropped and counted; the count comes with a second row at
-    expiry. Add :func:`meterloom.operators.streams.diagnose` for R6.
+    """R2 to R5 as a stream: one row per request.
+
+    A request is emitted when the watermark (``delay`` behind the latest frame) has passed
+    its ``[DONE]``, or ``timeout_ms`` of silence. Frames may come in any order and in any
+    batches, as long as none is later than ``delay``; the rows are those of
+    :func:`meterloom.operators.streams.account_streams`. ``late_frames`` counts what a
+    request sent after its ``[DONE]``. ``frames`` is a streaming ``request_id, seq, ts, line``
+    in which time does not fall along ``seq``. Needs
+    :func:`meterloom.streaming.held.use_rocksdb`. Add
+    :func:`meterloom.operators.streams.diagnose` for R6.
     """
     # Event time must be a plain timestamp; recorded times may lack a zone.
     parsed = (
@@ -133,12 +149,6 @@ def account_live(
         .withColumn("ts", F.timestamp_micros("at_us"))
         .withWatermark("ts", delay)
     )
-
-    def step(
-        key: tuple, batches: Iterator[pd.DataFrame], group: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        return _step(key, batches, group, timeout_ms)
-
-    return parsed.groupBy("request_id").applyInPandasWithState(
-        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+    return parsed.groupBy("request_id").transformWithState(
+        Accounts(timeout_ms), OUTPUT_SCHEMA, "append", "eventTime"
     )

@@ -2,57 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from meterloom.operators.logs import failure_reason
+from meterloom.operators.logs import TERMINAL, failure_reason
+from meterloom.streaming.held import Held
 
 FEED_SCHEMA = "job string, poll bigint, status string, previous string, reason string"
 
 
-def _changes(
-    key: tuple, batches: Iterator[pd.DataFrame], group: GroupState
-) -> Iterator[pd.DataFrame]:
-    last_poll, last = group.get if group.exists else (None, None)
-    # What one job sent within a micro-batch: narrow rows, in the order of polls.
-    rows = pd.concat(list(batches)).sort_values("poll")
-    if last_poll is not None:
-        rows = rows[rows["poll"] > last_poll]
-    if rows.empty:
-        group.update((last_poll, last))
-        return
-    before = rows["status"].shift(1)
-    before.iloc[0] = last
-    changed = rows.assign(previous=before)[rows["status"].ne(before)]
-    group.update((int(rows["poll"].iloc[-1]), rows["status"].iloc[-1]))
-    yield changed[["job", "poll", "status", "previous", "reason"]]
-
-
-def status_feed(polls: DataFrame) -> DataFrame:
+class Changes(Held):
+    """The last poll of a job, and the polls that the watermark has not passed."""
+
+    HELD = "poll bigint, at_ms bigint, status string, reason string"
+    KNOWN = "poll bigint, at_ms bigint, status string"
+
+    def __init__(self, keep_ms: int, give_up_ms: int) -> None:
+        self.keep_ms, self.give_up_ms = keep_ms, give_up_ms
+
+    def read(self, row: Row) -> tuple:
+        return row.poll, row.at_ms, row.status, row.reason
+
+    def fold(
+        self, key: tuple, known: tuple | None, ready: list[tuple], now: int
+    ) -> tuple[list[Row], tuple | None, int | None]:
+        out = []
+        for poll, at_ms, status, reason in ready:
+            if known and poll <= known[0]:
+                continue
+            previous = known[2] if known else None
+            if status != previous:
+                out.append(Row(job=key[0], poll=poll, status=status, previous=previous, reason=reason))
+            known = (poll, at_ms, status)
+        if known is None:
+            return out, None, None
+        ends = known[1] + (self.keep_ms if known[2] in TERMINAL else self.give_up_ms)
+        return (out, None, None) if now >= ends else (out, known, ends)
+
+
+def status_feed(
+    polls: DataFrame,
+    *,
+    delay: str = "10 minutes",
+    keep_ms: int = 3_600_000,
+    give_up_ms: int = 7 * 86_400_000,
+) -> DataFrame:
     """W8 as a stream: one row per change, with the reason of a failure.
 
-    State is the last poll and status of each job. A poll that comes after a later one was
-    handled is left out.
+    ``polls`` is a streaming ``job, poll, ts, status`` and perhaps ``reason``, in which time
+    does not fall along ``poll``. Polls that come out of order, but not later than
+    ``delay``, are put in order: the rows are those of
+    :func:`meterloom.operators.logs.status_changes`. A job leaves the state ``keep_ms`` after
+    its last poll if that was terminal, ``give_up_ms`` after it if not; a poll that comes
+    even later starts the job anew. Needs :func:`meterloom.streaming.held.use_rocksdb`.
     """
     state = F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("?"))
     told = F.col("reason") if "reason" in polls.columns else F.lit(None).cast("string")
+    at = F.col("ts").cast("timestamp")
     known = polls.select(
         F.col("job").cast("string").alias("job"),
         F.col("poll").cast("bigint").alias("poll"),
+        at.alias("ts"),
+        F.unix_millis(at).alias("at_ms"),
         state.alias("status"),
         failure_reason(state, told).alias("reason"),
+    ).withWatermark("ts", delay)
+    return known.groupBy("job").transformWithState(
+        Changes(keep_ms, give_up_ms), FEED_SCHEMA, "append", "eventTime"
     )
 
-    return known.groupBy("job").applyInPandasWithState(
-        _changes,
-        FEED_SCHEMA,
-        "poll bigint, status string",
-        "append",
-        GroupStateTimeout.NoTimeout,
+
+def watch_progress(feed: DataFrame, *by: str) -> DataFrame:
+    """W10 over a feed of changes: how many jobs a watch list has, and how many have ended.
+
+    Every change moves the two counts by what it says about its job, so sums are enough: no
+    job is looked up and nothing is gathered. The feed may be a table or a stream (in
+    complete or update mode).
+    """
+
+    def ended(status: str):
+        return F.coalesce(F.col(status).isin(*TERMINAL), F.lit(False)).cast("bigint")
+
+    return (
+        feed.groupBy(*by)
+        .agg(
+            F.count_if(F.col("previous").isNull()).alias("jobs"),
+            F.sum(ended("status") - ended("previous")).alias("terminal"),
+        )
+        .withColumn("all_terminal", F.col("jobs") == F.col("terminal"))
     )
 
 

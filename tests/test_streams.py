@@ -9,9 +9,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterloom.operators import streams
+from meterloom.operators import logs, streams
 from meterloom.streaming.frames import account_live
-from meterloom.streaming.polls import status_feed
+from meterloom.streaming.held import use_rocksdb
+from meterloom.streaming.polls import status_feed, watch_progress
 
 FRAMES = "request_id string, seq long, ts timestamp, line string"
 START = datetime(2024, 1, 1)
@@ -85,82 +86,114 @@ def test_cap_usage(spark, lines):
     assert facts["switching"] == (True, 3, None)
 
 
-def drain(spark, tmp_path, batches, schema, build):
-    """Run a stream over the batches, one file and one trigger each."""
-    source, out = tmp_path / "in", tmp_path / "out"
-    for i, rows in enumerate(batches):
+def drain(spark, folder, batches, schema, build):
+    """Run a stream over the batches, one file and one micro-batch each; also the rows of state left."""
+    use_rocksdb(spark)
+    source, out = folder / "in", folder / "out"
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
-        stream = build(spark.readStream.schema(schema).parquet(str(source)))
-        query = (
-            stream.writeStream.format("parquet")
-            .option("checkpointLocation", str(tmp_path / "state"))
-            .trigger(availableNow=True)
-            .start(str(out))
-        )
-        query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(str(out))
-
-
-def test_the_stream_agrees_with_the_batch(spark, lines, tmp_path):
-    in_order = sorted(lines, key=lambda r: (r[1], r[0]))
-    thirds = [in_order[0::1][:12], in_order[12:30], in_order[30:]]
-    # A much later frame moves the watermark, so that the open request times out; one more
-    # batch lets the timeout fire.
-    later = [("later", 0, START + timedelta(hours=2), OPEN)]
-    last = [("later", 1, START + timedelta(hours=4), frame({"content": "z"}))]
-    live = drain(
-        spark, tmp_path, [*thirds, later, last], FRAMES, lambda s: account_live(s, timeout_ms=60_000)
+    stream = build(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source)))
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", str(folder / "state"))
+        .trigger(availableNow=True)
+        .start(str(out))
     )
-    found = {
-        r.request_id: r for r in streams.diagnose(live).collect() if r.late_frames == 0
-    }
-    assert {
-        n: (r.counted, r.output_tokens, r.ok, r.diagnosis) for n, r in found.items() if n in EXPECTED
-    } == EXPECTED
+    query.awaitTermination()
+    left = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    return spark.read.schema(stream.schema).parquet(str(out)), left[-1]
+
+
+CLOSING = [("closing", 0, START + timedelta(days=2), OPEN)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_stream_agrees_with_the_batch_under_any_dealing(spark, lines, tmp_path, seed):
+    rng = random.Random(seed)
+    dealt = [[] for _ in range(3)]
+    for row in lines:
+        rng.choice(dealt).append(row)
+    # The last file moves the watermark past all that was sent and past the silence after it.
+    live, _ = drain(
+        spark, tmp_path, [*filter(None, dealt), CLOSING], FRAMES,
+        lambda s: account_live(s, delay="1 hour", timeout_ms=60_000),
+    )
+    found = {r.request_id: r for r in streams.diagnose(live).collect()}
+    assert {n: (r.counted, r.output_tokens, r.ok, r.diagnosis) for n, r in found.items()} == EXPECTED
+    assert live.count() == len(EXPECTED)
     parsed = streams.before_done(streams.parse_frames(spark.createDataFrame(lines, FRAMES)))
-    batch = {r.request_id: r for r in streams.account_streams(parsed).collect()}
-    for name, row in found.items():
-        if name in batch:
-            for column in batch[name].asDict():
-                assert getattr(row, column) == pytest.approx(getattr(batch[name], column)), (name, column)
+    for row in streams.account_streams(parsed).collect():
+        for column, value in row.asDict().items():
+            assert getattr(found[row.request_id], column) == pytest.approx(value), (row.request_id, column)
+    assert found["billed"].late_frames == 1 and not found["open"].done
 
 
-def test_late_frames_are_dropped_and_counted(spark, tmp_path):
+def test_late_frames_are_dropped_and_counted_and_state_is_given_back(spark, tmp_path):
     first = recorded("r", [OPEN, frame({"content": "a"}), DONE])
     late = [("r", 9, START + timedelta(seconds=5), frame({"content": "late"}))]
-    later = [("s", 0, START + timedelta(hours=2), OPEN)]
-    last = [("s", 1, START + timedelta(hours=4), OPEN)]
-    live = drain(
-        spark, tmp_path, [first, late, later, last], FRAMES, lambda s: account_live(s, timeout_ms=60_000)
-    )
-    rows = sorted((r.counted, r.late_frames) for r in live.filter("request_id = 'r'").collect())
-    assert rows == [(1, 0), (1, 1)]
+    # What comes after the row was told, but before the request is forgotten.
+    told = [("s", 0, START + timedelta(minutes=5), OPEN)]
+    later = [("r", 10, START + timedelta(minutes=6), frame({"content": "later"}))]
+    live, left = drain(
+        spark, tmp_path, [first, late, told, later, CLOSING], FRAMES,
+        lambda s: account_live(s, delay="30 seconds", timeout_ms=3_600_000),
+    )
+    assert [(r.counted, r.late_frames) for r in live.filter("request_id = 'r'").collect()] == [(1, 1)]
+    assert [r.done for r in live.filter("request_id = 's'").collect()] == [False]
+    # One held frame and one timer of the request that closed the stream.
+    assert left <= 2
 
 
-def test_status_feed_tells_reasons_and_leaves_out_late_polls(spark, tmp_path):
-    schema = "job string, poll long, status string, reason string"
-    batches = [
-        [("a", 2, "Running", None), ("a", 4, "Failed", " no\n\n room ")],
-        [("a", 3, "Queued", None), ("a", 5, "Running", "x")],
-    ]
-    feed = drain(spark, tmp_path, batches, schema, status_feed)
-    assert sorted((r.poll, r.status, r.previous, r.reason) for r in feed.collect()) == [
-        (2, "Running", None, None), (4, "Failed", "Running", "no room"), (5, "Running", "Failed", None),
-    ]
+POLLS = "job string, poll long, ts timestamp, status string, reason string"
+
 
+def polled(*rows):
+    return [(j, p, START + timedelta(minutes=p), s, r) for j, p, s, r in rows]
 
-def test_status_feed_emits_changes_only_across_batches(spark, tmp_path):
-    schema = "job string, poll long, status string"
+
+LAST_POLL = [("closing", 0, START + timedelta(days=30), "Running", None)]
+
+
+def test_status_feed_puts_polls_in_order_and_tells_reasons(spark, tmp_path):
     batches = [
-        [("a", 1, "Queued"), ("a", 2, "Queued"), ("b", 1, "")],
-        [("a", 3, "Running"), ("a", 4, "Running"), ("b", 2, None)],
-        [("a", 5, "Running"), ("a", 6, "Completed"), ("b", 3, "Failed")],
+        polled(("a", 2, "Running", None), ("a", 4, "Failed", " no\n\n room "), ("a", 4, "Failed", None)),
+        polled(("a", 3, "Queued", None), ("a", 5, "Running", "x"), ("a", 1, "", None)),
+        LAST_POLL,
     ]
-    feed = drain(spark, tmp_path, batches, schema, status_feed)
-    assert sorted((r.job, r.poll, r.status, r.previous) for r in feed.collect()) == [
-        ("a", 1, "Queued", None), ("a", 3, "Running", "Queued"), ("a", 6, "Completed", "Running"),
-        ("b", 1, "?", None), ("b", 3, "Failed", "?"),
+    feed, left = drain(spark, tmp_path, batches, POLLS, lambda s: status_feed(s, delay="1 hour"))
+    assert sorted((r.poll, r.status, r.previous, r.reason) for r in feed.collect()) == [
+        (1, "?", None, None), (2, "Running", "?", None), (3, "Queued", "Running", None),
+        (4, "Failed", "Queued", "no room"), (5, "Running", "Failed", None),
     ]
+    assert left <= 2
+
+
+def test_shuffled_polls_give_the_feed_of_the_batch_and_the_state_is_empty_at_the_end(spark, tmp_path):
+    rng = random.Random(9)
+    rows = []
+    for job in ("a", "b", "c", "d"):
+        states = [rng.choice(["Queued", "Running", "", "Running"]) for _ in range(15)] + ["Completed"]
+        rows += polled(*[(job, p, s, None) for p, s in enumerate(states)])
+    rng.shuffle(rows)
+    feed, left = drain(
+        spark, tmp_path, [rows[:20], rows[20:40], rows[40:], LAST_POLL], POLLS,
+        lambda s: status_feed(s, delay="1 day"),
+    )
+    batch = logs.status_changes(spark.createDataFrame(rows, POLLS), block_rows=4)
+    columns = ["job", "poll", "status", "previous"]
+    assert sorted(map(tuple, feed.select(columns).collect()), key=str) == sorted(
+        map(tuple, batch.select(columns).collect()), key=str
+    )
+    assert left <= 2
+    assert [tuple(r) for r in watch_progress(feed).collect()] == [(4, 4, True)]
+    # The same counts from the feed as a stream.
+    query = (
+        watch_progress(spark.readStream.schema(feed.schema).parquet(str(tmp_path / "out")))
+        .writeStream.format("memory").queryName("progress").outputMode("complete")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert [tuple(r) for r in spark.table("progress").collect()] == [(4, 4, True)]
 
 
 @pytest.mark.parametrize("block_rows", [1, 3, 1000])
