@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterloom.functions import text as T
 from meterloom.functions.messages import chat_messages, chat_record
 from meterloom.operators.once import computed_once
-from meterloom.operators.ordered import take_first
+from meterloom.operators.ordered import BLOCK_ROWS, measured, take_first
 
 DEFAULT_MIN_RATIO = 0.3
 DEFAULT_MIN_OUTPUT_CHARS = 10
@@ -175,14 +175,17 @@ def funnel(scored: DataFrame, by: str = "source") -> DataFrame:
     )
 
 
-def cap_rows(rows: DataFrame, n: int, order: str = "row_id", width: int = 1 << 20) -> DataFrame:
+def cap_rows(
+    rows: DataFrame, n: int, order: str = "row_id", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """S3: the first ``n`` rows by ``order``; 0 means no cap.
 
-    The cut is found by ranges of the integer ``order`` column, for a cap of any size.
+    The cut is found by blocks of the integer ``order`` column, for a cap of any size.
     """
     if n == 0:
         return rows
-    return take_first(rows, n, [order], F.expr(f"cast(`{order}` as bigint) div {width}L"))
+    block = measured(rows, order, block_rows).block(F.col(order))
+    return take_first(rows, n, [order], block)
 
 
 def preview(rows: DataFrame, n: int = 5, order: str = "row_id") -> DataFrame:

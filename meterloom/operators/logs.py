@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from meterloom.functions.classify import cluster_error, log_read
 from meterloom.functions.text import SPACE, is_blank, strip
-from meterloom.operators.ordered import (
-    BLOCK_ROWS,
-    block_of,
-    take_first,
-    with_group_facts,
-    with_neighbour,
-)
-
-# Where lines are kept that a plan reads more than once.
-KEPT = StorageLevel.DISK_ONLY
+from meterloom.operators.ordered import BLOCK_ROWS, measured, take_first, with_neighbour
+from meterloom.session import stage
 
 # What marks the line where something went wrong.
 ERROR_MARKS = (
@@ -54,64 +46,56 @@ def has_error_mark(line: Column) -> Column:
     return found
 
 
-def first_error(
-    lines: DataFrame,
-    file: str = "file_id",
-    position: str = "line_no",
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+def first_error(lines: DataFrame, file: str = "file_id", position: str = "line_no") -> DataFrame:
     """Lines from the first marked one on, with ``first_no`` and its ``speaker``.
 
     ``speaker`` is empty when the marked line carries no stamp. Files without a marked
     line have no rows.
+
+    What is known of a file is written as a table before lines meet it. Spark then knows how
+    large it is: as long as it is small it goes to the readers, and no line is shuffled.
     """
-    marked = F.when(has_error_mark(F.col("line")), F.struct(position, "line"))
-    return (
-        with_group_facts(lines, [file], position, {"_first": ("min", marked)}, block_rows)
-        .filter(F.col(position) >= F.col(f"_first.{position}"))
-        .withColumn("first_no", F.col(f"_first.{position}"))
-        .withColumn("speaker", F.regexp_extract(F.col("_first.line"), SPEAKER_STAMP, 0))
-        .drop("_first")
+    marked = lines.filter(has_error_mark(F.col("line")))
+    found = (
+        marked.groupBy(file)
+        .agg(F.min(F.struct(position, "line")).alias("_first"))
+        .select(
+            file,
+            F.col(f"_first.{position}").alias("first_no"),
+            F.regexp_extract("_first.line", SPEAKER_STAMP, 0).alias("speaker"),
+        )
     )
+    return lines.join(stage(found, "first_error"), file).filter(F.col(position) >= F.col("first_no"))
 
 
-def cause_block(
-    lines: DataFrame,
-    file: str = "file_id",
-    position: str = "line_no",
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+def cause_block(lines: DataFrame, file: str = "file_id", position: str = "line_no") -> DataFrame:
     """The unbroken run of the first speaker, stamps stripped, blanks dropped."""
-    started = first_error(lines, file, position, block_rows)
-    return _cause_of(started, file, position, block_rows)
+    return _cause_of(first_error(lines, file, position), file, position)
 
 
-def _cause_of(started: DataFrame, file: str, position: str, block_rows: int) -> DataFrame:
+def _cause_of(started: DataFrame, file: str, position: str) -> DataFrame:
+    """The runs of first speakers, which end with the first line that is not theirs."""
     stamped = started.filter(F.col("speaker") != "")
-    other = F.when(~F.col("line").startswith(F.col("speaker")), F.col(position))
+    other = stamped.filter(~F.col("line").startswith(F.col("speaker")))
+    stops = stage(other.groupBy(file).agg(F.min(position).alias("_stop")), "stops")
+    bare = F.regexp_replace(F.regexp_replace("line", LINE_PREFIX, ""), rf"[{SPACE}]+\z", "")
     return (
-        with_group_facts(stamped, [file], position, {"_stop": ("min", other)}, block_rows)
+        stamped.join(stops, file, "left")
         .filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop")))
-        .withColumn(
-            "line",
-            F.regexp_replace(
-                F.regexp_replace("line", LINE_PREFIX, ""), rf"[{SPACE}]+\z", ""
-            ),
-        )
+        .withColumn("line", bare)
         .filter(F.col("line") != "")
         .select(file, position, "line")
     )
 
 
-def _first_ranked(
-    rows: DataFrame, file: str, position: str, n: int, last: bool = False
-) -> DataFrame:
-    """The first (or last) ``n`` lines of every file with their ``_rank``, for any ``n``."""
-    sign = -1 if last else 1
-    ordered = rows.withColumn("_order", F.col(position).cast("bigint") * sign)
-    taken = take_first(ordered, n, ["_order"], block_of("_order"), [file])
-    ranked = F.row_number().over(Window.partitionBy(file).orderBy("_order"))
-    return taken.withColumn("_rank", ranked).drop("_order")
+def _ranked(rows: DataFrame, file: str, n: int, *, last: bool = False) -> DataFrame:
+    """The first (or last) few rows of every file by ``_at``, with their ``_rank``.
+
+    Every task keeps its own ``n`` of a file before anything is shuffled.
+    """
+    order = F.desc("_at") if last else F.asc("_at")
+    rank = F.row_number().over(Window.partitionBy(file).orderBy(order))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n)
 
 
 def _joined_text(rows: DataFrame, file: str, position: str) -> DataFrame:
@@ -129,61 +113,42 @@ def error_excerpt(
     head: int = 6,
     file: str = "file_id",
     position: str = "line_no",
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``file, excerpt`` for every file in which something went wrong.
 
     A stamped cause keeps its first ``head`` and last ``window - head`` lines with a
     marker between; an unstamped one keeps ``window`` lines as they are.
-    """
-    # Kept twice, when the result is asked for: the block's stop, size and both ends are
-    # then found without reading the files again.
-    started = first_error(lines, file, position, block_rows).persist(KEPT)
-    unstamped = started.filter(F.col("speaker") == "")
-    plain = _first_ranked(unstamped, file, position, window).select(
-        file, F.col(position).cast("bigint").alias("_at"), "line"
-    )
 
-    cause = _cause_of(started, file, position, block_rows)
-    block = cause.withColumn("_at", F.col(position).cast("bigint")).persist(KEPT)
-    sizes = block.groupBy(file).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_start")
-    )
+    The runs of the speakers are written once; their sizes and both their ends are found in
+    that table. At most ``window`` lines of a file leave a task.
+    """
+    started = first_error(lines, file, position)
+    at = F.col(position).cast("bigint").alias("_at")
+    plain = _ranked(started.filter(F.col("speaker") == "").select(file, at, "line"), file, window)
+    block = stage(_cause_of(started, file, position).select(file, at, "line"), "cause")
+    sizes = block.groupBy(file).agg(F.count(F.lit(1)).alias("_n"))
     overlong = F.col("_n") > window
-    opening = _first_ranked(block, file, "_at", window).join(sizes, file).filter(
-        ~overlong | (F.col("_rank") <= head)
-    )
-    closing = _first_ranked(block, file, "_at", window - head, last=True).join(
-        sizes.filter(overlong), file
-    )
-    # The marker sorts after the opening lines and before the closing ones.
-    turn = opening.filter(overlong).groupBy(file).agg(
-        F.max("_at").alias("_at"), F.max("_n").alias("_n")
-    )
-    marker = turn.select(
-        file,
-        "_at",
-        F.lit(1).alias("_after"),
-        F.concat(
-            F.lit("... "), (F.col("_n") - window).cast("string"), F.lit(" lines omitted ...")
-        ).alias("line"),
-    )
-    rows = (
-        plain.withColumn("_after", F.lit(0))
-        .unionByName(opening.select(file, "_at", F.lit(0).alias("_after"), "line"))
-        .unionByName(closing.select(file, "_at", F.lit(0).alias("_after"), "line"))
-        .unionByName(marker)
-        .withColumn("_place", F.struct("_at", "_after"))
+    opening = _ranked(block, file, window).join(sizes, file).filter(~overlong | (F.col("_rank") <= head))
+    closing = _ranked(block, file, window - head, last=True).join(sizes.filter(overlong), file)
+    omitted = F.concat(F.lit("... "), F.col("_n") - window, F.lit(" lines omitted ..."))
+    # The marker stands behind the last line of the head.
+    marker = opening.filter(overlong & (F.col("_rank") == head)).withColumn("line", omitted)
+    rows = reduce(
+        DataFrame.unionByName,
+        [
+            part.select(file, F.struct("_at", F.lit(after).alias("_after")).alias("_place"), "line")
+            for part, after in ((plain, 0), (opening, 0), (closing, 0), (marker, 1))
+        ],
     )
-    # At most window + 1 lines per file are left.
     return _joined_text(rows, file, "_place")
 
 
 def log_tail(
     lines: DataFrame, n: int = 40, file: str = "file_id", position: str = "line_no"
 ) -> DataFrame:
-    """The last ``n`` lines of every file, as rows."""
-    return _first_ranked(lines, file, position, n, last=True).drop("_rank")
+    """The last ``n`` lines of every file, as rows, for an ``n`` of any size."""
+    block = -measured(lines, position).block(F.col(position))
+    return take_first(lines, n, [F.desc(position)], block, [file])
 
 
 def tail_text(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.messages import normalize_role, render_plain, to_messages
 from meterloom.functions.text import is_blank
 from meterloom.operators.once import computed_once
-from meterloom.operators.ordered import take_first
+from meterloom.operators.ordered import BLOCK_ROWS, measured, take_first
 
 DEFAULT_MIN_CHARS = 10
 DEFAULT_MAX_CHARS = 8000
@@ -136,10 +136,10 @@ def cap_per_source(
     max_chars: int = DEFAULT_MAX_CHARS,
     source: str = "source",
     order: str = "row_id",
-    width: int = 1 << 16,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """L1: the first ``cap`` rows of every source among those of usable length."""
-    block = F.expr(f"cast(`{order}` as bigint) div {width}L")
+    block = measured(rows, order, block_rows).block(F.col(order))
     usable = within_length(rows, min_chars, max_chars)
     return take_first(usable, cap, [order], block, [source])
 

@@ -1,55 +1,108 @@
 """Ordered and per-group work that never puts a whole group into one task.
 
 A group (a log file, a request, a source) may hold a third of all rows, so a plain
-window over it would be one task's work. Every operator here cuts a group into blocks of
-an order-preserving integer instead: rows are shuffled by (group, block), and only one
-row per block, the summary, is ever ordered within a group.
+window over it would be one task's work. Operators here cut groups into blocks of
+neighbouring positions instead: rows are shuffled by (group, block), and only one row per
+block, the summary, is ever ordered within a group.
 
 Positions are integers that rise in the wanted order: line numbers, frame sequence
-numbers, poll numbers, row ids. The input is read twice, once for the summaries and once
-for the rows; stage it first (:func:`meterloom.session.stage`) where it is costly to make.
-Group columns hold no nulls.
+numbers, row ids, hashes, microseconds. Where blocks start is read off a quantile sketch of
+the positions (:func:`measured`), so that no block holds many more rows than others,
+however the positions are spaced. The input is read once for the sketch, once for the
+summaries and once for the rows; stage it first (:func:`meterloom.session.stage`) where it
+is costly to make. Group columns hold no nulls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 16
+# Pieces of the positions with about equally many rows each, and blocks in all of them.
+PIECES = 64
+MOST_BLOCKS = 1 << 20
 _BLOCK = "_block"
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 
 
-def block_of(position: str, block_rows: int = BLOCK_ROWS) -> Column:
-    return F.expr(f"cast(`{position}` as bigint) div {block_rows}L")
+@dataclass(frozen=True)
+class Cuts:
+    """Pieces of like row counts; each is cut into ``blocks`` of equal width.
+
+    Everything counts in halves of a position, so that no difference of two overflows.
+    """
+
+    starts: tuple[int, ...] = ()
+    widths: tuple[int, ...] = ()
+    blocks: int = 1
+
+    def block(self, position: Column) -> Column:
+        """The block of a position; it never falls as the position rises."""
+        if not self.starts:
+            return F.lit(0).cast("bigint")
+        half = F.shiftright(position.cast("bigint"), 1)
+        piece = _piece(half, self.starts[1:], 0)
+        start = F.get(F.lit(list(self.starts)), piece)
+        width = F.get(F.lit(list(self.widths)), piece)
+        inside = F.floor((half - start) / width).cast("bigint")
+        return (
+            F.greatest(F.least(inside, F.lit(self.blocks - 1)), F.lit(0))
+            + piece.cast("bigint") * self.blocks
+        )
+
+
+def _piece(half: Column, cuts: Sequence[int], before: int) -> Column:
+    """How many of the rising ``cuts`` a value has reached, by halving."""
+    if not cuts:
+        return F.lit(before)
+    middle = len(cuts) // 2
+    return F.when(half < cuts[middle], _piece(half, cuts[:middle], before)).otherwise(
+        _piece(half, cuts[middle + 1 :], before + middle + 1)
+    )
+
+
+def measured(df: DataFrame, position: str, block_rows: int = BLOCK_ROWS) -> Cuts:
+    """Cuts for blocks of about ``block_rows`` rows, from a sketch of all positions.
+
+    One job over the position column; the driver sees ``PIECES`` numbers. Rows of one group
+    are a part of the rows in a piece, so a block of a group holds no more than a block of
+    the table. A table of one block is not cut.
+    """
+    place = F.col(position).cast("bigint")
+    ranks = [i / PIECES for i in range(PIECES + 1)]
+    found = (
+        df.agg(F.count(place).alias("n"), F.kll_sketch_agg_bigint(place).alias("sketch"))
+        .select("n", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(ranks))).alias("cuts"))
+        .first()
+    )
+    if found["n"] <= block_rows:
+        return Cuts()
+    cuts = [c >> 1 for c in found["cuts"]]
+    starts = sorted(set(cuts[:-1]))
+    wanted = min(-(-found["n"] // block_rows), MOST_BLOCKS)
+    blocks = -(-wanted // len(starts))
+    ends = [*starts[1:], cuts[-1] + 1]
+    widths = [max(1, -(-(b - a) // blocks)) for a, b in zip(starts, ends)]
+    return Cuts(tuple(starts), tuple(widths), blocks)
 
 
 def with_group_facts(
-    df: DataFrame,
-    group: Sequence[str],
-    position: str,
-    facts: Mapping[str, tuple[str, Column]],
-    block_rows: int = BLOCK_ROWS,
+    df: DataFrame, group: Sequence[str], facts: Mapping[str, tuple[str, Column]]
 ) -> DataFrame:
     """Add group-wide ``min``, ``max`` or ``sum`` columns to every row.
 
-    ``facts`` maps a new column to (operation, column). Summaries are built per block
-    with map-side combining, merged across the blocks of a group, and joined back on
-    (group, block), so a hot group spreads over as many tasks as it has blocks.
+    ``facts`` maps a new column to (operation, column). They are combined on the map side,
+    and there is one row a group to join back: a join that adaptive execution sends to the
+    rows where it is small, and whose hot groups it splits where it is not.
     """
-    keys = [*group, _BLOCK]
-    blocked = df.withColumn(_BLOCK, block_of(position, block_rows))
-    partial = blocked.groupBy(*keys).agg(
+    found = df.groupBy(*group).agg(
         *[_MERGE[op](column).alias(name) for name, (op, column) in facts.items()]
     )
-    within = Window.partitionBy(*group)
-    merged = partial.select(
-        *keys, *[_MERGE[op](name).over(within).alias(name) for name, (op, _) in facts.items()]
-    )
-    return blocked.join(merged, keys, "left").drop(_BLOCK)
+    return df.join(found, [*group], "left")
 
 
 def with_neighbour(
@@ -61,6 +114,7 @@ def with_neighbour(
     *,
     ahead: bool = False,
     block_rows: int = BLOCK_ROWS,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add ``value`` of the previous row (the next one with ``ahead``) of the group.
 
@@ -69,7 +123,8 @@ def with_neighbour(
     """
     keys = [*group, _BLOCK]
     own, edge, shifted, carried = "_own", "_edge", "_shifted", "_carried"
-    blocked = df.withColumn(_BLOCK, block_of(position, block_rows)).withColumn(
+    cuts = cuts or measured(df, position, block_rows)
+    blocked = df.withColumn(_BLOCK, cuts.block(F.col(position))).withColumn(
         own, F.struct(value.alias("v"))
     )
     pick, shift = (F.min_by, F.lead) if ahead else (F.max_by, F.lag)

@@ -15,14 +15,10 @@ from pyspark.sql.types import TimestampNTZType
 
 from meterloom.functions import frames as fr
 from meterloom.functions.replies import CLOSE_THINK
-from meterloom.operators.ordered import (
-    BLOCK_ROWS,
-    block_of,
-    with_group_facts,
-    with_neighbour,
-)
+from meterloom.operators.ordered import BLOCK_ROWS, measured, with_group_facts, with_neighbour
 from meterloom.operators.quantiles import exact_quantiles
 from meterloom.operators.serving import LEVEL
+from meterloom.session import stage
 
 MICROS = 1_000_000
 
@@ -53,13 +49,11 @@ def parse_frames(frames: DataFrame) -> DataFrame:
     )
 
 
-def before_done(
-    parsed: DataFrame, request: str = "request_id", block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def before_done(parsed: DataFrame, request: str = "request_id") -> DataFrame:
     """Drop what a request sent after its ``[DONE]``."""
     done = F.when(F.col("is_done"), F.col("seq"))
     return (
-        with_group_facts(parsed, [request], "seq", {"_done": ("min", done)}, block_rows)
+        with_group_facts(parsed, [request], {"_done": ("min", done)})
         .filter(F.col("_done").isNull() | (F.col("seq") <= F.col("_done")))
         .drop("_done")
     )
@@ -161,10 +155,10 @@ def chunk_gaps(
 ) -> DataFrame:
     """Seconds between a text-bearing frame and the one before it."""
     chunks = parsed.filter(F.col("text_choices") > 0).select(request, "seq", "at_us")
+    # Of all frames: a look at the numbers alone, without parsing a line.
+    cuts = measured(parsed, "seq", block_rows)
     return (
-        with_neighbour(
-            chunks, [request], "seq", "_prev", F.col("at_us"), block_rows=block_rows
-        )
+        with_neighbour(chunks, [request], "seq", "_prev", F.col("at_us"), cuts=cuts)
         .withColumn("gap_s", (F.col("at_us") - F.col("_prev")) / MICROS)
         .drop("_prev")
     )
@@ -200,44 +194,57 @@ def split_thinking(
     """Add ``thinking`` and ``content``, the parts of a raw chunk around ``</think>``.
 
     The tag may be spread over chunks of any size. It can only be completed by a chunk
-    together with the seven characters before it, and those lie in at most seven chunks,
-    so no growing concatenation is needed. Empty chunks are dropped.
+    together with the seven characters before it, and those lie in at most seven chunks.
+    So the two ends of a chunk, and where the tag stands inside it, are all that is
+    shuffled; the one row a request that comes of it is written as a table and meets the
+    chunks in a join, which is sent to them as long as it is small. Empty chunks are dropped.
     """
     reach = len(CLOSE_THINK) - 1
-    filled = chunks.filter(F.coalesce(F.col(text), F.lit("")) != "").withColumn(
-        "_block", block_of(position, block_rows)
-    )
+    filled = chunks.filter(F.coalesce(F.col(text), F.lit("")) != "")
+    block = measured(chunks, position, block_rows).block(F.col(position))
     keys = [request, "_block"]
 
     def last_chars(value: Column) -> Column:
         return F.substring(value, F.greatest(F.length(value) - reach + 1, F.lit(1)), F.lit(reach))
 
+    ends = filled.select(
+        request,
+        position,
+        block.alias("_block"),
+        F.substring(text, 1, reach).alias("_head"),
+        last_chars(F.col(text)).alias("_tail"),
+        F.instr(text, CLOSE_THINK).alias("_inside"),
+    )
     inside = Window.partitionBy(*keys).orderBy(position)
     before = inside.rowsBetween(-reach, -1)
-    local = filled.withColumn("_seen", F.array_join(F.collect_list(text).over(before), ""))
+    local = ends.withColumn("_seen", last_chars(F.array_join(F.collect_list("_tail").over(before), "")))
     tails = local.groupBy(*keys).agg(
-        F.max_by(last_chars(F.concat("_seen", F.col(text))), F.col(position)).alias("_tail")
+        F.max_by(last_chars(F.concat("_seen", "_tail")), F.col(position)).alias("_left")
     )
     across = Window.partitionBy(request).orderBy("_block").rowsBetween(-reach, -1)
     carried = tails.select(
-        *keys, F.array_join(F.collect_list("_tail").over(across), "").alias("_carried")
+        *keys, F.array_join(F.collect_list("_left").over(across), "").alias("_carried")
     )
     context = last_chars(F.concat(F.coalesce("_carried", F.lit("")), F.col("_seen")))
-    joined = (
-        local.join(carried, keys, "left")
-        .withColumn("_joined", F.concat(context, F.col(text)))
-        .withColumn("_tag", F.instr("_joined", CLOSE_THINK))
-        .drop("_block", "_seen", "_carried")
+    spread = F.instr(F.concat("_context", "_head"), CLOSE_THINK)
+    # How many characters of the chunk belong to the thinking part, the tag with it.
+    cut = F.when(spread > 0, spread + reach - F.length("_context")).when(
+        F.col("_inside") > 0, F.col("_inside") + reach
     )
-    closing = F.when(F.col("_tag") > 0, F.col(position))
-    found = with_group_facts(
-        joined, [request], position, {"closed_at": ("min", closing)}, block_rows
+    closed = (
+        local.join(carried, keys, "left")
+        .withColumn("_context", context)
+        .withColumn("_cut", cut)
+        .filter(F.col("_cut").isNotNull())
+        .groupBy(request)
+        .agg(F.min(F.struct(F.col(position).alias("at"), F.col("_cut").alias("cut"))).alias("_closed"))
+        .select(request, F.col("_closed.at").alias("closed_at"), F.col("_closed.cut").alias("_cut"))
     )
-    at = F.col(position)
-    closes = at == F.col("closed_at")
-    after = F.coalesce(at > F.col("closed_at"), F.lit(False))
-    rest = F.substring("_joined", F.col("_tag") + len(CLOSE_THINK), F.length("_joined"))
-    head = F.substring(text, F.lit(1), F.length(text) - F.length(rest))
+    found = filled.join(stage(closed, "closed"), request, "left")
+    closes = F.col(position) == F.col("closed_at")
+    after = F.coalesce(F.col(position) > F.col("closed_at"), F.lit(False))
+    head = F.substring(F.col(text), F.lit(1), F.col("_cut"))
+    rest = F.substring(F.col(text), F.col("_cut") + 1, F.length(text))
     return (
         found.withColumn(
             "thinking", F.when(closes, head).when(after, F.lit("")).otherwise(F.col(text))
@@ -245,5 +252,5 @@ def split_thinking(
         .withColumn(
             "content", F.when(closes, rest).when(after, F.col(text)).otherwise(F.lit(""))
         )
-        .drop("_joined", "_tag")
+        .drop("_cut")
     )

@@ -433,7 +433,7 @@ _CAPPED = """WITH capped AS (
 
 @query("cap_per_source", _CAPPED + " SELECT doc_id AS row_id, source FROM capped")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    capped = mixes.cap_per_source(mix_rows(spark, folder), 5, max_chars=4000, width=64)
+    capped = mixes.cap_per_source(mix_rows(spark, folder), 5, max_chars=4000, block_rows=64)
     return capped.select("row_id", "source")
 
 

@@ -19,7 +19,7 @@ LOGS = with_sql("logs")
     LOGS + " SELECT DISTINCT file_id, first_no, first_speaker AS speaker FROM started",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    started = logs.first_error(log_rows(spark, folder), block_rows=BLOCK)
+    started = logs.first_error(log_rows(spark, folder))
     return started.filter(F.col("line_no") == F.col("first_no")).select(
         "file_id", "first_no", "speaker"
     )
@@ -27,7 +27,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("cause_block", LOGS + " SELECT file_id, line_no, line FROM block")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.cause_block(log_rows(spark, folder), block_rows=BLOCK)
+    return logs.cause_block(log_rows(spark, folder))
 
 
 @query(
@@ -48,7 +48,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     FROM kept GROUP BY 1""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.error_excerpt(log_rows(spark, folder), block_rows=BLOCK)
+    return logs.error_excerpt(log_rows(spark, folder))
 
 
 @query(

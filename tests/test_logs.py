@@ -30,11 +30,11 @@ def numbered(**files):
     return [(name, i + 1, line) for name, lines in files.items() for i, line in enumerate(lines)]
 
 
-@pytest.fixture(scope="module", params=[4, 65536])
-def excerpts(spark, request):
+@pytest.fixture(scope="module")
+def excerpts(spark):
     rows = numbered(short=SHORT, trace=TRACE, plain=PLAIN, fine=["INFO ready", "INFO serving"])
     df = spark.createDataFrame(rows, LINES).repartition(3)
-    found = logs.error_excerpt(df, block_rows=request.param).collect()
+    found = logs.error_excerpt(df).collect()
     return {r.file_id: r.excerpt for r in found}
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterloom.operators.ordered import (
+    measured,
     take_first,
     with_group_facts,
     with_neighbour,
@@ -54,10 +55,9 @@ def test_neighbours(frame, rows, block_rows, ahead):
     assert got == expected
 
 
-@pytest.mark.parametrize("block_rows", [1, 64, 100_000])
-def test_group_facts(frame, rows, block_rows):
+def test_group_facts(frame, rows):
     facts = {"lo": ("min", F.col("v")), "hi": ("max", F.col("p")), "all": ("sum", F.col("v"))}
-    df = with_group_facts(frame, ["g"], "p", facts, block_rows)
+    df = with_group_facts(frame, ["g"], facts)
     assert df.count() == len(rows)
     by_group = groups_of(rows)
     for row in df.collect():
@@ -79,6 +79,39 @@ def test_first_rows_overall(frame, rows):
     assert sorted(r.p for r in got.collect()) == [p for _, p, _ in rows][:123]
 
 
+SPACINGS = {
+    "dense": lambda rng, n: list(range(n)),
+    "hashed": lambda rng, n: [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)],
+    "microseconds": lambda rng, n: [1_700_000_000_000_000 + int(rng.expovariate(1e-6) * i) for i in range(n)],
+    "numbered by task": lambda rng, n: [(i % 40 << 33) + i // 40 for i in range(n)],
+    "one far away": lambda rng, n: [*range(n - 1), 1 << 62],
+    "two heaps": lambda rng, n: [rng.choice((-(1 << 62), 1 << 62)) + i for i in range(n)],
+}
+
+
+@pytest.mark.parametrize("spacing", SPACINGS)
+def test_blocks_are_even_and_in_order_at_any_spacing(spark, spacing):
+    rng = random.Random(7)
+    places = SPACINGS[spacing](rng, 20_000)
+    # Two thirds of the rows in one group.
+    rows = [("hot" if rng.random() < 0.67 else f"g{i % 9}", p) for i, p in enumerate(places)]
+    df = spark.createDataFrame(rows, "g string, p bigint").repartition(5)
+    cuts = measured(df, "p", 200)
+    found = df.select("g", "p", cuts.block(F.col("p")).alias("b")).orderBy("p").collect()
+    blocks = [r.b for r in found]
+    assert blocks == sorted(blocks)
+    sizes = {}
+    for r in found:
+        sizes[r.g, r.b] = sizes.get((r.g, r.b), 0) + 1
+    # A piece has 313 rows; where they lie in heaps, all may be in one block.
+    assert max(sizes.values()) <= 3 * 200
+    neighbours = with_neighbour(df, ["g"], "p", "n", F.col("p"), cuts=cuts).collect()
+    members = groups_of([(g, p, None) for g, p in sorted(rows, key=lambda r: r[1])])
+    expected = {(g, b[0]): a[0] if a else None for g, m in members.items() for a, b in zip([None, *m], m)}
+    if len({(g, p) for g, p in rows}) == len(rows):
+        assert {(r.g, r.p): r.n for r in neighbours} == expected
+
+
 def test_positions_count_up_without_gaps(spark):
     df = with_position(spark.range(0, 1000, 1, 7).filter("id % 3 = 0"))
     got = sorted((r.id, r.position) for r in df.collect())
