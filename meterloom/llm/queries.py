@@ -317,9 +317,13 @@ def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = pii.find(docs, "text", pii.fit(docs, "text"))
     joined = pii.joined_spans
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
+        *[count(kind) for kind in pii.KINDS],
         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
     )
