@@ -40,7 +40,7 @@ def _compose(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once, however often it is mentioned."""
     return F.get(F.transform(F.array(value), use), 0)
 
@@ -51,21 +51,34 @@ def nfc(text: Column) -> Column:
     return F.coalesce(_compose(suspect), text)
 
 
+# What tidying would change: any space but the plain one (beyond Latin all of them lie in one
+# range), and the runs it shortens. Plain searches are far cheaper than a class of them.
+_UNTIDY = (
+    *(chr(c) for c in (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0)),
+    "  ", "\n\n\n", " \n", "\n ",
+)
+_SPACES_BEYOND_LATIN = r"[\x{1680}-\x{3000}]"
+
+
 def tidy_layout(text: Column) -> Column:
     """T1 without composition: newlines, whitespace runs, blank-line runs, line strips.
 
-    Patterns match only where something changes, not at every plain space; once runs are
-    single spaces, stripping lines is plain replacement.
+    A text in which nothing but its ends can change is only stripped. Patterns match only
+    where something changes, not at every plain space; once runs are single spaces,
+    stripping lines is plain replacement.
     """
-    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
-    text = F.replace(text, F.lit("\r"), F.lit("\n"))
-    text = F.regexp_replace(
-        text, f"(?: [{INLINE_SPACE}]|[{INLINE_SPACE}&&[^ ]])[{INLINE_SPACE}]*", " "
+    untidy = text.rlike(_SPACES_BEYOND_LATIN)
+    for mark in _UNTIDY:
+        untidy = text.contains(mark) | untidy
+    even = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    even = F.replace(even, F.lit("\r"), F.lit("\n"))
+    even = F.regexp_replace(
+        even, f"(?: [{INLINE_SPACE}]|[{INLINE_SPACE}&&[^ ]])[{INLINE_SPACE}]*", " "
     )
-    text = F.regexp_replace(text, r"\n{3,}", "\n\n")
-    text = F.replace(text, F.lit(" \n"), F.lit("\n"))
-    text = F.replace(text, F.lit("\n "), F.lit("\n"))
-    return F.btrim(text, F.lit(" \n"))
+    even = F.regexp_replace(even, r"\n{3,}", "\n\n")
+    even = F.replace(even, F.lit(" \n"), F.lit("\n"))
+    even = F.replace(even, F.lit("\n "), F.lit("\n"))
+    return F.btrim(F.when(untidy, even).otherwise(text), F.lit(" \n"))
 
 
 def normalize_text(text: Column) -> Column:
@@ -88,7 +101,7 @@ def count_in_class(letters: Column, script: str) -> Column:
 
 def script_ratio(text: Column, script: str = HANGUL) -> Column:
     """Share of the letters that belong to ``script``; 0.0 without letters."""
-    return _with(
+    return once(
         letters_of(F.coalesce(text, F.lit(""))),
         lambda letters: ratio_or_zero(count_in_class(letters, script), F.length(letters)),
     )
@@ -128,7 +141,7 @@ def repetition_ratio(text: Column) -> Column:
                 F.lit(0).alias("run"),
                 F.lit(0).alias("best"),
             ),
-            lambda acc, token: _with(
+            lambda acc, token: once(
                 F.when(acc["token"] == token, acc["run"] + 1).otherwise(F.lit(1)),
                 lambda run: F.struct(
                     token.alias("token"),
@@ -141,28 +154,45 @@ def repetition_ratio(text: Column) -> Column:
         n = F.size(ordered)
         return F.when(n >= 4, longest / n).otherwise(F.lit(0.0))
 
-    return _with(F.sort_array(tokens(text)), ratio)
+    return once(F.sort_array(tokens(text)), ratio)
 
 
 def is_dominated(words: Column, max_ratio: float = 0.5) -> Column:
     """Whether one token of ``words`` exceeds ``max_ratio``, a half or more of the list.
 
-    A token above half of the list must be the one in the middle of the sorted list, so
-    only that token has to be counted.
+    A token above half of the list outlives a count that rises with each copy of the token
+    it holds and falls with each other token, so only that token has to be counted.
     """
     if max_ratio < 0.5:
-        raise ValueError("a token below half of the list need not be in its middle")
-    n = F.size(words)
-    middle = F.get(F.sort_array(words), F.shiftright(n, 1))
-    count = n - F.size(F.array_remove(words, middle))
-    return F.when(n >= 4, count > F.lit(max_ratio) * n).otherwise(F.lit(False))
+        raise ValueError("a token below half of the list need not outlive the others")
+
+    def vote(held: Column, word: Column) -> Column:
+        return (
+            F.when(held["n"] == 0, F.struct(word.alias("word"), F.lit(1).alias("n")))
+            .when(held["word"] == word, F.struct(held["word"].alias("word"), (held["n"] + 1).alias("n")))
+            .otherwise(F.struct(held["word"].alias("word"), (held["n"] - 1).alias("n")))
+        )
+
+    nobody = F.struct(F.lit("").alias("word"), F.lit(0).alias("n"))
+
+    def exceeds(words: Column) -> Column:
+        def counted(left: Column) -> Column:
+            count = F.size(words) - F.size(F.array_remove(words, left["word"]))
+            # A token with over half of the votes is still held at the end.
+            return F.when(left["n"] > 0, count > F.lit(max_ratio) * F.size(words)).otherwise(F.lit(False))
+
+        return F.when(F.size(words) >= 4, once(F.aggregate(words, nobody, vote), counted)).otherwise(
+            F.lit(False)
+        )
+
+    return once(words, exceeds)
 
 
 def is_repetitive(text: Column, max_ratio: float = 0.5) -> Column:
     """T4 compared with a limit."""
     if max_ratio < 0.5:
         return repetition_ratio(text) > F.lit(max_ratio)
-    return _with(tokens(text), lambda words: is_dominated(words, max_ratio))
+    return once(tokens(text), lambda words: is_dominated(words, max_ratio))
 
 
 def strip(text: Column) -> Column:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.functions import text as T
 from meterloom.functions.messages import chat_messages, chat_record
 from meterloom.operators.once import computed_once
 from meterloom.operators.ordered import BLOCK_ROWS, measured, take_first
+from meterloom.session import stage
 
 DEFAULT_MIN_RATIO = 0.3
 DEFAULT_MIN_OUTPUT_CHARS = 10
@@ -34,20 +37,40 @@ def from_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def with_canonical(rows: DataFrame) -> DataFrame:
-    """Add what scoring and deduplication share: tidied texts and canonical forms.
+# So much of two texts is compared before their whole canonical forms are made.
+_GLANCE = 256
 
-    Composition, the one Python step, runs once per field.
+
+def _echoes(instruction: Column, output: Column) -> Column:
+    """Whether the canonical forms of two composed texts are equal.
+
+    Nearly all pairs differ in the first characters, and then only these are looked at. The
+    last of them is left out: how it is lowered may depend on the next.
     """
-    return (
-        rows.withColumn("_instruction_nfc", T.nfc(F.coalesce("instruction", F.lit(""))))
-        .withColumn("_output_nfc", T.nfc(F.coalesce("output", F.lit(""))))
-        .withColumn("instruction_n", T.tidy_layout(F.col("_instruction_nfc")))
-        .withColumn("output_n", T.tidy_layout(F.col("_output_nfc")))
-        .withColumn("_instruction_c", T.canonical_form(F.col("_instruction_nfc")))
-        .withColumn("_output_c", T.canonical_form(F.col("_output_nfc")))
-        .drop("_instruction_nfc", "_output_nfc")
-    )
+    whole = T.canonical_form(instruction)
+    glance = T.canonical_form(F.substring(output, 1, _GLANCE))
+    start = F.substring(glance, F.lit(1), F.length(glance) - 1)
+    return F.when(whole.startswith(start), whole == T.canonical_form(output)).otherwise(F.lit(False))
+
+
+def _lacks_script(instruction: Column, output: Column, script: str, min_ratio: float) -> Column:
+    """Whether under ``min_ratio`` of the letters of two texts belong to ``script``.
+
+    Letters are no more than characters, so a text with enough of the script among all its
+    characters has enough, and one without any has too few; letters are counted for others.
+    """
+    found = T.count_in_class(instruction, script) + T.count_in_class(output, script)
+    characters = F.length(instruction) + F.length(output)
+
+    def verdict(found: Column) -> Column:
+        letters = F.length(T.letters_of(instruction)) + F.length(T.letters_of(output))
+        return (
+            F.when(found >= F.lit(min_ratio) * characters, F.lit(False))
+            .when(found == 0, F.lit(min_ratio > 0))
+            .otherwise(T.ratio_or_zero(found, letters) < min_ratio)
+        )
+
+    return T.once(found, verdict)
 
 
 def score(
@@ -64,23 +87,15 @@ def score(
     Expects ``instruction`` and ``output``; both may be null. The key covers instruction
     and output, not the input (A2).
     """
-    prepared = (
-        with_canonical(rows)
-        .withColumn("_letters_in", T.letters_of(F.col("instruction_n")))
-        .withColumn("_letters_out", T.letters_of(F.col("output_n")))
-        .withColumn("_words", T.tokens(F.col("output_n")))
+    composed = (
+        rows.withColumn("_in", T.nfc(F.coalesce("instruction", F.lit(""))))
+        .withColumn("_out", T.nfc(F.coalesce("output", F.lit(""))))
+        .withColumn("instruction_n", T.tidy_layout(F.col("_in")))
+        .withColumn("output_n", T.tidy_layout(F.col("_out")))
     )
     instruction, output = F.col("instruction_n"), F.col("output_n")
     both = (instruction != "") & (output != "")
-    repetitive = (
-        T.is_dominated(F.col("_words"), max_repeat_ratio)
-        if max_repeat_ratio >= 0.5
-        else T.repetition_ratio(output) > max_repeat_ratio
-    )
-    letters = F.length("_letters_in") + F.length("_letters_out")
-    of_script = T.count_in_class(F.col("_letters_in"), script) + T.count_in_class(
-        F.col("_letters_out"), script
-    )
+    repetitive = T.is_repetitive(output, max_repeat_ratio)
     # Cheap tests first inside each condition: `when` stops at the first false operand.
     reasons = F.array(
         F.when(instruction == "", F.lit("empty_instruction")),
@@ -88,21 +103,22 @@ def score(
         F.when(
             F.length(output).between(1, min_output_chars - 1), F.lit("output_too_short")
         ),
-        F.when(both & (T.ratio_or_zero(of_script, letters) < min_ratio), F.lit(wrong_script)),
-        F.when(
-            both & (F.col("_instruction_c") == F.col("_output_c")),
-            F.lit("output_echoes_instruction"),
-        ),
-        F.when(both & repetitive, F.lit("repetitive")),
+        F.when(both, F.when(_lacks_script(instruction, output, script, min_ratio), F.lit(wrong_script))),
+        F.when(both, F.when(_echoes(F.col("_in"), F.col("_out")), F.lit("output_echoes_instruction"))),
+        F.when(both, F.when(repetitive, F.lit("repetitive"))),
     )
-    return computed_once(
-        prepared,
-        rows.columns,
+    kept = [c for c in rows.columns if c not in ("instruction_n", "output_n", "reasons", "dedup_key")]
+    scored = computed_once(
+        composed,
+        [*kept, "_in", "_out"],
         instruction_n=instruction,
         output_n=output,
         reasons=F.array_compact(reasons),
-        dedup_key=F.sha1(F.concat("_instruction_c", "_output_c")),
     )
+    # Outside of what is computed once: nobody pays for a key that is not read, and a filter
+    # by the reasons comes before it.
+    key = F.sha1(F.concat(T.canonical_form(F.col("_in")), T.canonical_form(F.col("_out"))))
+    return scored.withColumn("dedup_key", key).drop("_in", "_out")
 
 
 def accepted(scored: DataFrame) -> DataFrame:
@@ -128,19 +144,25 @@ def reject_histogram(scored: DataFrame) -> DataFrame:
 def dedup_exact(
     rows: DataFrame, key: Sequence[str] = ("dedup_key",), row_id: str = "row_id"
 ) -> DataFrame:
-    """A2: one row per key, the one with the lowest id.
+    """A2: one row per key, the one with the lowest id. Ids are unique and not null.
 
-    Copies are combined on the map side: a text copied a billion times leaves each map
-    task as one row, so no copy group is ever gathered, and every row is scored, read and
-    shuffled once.
+    Only keys and ids are shuffled: a copy count on the map side finds the keys that occur
+    more than once, and with them the ids of all rows but the first of each. These ids are
+    written as a table, so that Spark knows their size; rows meet them in an anti-join, for
+    which no text is moved as long as they are few enough to be sent. Rows are read twice:
+    stage what is costly to make.
     """
-    # One aggregate per column, so that columns nobody reads later are not shuffled.
-    kept = [
-        F.min_by(c, row_id).alias(c) if c != row_id else F.min(c).alias(c)
-        for c in rows.columns
-        if c not in key
-    ]
-    return rows.groupBy(*key).agg(*kept).select(*rows.columns)
+    named = {k: f"_{at}" for at, k in enumerate(key)}
+    narrow = stage(rows.select(*[F.col(k).alias(n) for k, n in named.items()], row_id), "keys")
+    copied = (
+        narrow.groupBy(*named.values())
+        .agg(F.min(row_id).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .withColumnsRenamed({n: f"{n}_of" for n in named.values()})
+    )
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(f"{n}_of")) for n in named.values()])
+    later = narrow.join(copied, same & (F.col(row_id) > F.col("_first"))).select(row_id)
+    return rows.join(stage(later, "copies"), row_id, "left_anti").select(*rows.columns)
 
 
 def funnel(scored: DataFrame, by: str = "source") -> DataFrame:

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterloom.session import stage
+
+# Distinct values that are put in order in one task; more are cut again.
+MOST_IN_ORDER = 1 << 20
 # Steps into which the values between two powers of two are cut.
 STEPS = 1 << 16
 
@@ -39,37 +43,37 @@ def exact_quantiles(
     *,
     rank: str = "linear",
     steps: int = STEPS,
+    most: int = MOST_IN_ORDER,
 ) -> DataFrame:
     """One row per group and quantile: ``keys, q, n, quantile``.
 
     ``rank="linear"`` interpolates at ``(n - 1) * q``; ``rank="lower"`` takes the value at
     ``floor(q * (n - 1))``. Null values are left out.
 
-    Equal values are counted on the map side; counts of buckets of neighbouring values tell
-    which buckets hold a wanted rank, and only their values are ordered, a bucket a task.
+    Equal values are counted on the map side and written once; all else reads that table.
+    Counts of buckets of neighbouring values tell which buckets hold a wanted rank. Buckets
+    that hold more than ``most`` distinct values are cut again into ``steps`` even parts of
+    their own range until none does, so however closely values lie, no task orders more.
+    The driver sees one number a round.
     """
     if rank not in ("linear", "lower"):
         raise ValueError(f"unknown rank rule {rank!r}")
+    if not keys:
+        whole = values.select(F.lit(0).alias("_all"), value)
+        return exact_quantiles(
+            whole, ["_all"], value, quantiles, rank=rank, steps=steps, most=most
+        ).drop("_all")
     present = values.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v")
     )
-    # Equal values collapse on the map side, so repeated values cannot make a hot key.
-    counted = (
-        present.withColumn("_bucket", bucket_of(F.col("_v"), steps))
-        .groupBy(*keys, "_bucket", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-
-    in_order = (
-        Window.partitionBy(*keys)
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    counted = stage(
+        present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), "counted"
     )
     summary = (
-        counted.groupBy(*keys, "_bucket")
-        .agg(F.sum("_c").alias("_in_bucket"))
-        .withColumn("_before", F.coalesce(F.sum("_in_bucket").over(in_order), F.lit(0)))
-        .withColumn("n", F.sum("_in_bucket").over(Window.partitionBy(*keys)))
+        counted.groupBy(*keys, bucket_of(F.col("_v"), steps).alias("_bucket"))
+        .agg(*_size())
+        .withColumn("_before", _sum_before(keys, "_bucket"))
+        .withColumn("n", F.sum("_in").over(Window.partitionBy(*keys)))
     )
     place = (F.col("n") - 1) * F.col("q")
     targets = (
@@ -78,29 +82,26 @@ def exact_quantiles(
         .withColumn("_high", F.least(F.col("_low") + 1, F.col("n") - 1))
         .withColumn("_part", place - F.col("_low"))
     )
-    # Zero-based ranks that fall into a bucket; a pair may straddle two buckets.
-    end = F.col("_before") + F.col("_in_bucket")
-    here = targets.filter((F.col("_high") >= F.col("_before")) & (F.col("_low") < end))
-    needed = here.select(*keys, "_bucket", "_before").distinct()
+    asked = [*keys, "q", "n", "_low", "_high", "_part"]
+    needed = stage(targets.filter(_is_wanted()).select(*asked, *_RANGE), "needed")
+    while (needed.agg(F.max(F.when(_can_split(), F.col("_distinct")))).first()[0] or 0) > most:
+        needed = stage(_cut_again(counted, needed, keys, asked, steps, most), "needed")
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_v")
+    inside = Window.partitionBy(*keys, "_lo").orderBy("_v")
+    upto = F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     ranked = (
-        counted.join(needed, [*keys, "_bucket"])
-        .withColumn(
-            "_upto",
-            F.col("_before")
-            + F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-        )
+        _within(counted, needed, keys)
+        .withColumn("_upto", F.col("_before") + upto)
         .withColumn("_from", F.col("_upto") - F.col("_c"))
-        .select(*keys, "_bucket", "_v", "_from", "_upto")
+        .select(*keys, "_lo", "_v", "_from", "_upto")
     )
 
     def at(position: str) -> Column:
         return (F.col(position) >= F.col("_from")) & (F.col(position) < F.col("_upto"))
 
     found = (
-        here.drop("_before", "_in_bucket")
-        .join(ranked, [*keys, "_bucket"])
+        needed.select(*asked, "_lo")
+        .join(ranked, [*keys, "_lo"])
         .filter(at("_low") | at("_high"))
         .groupBy(*keys, "q", "n", "_part")
         .agg(
@@ -113,3 +114,60 @@ def exact_quantiles(
     else:
         result = F.col("_lower") * (1 - F.col("_part")) + F.col("_upper") * F.col("_part")
     return found.select(*keys, "q", "n", result.alias("quantile"))
+
+
+# A range of values: rows before it, rows and distinct values in it, its ends.
+_RANGE = ("_before", "_in", "_distinct", "_lo", "_hi")
+
+
+def _size() -> list[Column]:
+    return [
+        F.sum("_c").alias("_in"),
+        F.count(F.lit(1)).alias("_distinct"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+    ]
+
+
+def _sum_before(keys: Sequence[str], order: str) -> Column:
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_in").over(before), F.lit(0))
+
+
+def _is_wanted() -> Column:
+    """Whether a range holds one of the two ranks; a pair may straddle two ranges."""
+    return (F.col("_high") >= F.col("_before")) & (F.col("_low") < F.col("_before") + F.col("_in"))
+
+
+def _can_split() -> Column:
+    return F.col("_lo") < F.col("_hi")
+
+
+def _within(counted: DataFrame, needed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The counted values of the needed ranges, each once a range."""
+    ranges = needed.select(*keys, "_before", "_lo", "_hi").distinct()
+    return counted.join(ranges, [*keys]).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _cut_again(
+    counted: DataFrame, needed: DataFrame, keys: Sequence[str], asked: Sequence[str], steps: int, most: int
+) -> DataFrame:
+    """The needed ranges, those with too many values replaced by the parts of them that are."""
+    too_large = _can_split() & (F.col("_distinct") > most)
+    large = needed.filter(too_large)
+    parts = (
+        _within(counted, large, keys)
+        .withColumnsRenamed({"_lo": "_of", "_before": "_start", "_hi": "_end"})
+        .withColumn("_at", F.floor((F.col("_v") - F.col("_of")) / (F.col("_end") - F.col("_of")) * steps))
+        .groupBy(*keys, "_of", "_start", "_at")
+        .agg(*_size())
+        .withColumn("_before", F.col("_start") + _sum_before([*keys, "_of"], "_at"))
+        .select(*keys, "_of", *_RANGE)
+    )
+    again = (
+        large.select(*asked, F.col("_lo").alias("_of"))
+        .join(parts, [*keys, "_of"])
+        .filter(_is_wanted())
+        .select(*asked, *_RANGE)
+    )
+    return needed.filter(~too_large).unionByName(again)

@@ -153,12 +153,14 @@ def request_results(accounts: DataFrame, level: Sequence[str] = LEVEL) -> DataFr
 def chunk_gaps(
     parsed: DataFrame, request: str = "request_id", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Seconds between a text-bearing frame and the one before it."""
-    chunks = parsed.filter(F.col("text_choices") > 0).select(request, "seq", "at_us")
-    # Of all frames: a look at the numbers alone, without parsing a line.
-    cuts = measured(parsed, "seq", block_rows)
+    """Seconds between a text-bearing frame and the one before it.
+
+    The numbers of the frames are written once, so that each line is parsed once.
+    """
+    has_text = parsed.filter(F.col("text_choices") > 0)
+    chunks = stage(has_text.select(request, "seq", "at_us"), "chunks")
     return (
-        with_neighbour(chunks, [request], "seq", "_prev", F.col("at_us"), cuts=cuts)
+        with_neighbour(chunks, [request], "seq", "_prev", F.col("at_us"), block_rows=block_rows)
         .withColumn("gap_s", (F.col("at_us") - F.col("_prev")) / MICROS)
         .drop("_prev")
     )
@@ -215,12 +217,14 @@ def split_thinking(
         last_chars(F.col(text)).alias("_tail"),
         F.instr(text, CLOSE_THINK).alias("_inside"),
     )
+    # The last characters up to each chunk, from ever twice as many chunks.
     inside = Window.partitionBy(*keys).orderBy(position)
-    before = inside.rowsBetween(-reach, -1)
-    local = ends.withColumn("_seen", last_chars(F.array_join(F.collect_list("_tail").over(before), "")))
-    tails = local.groupBy(*keys).agg(
-        F.max_by(last_chars(F.concat("_seen", "_tail")), F.col(position)).alias("_left")
-    )
+    local = ends.withColumn("_upto", F.col("_tail"))
+    for chunks_back in (1, 2, 4):
+        further = F.coalesce(F.lag("_upto", chunks_back).over(inside), F.lit(""))
+        local = local.withColumn("_upto", last_chars(F.concat(further, "_upto")))
+    local = local.withColumn("_seen", F.coalesce(F.lag("_upto").over(inside), F.lit("")))
+    tails = local.groupBy(*keys).agg(F.max_by("_upto", F.col(position)).alias("_left"))
     across = Window.partitionBy(request).orderBy("_block").rowsBetween(-reach, -1)
     carried = tails.select(
         *keys, F.array_join(F.collect_list("_left").over(across), "").alias("_carried")

@@ -21,6 +21,7 @@ from meterloom.plans.inputs import (
     with_sql,
 )
 from meterloom.plans.registry import query
+from meterloom.session import stage
 from meterloom.sources.readers import as_instructions, read_table, union_sources
 
 WRONG_SCRIPT = "wrong_script"
@@ -227,12 +228,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "rejected_rows",
-    SCORED + " SELECT row_id, source, len(reasons)::BIGINT AS n_reasons FROM scored"
-    " WHERE len(reasons) > 0",
+    SCORED + " SELECT row_id, source, list_aggregate(reasons, 'string_agg', ',') AS reasons,"
+    " md5(i) AS instruction_md5, md5(o) AS output_md5 FROM scored WHERE len(reasons) > 0",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.rejected(scored_rows(spark, folder)).select(
-        "row_id", "source", F.size("reasons").cast("bigint").alias("n_reasons")
+        "row_id",
+        "source",
+        F.array_join("reasons", ",").alias("reasons"),
+        F.md5("instruction_n").alias("instruction_md5"),
+        F.md5("output_n").alias("output_md5"),
     )
 
 
@@ -245,13 +250,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.reject_histogram(scored_rows(spark, folder))
 
 
+def unique_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The accepted rows without copies; scored once, and written with the columns asked for."""
+    kept = corpus.accepted(scored_rows(spark, folder))
+    return corpus.dedup_exact(stage(kept.select("row_id", "source", "dedup_key", *columns), "scored"))
+
+
 @query(
     "dedup_exact",
     SCORED + " SELECT row_id, source, dedup_key FROM scored JOIN survivors USING (row_id)",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    kept = corpus.accepted(scored_rows(spark, folder))
-    return corpus.dedup_exact(kept).select("row_id", "source", "dedup_key")
+    return unique_rows(spark, folder)
 
 
 @query(
@@ -273,7 +283,7 @@ def corpus_funnel(spark: SparkSession, folder: str) -> DataFrame:
         || ']]' AS messages, source FROM scored JOIN survivors USING (row_id)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = corpus.dedup_exact(corpus.accepted(scored_rows(spark, folder)))
+    rows = unique_rows(spark, folder, "instruction_n", "input", "output_n")
     record = F.from_json(
         "value", "messages array<struct<role:string,content:string>>, source string"
     )
@@ -301,8 +311,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     SCORED + " SELECT row_id, source FROM scored JOIN survivors USING (row_id) ORDER BY 1 LIMIT 5",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    kept = corpus.dedup_exact(corpus.accepted(scored_rows(spark, folder)))
-    return corpus.preview(kept.select("row_id", "source"))
+    return corpus.preview(unique_rows(spark, folder).select("row_id", "source"))
 
 
 # ------------------------------------------------------------------------------ mixes

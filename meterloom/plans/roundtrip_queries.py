@@ -29,7 +29,7 @@ def _path(spark: SparkSession, name: str) -> str:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """K1: the chat records as lines of JSON."""
     path = _path(spark, "chat")
-    rows = corpus.dedup_exact(corpus.accepted(corpus_queries.scored_rows(spark, folder)))
+    rows = corpus_queries.unique_rows(spark, folder, "instruction_n", "input", "output_n")
     sinks.write_chat_records(corpus.chat_records(rows), path)
     lines = spark.read.schema(
         "messages array<struct<role:string,content:string>>, source string"

@@ -134,6 +134,27 @@ def test_quantiles(frame, rows, rank, steps):
             assert got[group, q] == pytest.approx(np.quantile(known, q, method=method))
 
 
+@pytest.mark.parametrize("rank", ["linear", "lower"])
+def test_close_values_are_cut_until_few_are_left(spark, rank):
+    """Half of the values lie within a millionth, and half of these within 1e-12."""
+    rng = random.Random(9)
+    made = [1 + rng.random() * 1e-6 for _ in range(1500)] + [1 + 5e-7 + rng.random() * 1e-12 for _ in range(1500)]
+    made += [rng.gauss(0, 100) for _ in range(600)] + [1.0] * 50
+    rows = [("a", v) for v in made] + [("b", v) for v in made[:700]]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    qs = (0.0, 0.1, 0.25, 0.5, 0.51, 0.9, 1.0)
+    found = exact_quantiles(df, ["g"], "v", qs, rank=rank, steps=16, most=20)
+    got = {(r.g, r.q): r["quantile"] for r in found.collect()}
+    for g, values in (("a", made), ("b", made[:700])):
+        for q in qs:
+            assert got[g, q] == pytest.approx(np.quantile(values, q, method=rank), rel=1e-15)
+
+
+def test_quantiles_of_the_whole_table(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)] + [(None,)], "v double")
+    assert [(r.q, r.n, r["quantile"]) for r in exact_quantiles(df, [], "v", [0.5]).collect()] == [(0.5, 101, 50.0)]
+
+
 def test_buckets_keep_the_order_of_doubles(spark):
     values = [0.0, -0.0, 1.0, -1.0, 5e-324, 1e-310, 2.0**-30, 1 - 2**-53, 1 + 2**-52, 1.5, 2.0]
     values += [-x for x in values] + [1e308, -1e308, float("inf"), float("-inf"), float("nan")]
