@@ -1,13 +1,16 @@
-"""Toxicity by the nearest labelled examples: exact weighted TF-IDF cosine.
+"""Toxicity by the nearest labelled examples: exact weighted TF-IDF cosine, block-max index.
 
-Features are words (runs of letters, A-Z as a-z) and their first 4, 5 and 6 bytes. All that
-an example has are kept; none is cut off. TF-IDF is multiplied by one plus the
-log-likelihood ratio of the feature's counts in the classes: about two where they differ
-by chance, rising with the sample where they do not. What no example has adds to no cosine
-and is left out of a text's length. Examples are a bounded, stratified sample of labelled
-rows. Postings are read from the rarest feature on; the length of what is unread of a text
-bounds all that it can add, so reading stops once few examples can be among the nearest,
-and the cosines of these are computed in full.
+Terms are words (runs of letters, A-Z as a-z). All that an example has are kept; none is cut
+off. TF-IDF is multiplied by one plus the log-likelihood ratio of the term's counts in the
+classes: about two where they differ by chance, rising with the sample where they do not.
+What no example has adds to no cosine and is left out of a text's length. Examples are a
+bounded, stratified sample of labelled rows.
+
+The postings of a term go from its largest weight down, in blocks that know their maximum.
+For a text, blocks of all its terms are read from the largest possible contribution on.
+What the next block of every term could still add, and the length of what is unread, bound
+what an example can gain; reading stops once few examples can be among the nearest, and the
+cosines of these are computed in full.
 
 The k nearest vote with their cosine, classes weighted back to their true shares; all that
 tie for the last votes share these. The votes are calibrated by isotonic regression on the
@@ -29,11 +32,12 @@ from pyspark.sql import functions as F
 from meterloom.llm.shared import checkpointed, received, send, sliced, text_bytes
 from meterloom.llm.shingles import mixed, powers, prefix_hashes
 
-EXAMPLES = 10_000  # of each class, at most
-PREFIXES = (4, 5, 6)
+EXAMPLES = 2_000  # of each class, at most
+EXAMPLE_BYTES = 1 << 16  # longer texts are scored, but not made examples
 NEIGHBOURS = 25
-READ_AT_ONCE = 1 << 16
-IN_FULL = 256
+BLOCK = 32
+READ_AT_ONCE = 1 << 15  # postings, at first
+IN_FULL = 64
 TIED = 1e-9
 REMEMBERED = 50_000
 FILTER_BITS = 20
@@ -64,14 +68,7 @@ def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
     row = np.searchsorted(ends, starts, side="right") - 1
     sums, inverse = prefix_hashes(_LOWER[data]), powers(n + 1, True)
-    rows, out = [], []
-    for size in (0, *PREFIXES):
-        long = np.flatnonzero(stops - starts > size) if size else slice(None)
-        a = starts[long]
-        b = a + size if size else stops
-        rows.append(row[long])
-        out.append(mixed((sums[b] - sums[a]) * inverse[a] + np.uint64(size * 0x51ED270B)))
-    return np.concatenate(rows), np.concatenate(out)
+    return row, mixed((sums[stops] - sums[starts]) * inverse[starts])
 
 
 class Known:
@@ -99,6 +96,17 @@ class Known:
         return both // len(self.hashes), both % len(self.hashes), times
 
 
+@dataclass
+class Blocks:
+    """Blocks of postings: where those of a term start, where their postings do, and maxima."""
+
+    of: np.ndarray
+    starts: np.ndarray
+    most: np.ndarray
+    examples: np.ndarray
+    weights: np.ndarray
+
+
 @dataclass
 class Model:
     """The examples' index, and the steps of the calibration."""
@@ -115,11 +123,11 @@ class Model:
     steps: np.ndarray
     values: np.ndarray
     sent: Broadcast | None = None  # the model without the steps
-    postings: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    blocks: Blocks | None = None
 
     def __getstate__(self) -> dict:
         """Features and counts travel packed, and without weights and postings."""
-        state = vars(self) | {"weights": None, "postings": None}
+        state = vars(self) | {"weights": None, "blocks": None}
         return state | {"features": _packed(np.diff(self.features, prepend=0)), "times": _packed(self.times)}
 
     def __setstate__(self, state: dict) -> None:
@@ -136,35 +144,46 @@ class Model:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The examples with the k largest cosines (above 0), and these.
 
-        All that tie with the k-th are returned, so there may be more than k. Postings are
-        read in growing numbers.
+        All that tie with the k-th are returned, so there may be more than k. Blocks are read
+        in growing numbers.
         """
-        if self.postings is None:
-            self.postings = self._inverted()
-        starts, examples, weights = self.postings
+        if self.blocks is None:
+            self.blocks = self._inverted()
+        index = self.blocks
         score = np.zeros(len(self.ids))
-        order = np.argsort(starts[feature + 1] - starts[feature], kind="stable")
-        f, w = feature[order], weight[order]
-        sizes = starts[f + 1] - starts[f]
+        first, last = index.of[feature], index.of[feature + 1]
+        block = _places(first, last)
+        term = np.repeat(np.arange(len(feature)), last - first)
+        impact = index.most[block] * weight[term]
+        order = np.argsort(-impact, kind="stable")
+        block, term, impact = block[order], term[order], impact[order]
+        # What a term can still add once all blocks before this one are read.
+        sizes = index.starts[block + 1] - index.starts[block]
         ends = np.cumsum(sizes)
-        unread = np.append(np.sqrt(np.cumsum((w * w)[::-1])[::-1]), 0.0)
+        ahead = np.zeros(len(feature))
+        square = weight * weight
         at, goal, lowest = 0, READ_AT_ONCE, 0.0
-        while at < len(f):
+        while at < len(block):
             to = max(at + 1, int(np.searchsorted(ends, goal, side="right")))
-            place = _places(starts[f[at:to]], starts[f[at:to] + 1])
-            terms = weights[place] * np.repeat(w[at:to], sizes[at:to])
-            score += np.bincount(examples[place], terms, len(score))
+            place = _places(index.starts[block[at:to]], index.starts[block[at:to] + 1])
+            terms = index.weights[place] * np.repeat(weight[term[at:to]], sizes[at:to])
+            score += np.bincount(index.examples[place], terms, len(score))
             if but >= 0:
                 score[but] = 0.0
             at, goal = to, 2 * goal
             lowest = np.partition(score, -k)[-k] if len(score) >= k else 0.0
-            # Float32 weights may be longer than 1 by their rounding.
-            possible = score + unread[at] > lowest - 1e-6
-            if lowest > unread[at] and at < len(f) and possible.sum() <= IN_FULL:
-                best = np.flatnonzero(possible)
-                near = self.cosines(best, f, w)
+            if at == len(block):
                 break
-        else:
+            ahead[:] = 0.0
+            ahead[term[at:][::-1]] = impact[at:][::-1]  # the first that is unread comes last
+            unread = min(float(ahead.sum()), float(np.sqrt(square[ahead > 0].sum())))
+            # Float32 weights may be longer than 1 by their rounding.
+            if lowest > unread:
+                best = np.flatnonzero(score + unread > lowest - 1e-6)
+                if len(best) <= IN_FULL:
+                    near = self.cosines(best, feature, weight)
+                    break
+        if at >= len(block):
             best = np.flatnonzero((score > 0) & (score >= lowest - TIED))
             near = score[best]
         if but >= 0:
@@ -183,15 +202,20 @@ class Model:
         dense[feature] = weight
         return np.bincount(of, self.weights[place] * dense[self.features[place]], len(examples))
 
-    def _inverted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the postings of a feature start, their examples and weights."""
+    def _inverted(self) -> Blocks:
+        """Postings by term and falling weight, in blocks of one term each."""
         example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.firsts))
         weight = (1 + np.log(self.times)) * self.worth[self.features]
         weight /= np.sqrt(np.bincount(example, weight * weight, len(self.ids)))[example]
         self.weights = weight.astype(np.float32)
-        order = np.argsort(self.features, kind="stable")
+        order = np.lexsort((-self.weights, self.features))
         counts = np.bincount(self.features, minlength=len(self.worth))
-        return np.concatenate([[0], np.cumsum(counts)]), example[order], self.weights[order]
+        per_term = -(-counts // BLOCK)
+        of = np.concatenate([[0], np.cumsum(per_term)])
+        inside = _places(np.zeros(len(counts), np.int64), per_term)
+        starts = np.repeat(np.cumsum(counts) - counts, per_term) + inside * BLOCK
+        weights = self.weights[order]
+        return Blocks(of, np.append(starts, len(order)), weights[starts], example[order], weights)
 
     def vote(self, best: np.ndarray, near: np.ndarray, k: int = NEIGHBOURS) -> float:
         """The share of toxic rows; all that tie with the k-th share the votes left to them."""
@@ -277,7 +301,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
     """A model from the rows of ``labels`` (``id``, ``toxic``) that ``learn`` lets in.
 
     At most ``EXAMPLES`` rows of each class are examples, those with the smallest hashes of
-    their ids; how many features hold for how many documents is counted over all of
+    their ids; of these, texts of more than ``EXAMPLE_BYTES`` are left out, so what the driver
+    gathers is bounded by both. How many features hold for how many documents is counted over all of
     ``docs`` (``id``, ``text``).
     """
     usable = labels.filter(learn & F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
@@ -287,7 +312,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
         some = usable.filter(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES)
         picked = some if picked is None else picked.unionByName(some)
     picked = checkpointed(picked.dropDuplicates(["id"]))
-    examples = checkpointed(docs.join(F.broadcast(picked), "id"))
+    short = docs.filter(F.octet_length("text") <= EXAMPLE_BYTES)
+    examples = checkpointed(short.join(F.broadcast(picked), "id"))
     hashes, surprise = weigh_features(examples)
     known, n = Known(hashes), len(hashes)
     sent = send(docs.sparkSession, known)
