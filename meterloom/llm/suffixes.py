@@ -21,20 +21,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.runs import GRAM, WIDTH, runs_of, substring_hashes
-from meterloom.llm.shared import checkpointed, sliced, staged, text_bytes, with_columns
-from meterloom.llm.shingles import mixed, prefix_hashes
+from meterloom.llm.shared import sliced, staged, text_bytes, with_columns
+from meterloom.llm.shingles import mixed, powers, prefix_hashes
 
 CELL = 8
 MANY = 16
-DOCUMENTS_SENT = 200_000
+# What a task looks at together: bytes of texts, and entries made of them.
+SLICE = 1 << 20
+PIECE = 1 << 17
 ENTRIES = "key bigint, whole bigint, id bigint, first bigint, last bigint, kind int"
 FOUND = "id bigint, first bigint, last bigint, kind int"
 ENTRY, MARK, REPEAT, OPEN = 0, 1, 2, 3
@@ -209,14 +209,16 @@ def resolved(entries: DataFrame) -> DataFrame:
                 repeats = _take(repeats, repeats["first"] >= 0)
                 if len(repeats["id"]):
                     yield _found(repeats, REPEAT)
-        yield _found(family.open_entries(), OPEN)
+        left = family.open_entries()
+        for at in range(0, len(left["key"]), PIECE):
+            yield _found(_take(left, slice(at, at + PIECE)), OPEN)
 
     return entries.repartition("key").mapInArrow(run, FOUND)
 
 
 def _run_entries(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             data, ends = text_bytes(batch.column("text"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             runs, _ = runs_of(data, ends)
@@ -232,23 +234,17 @@ def _run_entries(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ENTRIES)
 
 
-def _with_texts(docs: DataFrame, per_doc: DataFrame, how: str = "inner") -> DataFrame:
-    """Join a table of one small row a document: sent to the readers of the texts up to
-    200,000 rows, by a shuffle of both beyond."""
-    known = F.broadcast(per_doc) if per_doc.count() <= DOCUMENTS_SENT else per_doc
-    return docs.join(known, "id", how)
-
-
 def _closer_entries(docs: DataFrame, still: DataFrame, width: int) -> DataFrame:
     """Cells of ``width`` strings of the runs in ``still``: their key is what all share."""
-    spans = checkpointed(
-        still.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    # A written table: Spark knows its size, and sends it to the texts if that is small.
+    spans = staged(
+        still.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "open"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             data, ends = text_bytes(batch.column("text"))
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
             lists = batch.column("spans")
             if not len(data):
                 continue
@@ -258,38 +254,62 @@ def _closer_entries(docs: DataFrame, still: DataFrame, width: int) -> DataFrame:
             row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             first = flat.field("first").to_numpy()[lo:hi] + ends[:-1][row]
             last = flat.field("last").to_numpy()[lo:hi] + ends[:-1][row]
-            sums = prefix_hashes(data)
-            if width > 1:
-                # Cells are counted from the k-gram that the strings share, not from the text.
-                at = _represented_by(data, sums, first)
-                low, high = at - last, at - first
-                cells = high // width - low // width + 1
-                of = np.repeat(np.arange(len(first)), cells)
-                cell = np.repeat(low // width, cells) + _steps(cells)
-                far = np.minimum(cell * width + width - 1, high[of])
-                near = np.maximum(cell * width, low[of])
-                begin, end, row = at[of] - far, at[of] - near, row[of]
-                core = at[of] - cell * width
-                key = mixed(
-                    substring_hashes(sums, core, core + WIDTH - width + 1) + cell.astype(np.uint64)
-                )
-                whole = substring_hashes(sums, begin, end + WIDTH)
-            else:
-                counts = last - first + 1
-                begin = np.repeat(first, counts) + _steps(counts)
-                end, row = begin, np.repeat(row, counts)
-                key = substring_hashes(sums, begin, begin + WIDTH)
-                whole = (data[begin].astype(np.uint64) << np.uint64(8)) | data[begin + WIDTH - 1]
-                whole = whole + substring_hashes(sums, begin + 1, begin + WIDTH - 1)
-            base = ends[:-1][row]
-            yield thinned(
-                {
-                    "key": key.view(np.int64), "whole": whole.view(np.int64),
-                    "id": ids[row].astype(np.int64), "first": begin - base, "last": end - base,
-                }
-            )
-
-    return _with_texts(docs, spans).select("id", "text", "spans").mapInArrow(run, ENTRIES)
+            sums, others = prefix_hashes(data), other_hashes(data)
+            # Cells are counted from the k-gram that the strings share, not from the text.
+            at = _represented_by(data, sums, first) if width > 1 else first
+            for some in _pieces((last - first) // width + 2):
+                begin, end, of, key = _cells(sums, at[some], first[some], last[some], width)
+                whole = substring_hashes(others, begin, end + WIDTH)
+                base, names = ends[:-1][row[some][of]], ids[row[some][of]]
+                yield thinned(
+                    {
+                        "key": key.view(np.int64), "whole": whole.view(np.int64), "id": names,
+                        "first": begin - base, "last": end - base,
+                    }
+                )
+
+    return docs.join(spans, "id").select("id", "text", "spans").mapInArrow(run, ENTRIES)
+
+
+def _pieces(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of items of about ``PIECE`` in all, one item at least."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + PIECE, side="right")))
+        yield slice(at, to)
+        at = to
+
+
+def _cells(
+    sums: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of the strings of every cell, the span it is of, and its key."""
+    if width == 1:
+        counts = last - first + 1
+        of = np.repeat(np.arange(len(first)), counts)
+        begin = first[of] + _steps(counts)
+        return begin, begin, of, substring_hashes(sums, begin, begin + WIDTH)
+    low, high = at - last, at - first
+    cells = high // width - low // width + 1
+    of = np.repeat(np.arange(len(first)), cells)
+    cell = np.repeat(low // width, cells) + _steps(cells)
+    far = np.minimum(cell * width + width - 1, high[of])
+    near = np.maximum(cell * width, low[of])
+    core = at[of] - cell * width
+    key = mixed(substring_hashes(sums, core, core + WIDTH - width + 1) + cell.astype(np.uint64))
+    return at[of] - far, at[of] - near, of, key
+
+
+# A number for every byte, for a hash that does not collide where that of the keys does.
+_NUMBERS = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
+
+
+def other_hashes(data: np.ndarray) -> np.ndarray:
+    """As :func:`prefix_hashes`, with unrelated numbers in place of the bytes."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_NUMBERS[data] * powers(len(data)), out=out[1:])
+    return out
 
 
 def _steps(counts: np.ndarray) -> np.ndarray:
@@ -299,7 +319,6 @@ def _steps(counts: np.ndarray) -> np.ndarray:
 def _represented_by(data: np.ndarray, sums: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where the k-gram starts that represents the string at each ``first``."""
     from meterloom.llm.runs import _owners
-    from meterloom.llm.shingles import powers
 
     return _owners(sums, len(data), powers(len(data) + 1, True))[first]
 
@@ -341,8 +360,8 @@ def repeated_spans(df: DataFrame, identity: str, text: str = "text") -> DataFram
                 )
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, kind)], ["id", "spans"])
 
-    return checkpointed(
-        gathered.mapInArrow(run, "id bigint, spans array<struct<from: bigint, to: bigint>>")
+    return staged(
+        gathered.mapInArrow(run, "id bigint, spans array<struct<from: bigint, to: bigint>>"), "spans"
     )
 
 
@@ -359,9 +378,8 @@ def without_repeats(
     """
     df = df.drop("spans", "kept", "n_removed", "_id")
     spans = repeated_spans(df, identity, text).filter("id is not null")
-    known = F.broadcast(spans) if spans.count() <= DOCUMENTS_SENT else spans
     joined = df.join(
-        known.withColumnRenamed("id", "_id"), F.col(identity).cast("bigint") == F.col("_id"), "left"
+        spans.withColumnRenamed("id", "_id"), F.col(identity).cast("bigint") == F.col("_id"), "left"
     ).drop("_id")
     kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
