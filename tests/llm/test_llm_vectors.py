@@ -170,6 +170,13 @@ def test_shards_are_even_and_without_gaps(spark):
     assert spark.read.parquet(path).count() == 1003
 
 
+# Names that the operators use themselves, and odd ones.
+CLASHING = (
+    "key", "id", "_id", "_source", "kept", "spans", "n_removed", "epoch", "block", "place", "score",
+    "evidence", "component_id", "whole", "last", "other_0", "a.b", "n tokens",
+)
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A small corpus with toxic texts, near copies, shared passages and odd rows."""
@@ -186,9 +193,10 @@ def corpus(spark, tmp_path_factory):
         rows.append((i, " ".join(text)))
     rows += [(400 + k, rows[k][1] + " more") for k in (1, 2, 4)] + [(500, None), (501, "")]
     folder = str(tmp_path_factory.mktemp("corpus"))
-    docs = [(i, t, "en", f"s{i % 3}", len(t or ""), "extra") for i, t in rows]
+    docs = [(i, t, "en", f"s{i % 3}", len(t or ""), *[f"{c}{i}" for c in CLASHING]) for i, t in rows]
+    clashing = "".join(f", `{c}` string" for c in CLASHING)
     spark.createDataFrame(
-        docs, "doc_id bigint, text string, lang string, source string, n_chars bigint, key string"
+        docs, f"doc_id bigint, text string, lang string, source string, n_chars bigint{clashing}"
     ).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(
         [(i, 1, int(i % 10 == 3)) for i in range(400)], "doc_id bigint, quality int, toxic int"
@@ -204,6 +212,8 @@ def test_pipeline_equals_its_plain_version(spark, corpus):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         found = corpus_pipeline.staged(stage(spark, found, folder), name)
         assert found.columns == columns
+        for row in found.drop("text").collect():
+            assert [row[c] for c in CLASHING] == [f"{c}{row.doc_id}" for c in CLASHING], name
         after[name] = found.select("doc_id", "text").collect()
     clean = {i: t for i, (t, _) in docs.items() if i >= 400 or i % 10 != 3}
     assert {r.doc_id for r in after["toxicity"]} == set(clean)
@@ -233,6 +243,28 @@ def test_pipeline_of_nothing(spark, corpus, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_pipeline_stages_on_odd_rows(spark, corpus):
+    """Null ids and columns, repeated rows, equal texts: every stage gives what it states."""
+    folder, _ = corpus
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string"
+    long = " ".join(f"w{i}" for i in range(20_000))
+    rows = [(None, "some words of nobody in particular here", None, None, None, None), (1, None, None, "s", 0, "a"),
+            (2, "", None, None, None, None), (3, long, "en", "s", 1, "b"), (3, long, "en", "s", 1, "b"),
+            (4, long + " tail", None, "s", 2, None), (5, "kalo0 alone", None, "t", None, "c")]
+    docs = spark.createDataFrame(rows, schema)
+    found = {name: stage(spark, docs, folder).collect() for name, stage in corpus_pipeline.STAGES}
+    ids = {name: sorted((r.doc_id for r in rows_), key=str) for name, rows_ in found.items()}
+    assert ids["toxicity"] == [1, 2, 3, 3, 4, 5, None]
+    assert ids["near_duplicates"] == [1, 2, 3, 3, 5, None]
+    assert ids["repeats"] == [1, 2, 3, 3, 4, 5, None]
+    cut = {r.doc_id: r for r in found["repeats"]}
+    assert len(cut[4].text) < 20 and cut[4].n_chars == len(cut[4].text) and cut[3].text == long
+    assert cut[1].text is None and cut[2].text == "" and cut[5].score == "c"
+    assert ids["tokens"] == [1, 2, 3, 3, 4, 5, None]
+    assert {r.n_tokens for r in found["tokens"] if r.doc_id in (1, 2)} == {0}
+    assert {*ids["mixing"]} <= {1, 2, 3, 4, 5, None}
+
+
 def test_mix_in_sql(spark):
     """The twin of the mix on sources of very different sizes."""
     duckdb = pytest.importorskip("duckdb")
