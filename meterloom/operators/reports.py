@@ -230,6 +230,15 @@ def build_report(
     return flat
 
 
+SWEEP_SETTINGS = {
+    "base_url": "string",
+    "model": "string",
+    "max_tokens": "int",
+    "chat_template_kwargs": "map<string, boolean>",
+    "ttft_slo_s": "double",
+}
+
+
 def error_maps(histogram: DataFrame, level: Sequence[str]) -> DataFrame:
     """The error counts of a level as one map, the form a sweep report holds them in."""
     return histogram.groupBy(*level).agg(
@@ -242,10 +251,13 @@ def sweep_reports(
     errors: DataFrame,
     knees: DataFrame,
     totals: DataFrame,
+    settings: DataFrame | None = None,
     by: Sequence[str] = ("deployment",),
 ) -> DataFrame:
     """K5: one nested document per sweep, its levels sorted by concurrency.
 
+    ``settings`` holds, for each sweep, what it was asked to do: ``SWEEP_SETTINGS``. Without
+    it these are null.
     A document lists the levels of one sweep, a handful of aggregate rows, never requests.
     """
     none = F.create_map().cast("map<string,bigint>")
@@ -259,8 +271,13 @@ def sweep_reports(
             ).alias("levels")
         )
     )
-    return nested.join(knees, list(by), "left").join(totals, list(by), "left").select(
+    if settings is None:
+        unknown = {c: F.lit(None).cast(kind) for c, kind in SWEEP_SETTINGS.items()}
+        settings = nested.select(*by).withColumns(unknown)
+    known = nested.join(settings, list(by), "left").join(knees, list(by), "left")
+    return known.join(totals, list(by), "left").select(
         *by,
+        *SWEEP_SETTINGS,
         F.transform(
             "levels",
             lambda l: F.struct(

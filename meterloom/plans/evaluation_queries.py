@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from meterloom.functions.judging import judge_prompt
 from meterloom.operators import evaluation, reports
 from meterloom.plans.inputs import harness_rows, judgement_rows, table, with_sql
 from meterloom.plans.registry import query
+from meterloom.session import shared_folder
+from meterloom.sources import sinks
 
 
 @query(
@@ -147,29 +150,35 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     "eval_documents",
     with_sql("harness")
     + """ SELECT split_part(task, '/', 1) AS run_id, 'tuned-' || split_part(task, '/', 1) AS adapter,
-           count(*)::BIGINT AS n_tasks, count(base)::BIGINT AS n_base,
-           count(tuned)::BIGINT AS n_tuned, round(coalesce(sum(delta), 0), 3) AS delta_sum
-       FROM compared GROUP BY 1""",
+           task, base, tuned, delta, delta_pct, base AS base_score, tuned AS tuned_score
+       FROM compared""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """K4: evaluation documents, written and read back whole."""
     rows = compared(spark, folder).withColumn("run_id", F.substring_index("task", "/", 1))
     runs = rows.select("run_id").distinct().withColumn(
         "adapter", F.concat(F.lit("tuned-"), "run_id")
     )
-    return reports.evaluation_reports(runs, rows).select(
+    documents = reports.evaluation_reports(runs, rows)
+    path = f"{shared_folder(spark)}/roundtrip/evaluations-{uuid.uuid4().hex}"
+    sinks.write_documents(documents, path)
+    scores = "map<string, double>"
+    row = "struct<task: string, base: double, tuned: double, delta: double, delta_pct: double>"
+    read = spark.read.schema(
+        f"run_id string, adapter string, base {scores}, tuned {scores}, comparison array<{row}>"
+    ).json(path)
+    return read.select(
+        "run_id", "adapter", F.col("base").alias("_b"), F.col("tuned").alias("_t"), F.inline("comparison")
+    ).select(
         "run_id",
         "adapter",
-        F.size("comparison").cast("bigint").alias("n_tasks"),
-        F.size("base").cast("bigint").alias("n_base"),
-        F.size("tuned").cast("bigint").alias("n_tuned"),
-        F.round(
-            F.aggregate(
-                "comparison",
-                F.lit(0.0),
-                lambda total, r: total + F.coalesce(r["delta"], F.lit(0.0)),
-            ),
-            3,
-        ).alias("delta_sum"),
+        "task",
+        "base",
+        "tuned",
+        "delta",
+        "delta_pct",
+        F.try_element_at("_b", F.col("task")).alias("base_score"),
+        F.try_element_at("_t", F.col("task")).alias("tuned_score"),
     )
 
 

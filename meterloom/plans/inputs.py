@@ -42,9 +42,14 @@ def instruction_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def request_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Recorded requests: an event each, two deployments, five levels, eight prompts."""
+    """Recorded requests: an event each, two deployments, five levels, eight prompts.
+
+    Blue fails at its highest level only, green at every one, so that both outcomes of a
+    search for the knee occur.
+    """
     event = F.col("event_id")
-    failed = F.col("event_type") == "error"
+    sound = (F.col("user_id") % 2 == 0) & (F.col("user_id") % 5 <= 3)
+    failed = (F.col("event_type") == "error") & ~sound
     # Odd divisors keep percentiles off the rounding ties on which engines disagree.
     first_token = F.col("value") / 17.0 * (1 + F.pow(F.lit(2.0), F.col("user_id") % 5) / 16.0)
     return table(spark, folder, "events").select(
@@ -440,21 +445,22 @@ SQL = {
         SELECT CASE WHEN user_id % 2 = 0 THEN 'blue' ELSE 'green' END AS deployment,
                (1 << (user_id % 5)::INTEGER)::INTEGER AS concurrency,
                event_id AS request_no,
-               event_type <> 'error' AS ok,
-               CASE WHEN event_type <> 'error' THEN 200
+               NOT failed AS ok,
+               CASE WHEN NOT failed THEN 200
                     WHEN event_id % 3 = 1 THEN 503 ELSE 0 END AS status,
-               CASE WHEN event_type <> 'error' THEN ''
+               CASE WHEN NOT failed THEN ''
                     WHEN event_id % 3 = 0 THEN 'ReadTimeout: no reply'
                     WHEN event_id % 3 = 1 THEN 'busy ' || (event_id % 4) || chr(10) || 'retry'
                     ELSE 'no tokens streamed' END AS error,
-               CASE WHEN event_type = 'error' THEN 0 ELSE event_id % 130 + 1 END
+               CASE WHEN failed THEN 0 ELSE event_id % 130 + 1 END
                    AS output_tokens,
                value / 17.0::DOUBLE * (1 + (1 << (user_id % 5)::INTEGER) / 16.0::DOUBLE)
                    AS ttft_s,
                value / 17.0::DOUBLE * (1 + (1 << (user_id % 5)::INTEGER) / 16.0::DOUBLE)
                    + (event_id % 50) / 49.0::DOUBLE AS total_s,
                event_id * 0.25::DOUBLE AS start_s
-        FROM events)""",
+        FROM (SELECT *, event_type = 'error' AND NOT (user_id % 2 = 0 AND user_id % 5 <= 3) AS failed
+              FROM events))""",
     "levels": """measured AS (
         SELECT *, CASE WHEN output_tokens > 1
                        THEN (total_s - ttft_s) / (output_tokens - 1) ELSE 0 END AS tpot_s

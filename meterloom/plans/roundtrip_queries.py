@@ -65,14 +65,95 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(T.StructType([T.StructField(n, kinds[n]) for n in wanted])).json(path)
 
 
-@query("published_metrics", ORACLES["report_metrics"])
-def _(spark: SparkSession, folder: str) -> DataFrame:
-    """K6: the metrics table of a flat report."""
+def _published(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """An order report published twice, the first time with other values and other names."""
     path = _path(spark, "published")
     metrics, tags = serving_queries.order_metrics_and_tags(spark, folder)
-    metrics.write.parquet(f"{path}/metrics")
-    tags.write.parquet(f"{path}/tags")
-    return spark.read.parquet(f"{path}/metrics")
+    flat = metrics.withColumn("tag", F.lit(None).cast("string")).unionByName(
+        tags.withColumn("metric", F.lit(None).cast("double"))
+    )
+    stale = flat.withColumn("name", F.concat("name", F.lit(".old"))).withColumn("metric", -F.col("metric"))
+    for version in (stale, flat):
+        sinks.publish(version, path)
+    return sinks.published(spark, path)
+
+
+@query("published_metrics", ORACLES["report_metrics"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """K6: the metrics of a report that was published again."""
+    return _published(spark, folder)[0]
+
+
+@query("published_tags", ORACLES["report_tags"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """K6: its tags."""
+    return _published(spark, folder)[1]
+
+
+@query(
+    "sweep_documents",
+    serving_queries.LEVELS
+    + f""", {serving_queries._KNEE}, errors AS (
+        SELECT deployment, concurrency, string_agg(error || '=' || n, ';' ORDER BY error) AS errors
+        FROM (SELECT deployment, concurrency, split_part(error, chr(10), 1) AS error, count(*) AS n
+              FROM requests WHERE NOT ok GROUP BY ALL) GROUP BY ALL)
+    SELECT deployment, 'model-' || deployment AS model,
+           CASE WHEN deployment = 'green' THEN 'http://green' ELSE '' END AS base_url,
+           128 AS max_tokens, deployment = 'blue' AS thinking, 12.0::DOUBLE AS ttft_slo_s,
+           knee_concurrency, max(output_tok_per_s) OVER (PARTITION BY deployment) AS peak_output_tok_per_s,
+           concurrency, {", ".join(serving_queries._METRICS)}, coalesce(errors, '') AS errors
+    FROM levels JOIN knees USING (deployment) LEFT JOIN errors USING (deployment, concurrency)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """K5: finished sweep documents, written and read back."""
+    path = _path(spark, "sweeps")
+    sinks.write_documents(serving_queries.sweeps(spark, folder), path)
+    read = spark.read.schema(f"deployment string, {readers.SWEEP_SCHEMA}").json(path)
+    levels = read.withColumn("l", F.explode("levels"))
+    return levels.select(
+        "deployment",
+        "model",
+        "base_url",
+        "max_tokens",
+        F.col("chat_template_kwargs.enable_thinking").alias("thinking"),
+        "ttft_slo_s",
+        "knee_concurrency",
+        "peak_output_tok_per_s",
+        "l.concurrency",
+        *[f"l.{m}" for m in serving_queries._METRICS],
+        serving_queries.shown_errors(F.col("l.errors")).alias("errors"),
+    )
+
+
+@query(
+    "read_reports",
+    serving_queries.LEVELS
+    + """ SELECT 'model-' || deployment AS report, count(*)::BIGINT AS levels, '' AS reason
+          FROM levels GROUP BY deployment
+          UNION ALL SELECT 'broken', 0, 'not a readable report' FROM (
+              SELECT DISTINCT event_type FROM events)
+          UNION ALL SELECT 'absent', 0, 'absent'""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Sound reports, one broken report for each kind of event, and a folder without any."""
+    path = _path(spark, "reports")
+    documents = serving_queries.sweeps(spark, folder)
+    whole = documents.select("deployment", F.to_json(F.struct(*documents.columns)).alias("value"))
+    cut = table(spark, folder, "events").select(
+        F.col("event_type").alias("deployment"), F.lit('{"levels": [').alias("value")
+    )
+    rows = whole.unionByName(cut.distinct())
+    rows.repartition("deployment").write.partitionBy("deployment").text(path)
+    good, bad = readers.read_reports(spark, f"{path}/*/*.txt")
+    none, absent = readers.read_reports(spark, f"{path}/nowhere/*.txt")
+    return (
+        good.unionByName(none)
+        .select(F.col("model").alias("report"), F.size("levels").cast("bigint").alias("levels"), F.lit("").alias("reason"))
+        .unionByName(bad.select(F.lit("broken").alias("report"), F.lit(0).cast("bigint").alias("levels"), "reason"))
+        .unionByName(
+            absent.select(F.lit("absent").alias("report"), F.lit(0).cast("bigint").alias("levels"), F.lit("absent").alias("reason"))
+        )
+    )
 
 
 @query(

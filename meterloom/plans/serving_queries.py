@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.functions import replies as R
@@ -18,6 +18,7 @@ from meterloom.plans.inputs import (
     with_sql,
 )
 from meterloom.plans.registry import query
+from meterloom.session import stage
 
 SLO_S = 12.0
 GPU_SKU = "Standard_NC24ads_A100_v4"
@@ -92,25 +93,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("quantile", F.round("quantile", 6))
 
 
-_KNEE = """knees AS (
-    SELECT deployment,
-           max(concurrency) FILTER (WHERE succeeded > 0 AND ttft_p95 <= 12.0 AND clean) AS knee_concurrency,
-           arg_max(output_tok_per_s, concurrency) FILTER (WHERE succeeded > 0 AND ttft_p95 <= 12.0 AND clean)
-               AS knee_tok_per_s,
-           arg_max(requests_per_s, concurrency) FILTER (WHERE succeeded > 0 AND ttft_p95 <= 12.0 AND clean)
-               AS knee_requests_per_s
-    FROM (SELECT *, CASE WHEN deployment = 'blue' THEN concurrency <= 8 ELSE failed = 0 END AS clean
-          FROM levels) GROUP BY 1)"""
+_PASSES = "FILTER (WHERE succeeded > 0 AND failed = 0 AND ttft_p95 <= 12.0)"
+_KNEE = f"""knees AS (
+    SELECT deployment, max(concurrency) {_PASSES} AS knee_concurrency,
+           arg_max(output_tok_per_s, concurrency) {_PASSES} AS knee_tok_per_s,
+           arg_max(requests_per_s, concurrency) {_PASSES} AS knee_requests_per_s
+    FROM levels GROUP BY 1)"""
 
 
 def knees(spark: SparkSession, folder: str) -> DataFrame:
-    # Every level of the given events has failures; blue counts as clean up to level 8 so
-    # that both outcomes, a knee and none, occur.
-    excused = (F.col("deployment") == "blue") & (F.col("concurrency") <= 8)
-    cleaned = levels(spark, folder).withColumn(
-        "failed", F.when(excused, F.lit(0)).otherwise(F.col("failed"))
-    )
-    return serving.find_knee(cleaned, SLO_S)
+    return serving.find_knee(levels(spark, folder), SLO_S)
 
 
 @query("find_knee", LEVELS + ", " + _KNEE + " SELECT * FROM knees")
@@ -258,14 +250,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return reports.level_metrics(levels(spark, folder))
 
 
+def shown_errors(errors: Column) -> Column:
+    """Error counts in the order of their names."""
+    named = F.transform(
+        F.array_sort(F.map_entries(errors)), lambda e: F.concat_ws("=", e["key"], e["value"])
+    )
+    return F.array_join(named, ";")
+
+
 def sweeps(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished sweep documents, with what each sweep was asked to do."""
     asked = requests(spark, folder)
-    found = serving.level_summary(asked)
+    found = stage(serving.level_summary(asked), "levels")
+    settings = found.select("deployment").distinct().select(
+        "deployment",
+        F.concat(F.lit("model-"), "deployment").alias("model"),
+        F.when(F.col("deployment") == "green", F.lit("http://green")).otherwise("").alias("base_url"),
+        F.lit(128).alias("max_tokens"),
+        F.create_map(F.lit("enable_thinking"), F.col("deployment") == "blue").alias("chat_template_kwargs"),
+        F.lit(SLO_S).alias("ttft_slo_s"),
+    )
     return reports.sweep_reports(
         found,
         serving.error_histogram(asked),
-        knees(spark, folder).select("deployment", "knee_concurrency"),
+        serving.find_knee(found, SLO_S).select("deployment", "knee_concurrency"),
         serving.sweep_totals(found).select("deployment", "peak_output_tok_per_s"),
+        settings,
     )
 
 
@@ -274,17 +284,18 @@ def sweeps(spark: SparkSession, folder: str) -> DataFrame:
     LEVELS
     + f""", {_KNEE},
     errors AS (
-        SELECT deployment, concurrency, count(*)::BIGINT AS kinds FROM (
-            SELECT DISTINCT deployment, concurrency, split_part(error, chr(10), 1) AS error
-            FROM requests WHERE NOT ok) GROUP BY ALL),
+        SELECT deployment, concurrency, string_agg(error || '=' || n, ';' ORDER BY error) AS kinds
+        FROM (SELECT deployment, concurrency, split_part(error, chr(10), 1) AS error, count(*) AS n
+              FROM requests WHERE NOT ok GROUP BY ALL) GROUP BY ALL),
     flat AS (
         SELECT deployment, 'bench.c' || concurrency || '.' || field AS name, metric,
                NULL AS tag
         FROM (SELECT deployment, concurrency, unnest({_METRICS}) AS field,
               unnest([{", ".join(m + "::DOUBLE" for m in _METRICS)}]) AS metric FROM levels)
         UNION ALL SELECT deployment, 'bench.c' || concurrency || '.errors', NULL,
-               kinds::VARCHAR FROM errors
+               kinds FROM errors
         UNION ALL SELECT deployment, 'bench.model', NULL, 'model-' || deployment FROM knees
+        UNION ALL SELECT 'green', 'bench.base_url', NULL, 'http://green'
         UNION ALL SELECT deployment, 'bench.max_tokens', 128, NULL FROM knees
         UNION ALL SELECT deployment, 'bench.ttft_slo_s', 12, NULL FROM knees
         UNION ALL SELECT deployment, 'bench.peak_output_tok_per_s', max(output_tok_per_s), NULL
@@ -298,17 +309,10 @@ def sweeps(spark: SparkSession, folder: str) -> DataFrame:
     SELECT deployment, name, metric::DOUBLE AS metric, tag FROM flat""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    documents = (
-        sweeps(spark, folder)
-        .withColumn("model", F.concat(F.lit("model-"), "deployment"))
-        .withColumn("base_url", F.lit(""))
-        .withColumn("max_tokens", F.lit(128))
-        .withColumn("ttft_slo_s", F.lit(SLO_S))
-    )
-    flat = reports.flatten_sweeps(documents, ["deployment"])
-    kinds = F.size(F.from_json("tag", "map<string,bigint>")).cast("string")
+    flat = reports.flatten_sweeps(sweeps(spark, folder), ["deployment"])
+    said = shown_errors(F.from_json("tag", "map<string,bigint>"))
     return flat.withColumn(
-        "tag", F.when(F.col("name").endswith(".errors"), kinds).otherwise(F.col("tag"))
+        "tag", F.when(F.col("name").endswith(".errors"), said).otherwise(F.col("tag"))
     )
 
 
@@ -429,18 +433,35 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         SELECT DISTINCT file_id AS run_id, CASE WHEN substr(file_id, 6)::INTEGER % 3 = 0
                THEN 'swept' ELSE 'server_exited' END AS status FROM logs
         UNION ALL SELECT run_id, '' FROM bodies)
-    SELECT run_id, 'bench.status' AS name, NULL::DOUBLE AS metric FROM runs WHERE status <> ''
-    UNION ALL SELECT run_id, 'bench.smoke.prompt_tokens', 11 FROM bodies
+    , ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY line_no) AS rn,
+               count(*) OVER (PARTITION BY file_id) AS n FROM block),
+    kept AS (
+        SELECT file_id, line_no AS place, 0 AS late, line FROM ranked WHERE n <= 28 OR rn <= 6 OR rn > n - 22
+        UNION ALL SELECT file_id, line_no, 1, '... ' || (n - 28) || ' lines omitted ...'
+        FROM ranked WHERE n > 28 AND rn = 6
+        UNION ALL SELECT file_id, line_no, 0, line FROM (
+            SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY line_no) AS rn
+            FROM started WHERE first_speaker = '') WHERE rn <= 28),
+    tails AS (
+        SELECT file_id, line_no AS place, 0 AS late, line FROM logs
+        QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY line_no DESC) <= 40),
+    said AS (
+        SELECT name, file_id, regexp_replace(string_agg(line || chr(10), '' ORDER BY place, late),
+            '^\\s+|\\s+$', '', 'g') AS tag
+        FROM (SELECT 'bench.vllm_cause' AS name, * FROM kept
+              UNION ALL SELECT 'bench.vllm_tail', * FROM tails) GROUP BY ALL)
+    SELECT run_id, 'bench.status' AS name, NULL::DOUBLE AS metric, status AS tag FROM runs
+        WHERE status <> ''
+    UNION ALL SELECT run_id, 'bench.smoke.prompt_tokens', 11, NULL FROM bodies
         WHERE kind < 6 AND turn <> 3
-    UNION ALL SELECT run_id, 'bench.smoke.completion_tokens', completion_tokens FROM bodies
+    UNION ALL SELECT run_id, 'bench.smoke.completion_tokens', completion_tokens, NULL FROM bodies
         WHERE completion_tokens IS NOT NULL
-    UNION ALL SELECT run_id, 'bench.smoke.total_tokens', completion_tokens + 11 FROM bodies
+    UNION ALL SELECT run_id, 'bench.smoke.total_tokens', completion_tokens + 11, NULL FROM bodies
         WHERE completion_tokens IS NOT NULL
-    UNION ALL SELECT run_id, 'bench.smoke.reply', NULL FROM bodies WHERE content <> ''
-    UNION ALL SELECT run_id, 'bench.vllm_tail', NULL FROM runs WHERE status = 'server_exited'
-    UNION ALL SELECT DISTINCT run_id, 'bench.vllm_cause', NULL FROM runs
-        JOIN started ON file_id = run_id
-        WHERE status = 'server_exited'""",
+    UNION ALL SELECT run_id, 'bench.smoke.reply', NULL, content FROM bodies WHERE content <> ''
+    UNION ALL SELECT run_id, name, NULL, tag FROM runs JOIN said ON file_id = run_id
+        WHERE status = 'server_exited' AND tag <> ''""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     lines = log_rows(spark, folder)
@@ -452,6 +473,4 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("status", F.when(number % 3 == 0, "swept").otherwise("server_exited"))
         .unionByName(replies.select("run_id", F.lit("").alias("status")))
     )
-    return reports.build_report(runs, replies=replies, log_lines=lines).select(
-        "run_id", "name", "metric"
-    )
+    return reports.build_report(runs, replies=replies, log_lines=lines)

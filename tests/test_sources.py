@@ -61,9 +61,26 @@ def test_a_sweep_report_flattens(spark, tmp_path):
     assert flat["bench.knee_concurrency_none"] == reports.NO_KNEE
     assert "bench.knee_concurrency" not in flat and "bench.c4.concurrency" not in flat
     assert (flat["bench.levels"], flat["bench.failed_total"], flat["bench.model"]) == (1.0, 1.0, "m")
-    sinks.publish(reports.flatten_sweeps(good), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out/metrics")).filter("name = 'bench.max_tokens'").first().metric == 128.0
-    assert spark.read.parquet(str(tmp_path / "out/tags")).filter("name = 'bench.base_url'").count() == 1
+    flat = reports.flatten_sweeps(good)
+    out = str(tmp_path / "out")
+    sinks.publish(flat, out)
+    other = flat.withColumn("run_id", F.lit("other"))
+    sinks.publish(other, out)
+    # Published again, without its tags: nothing of what it said before is left.
+    sinks.publish(flat.filter("tag is null").withColumn("metric", F.col("metric") + 1), out)
+    metrics, tags = sinks.published(spark, out)
+    assert {r.run_id: r.metric for r in metrics.filter("name = 'bench.max_tokens'").collect()} == {"run": 129.0, "other": 128.0}
+    assert metrics.count() == 2 * flat.filter("metric is not null").count()
+    assert {r.run_id for r in tags.collect()} == {"other"}
+
+
+def test_a_batch_that_broke_off_is_not_seen(spark, tmp_path):
+    flat = spark.createDataFrame([("a", "m", 1.0, None), ("a", "t", None, "x")], "run_id string, name string, metric double, tag string")
+    out = str(tmp_path / "out")
+    sinks.publish(flat, out)
+    flat.select("run_id", "name", F.lit(9.0).alias("metric")).write.parquet(f"{out}/metrics/batch=zzz")
+    metrics, tags = sinks.published(spark, out)
+    assert [r.metric for r in metrics.collect()] == [1.0] and tags.count() == 1
 
 
 def test_deployment_comparisons_line_up_by_prompt(spark, tmp_path):
