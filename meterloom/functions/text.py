@@ -28,11 +28,17 @@ WORD = r"\p{L}\p{N}_"
 # Precomposed syllables, conjoining jamo, compatibility jamo.
 HANGUL = r"\x{ac00}-\x{d7a3}\x{1100}-\x{11ff}\x{3130}-\x{318f}"
 
-# Code points that NFC may change, or that may combine with what precedes them: all but
-# Latin, dashes and quotes, and Hangul syllables. A text without any is already composed and
-# skips the Arrow hop; for other scripts the hop is cheaper than a finer test would be.
-# Written as what to find, because negated classes of several ranges are slow to match.
+# Code points that NFC may change, or that may combine with what precedes them, lie in these
+# ranges; so do many that stay as they are. Latin, dashes and quotes, Hangul syllables,
+# Chinese characters, kana and full-width forms do not, so such a text is composed already
+# and skips the Arrow hop. The coarse class has few ranges, because the regex engine tries
+# each on every character; the fine one is asked only where the coarse one has found
+# something. Written as what to find: negated classes of several ranges are slow to match.
 NFC_SUSPECT = r"\x{300}-\x{200f}\x{2028}-\x{abff}\x{d7a4}-\x{10ffff}"
+NFC_SUSPECT_FINE = (
+    r"\x{300}-\x{200f}\x{2028}-\x{2fff}\x{302a}-\x{302f}\x{3099}\x{309a}"
+    r"\x{a66f}-\x{abff}\x{d7a4}-\x{feff}\x{fff0}-\x{10ffff}"
+)
 
 
 @F.pandas_udf(StringType())
@@ -47,7 +53,8 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def nfc(text: Column) -> Column:
     """Canonical composition. Rows that cannot change cross to Python as null."""
-    suspect = F.when(text.rlike(f"[{NFC_SUSPECT}]"), text)
+    found = F.when(text.rlike(f"[{NFC_SUSPECT}]"), text.rlike(f"[{NFC_SUSPECT_FINE}]"))
+    suspect = F.when(found, text)
     return F.coalesce(_compose(suspect), text)
 
 

@@ -75,18 +75,31 @@ def answer_with(
     """Add ``reply`` and ``error`` columns by calling ``respond`` inside the tasks.
 
     ``respond`` takes the prompts of one Arrow batch and returns a text or an exception
-    for each. A row whose ``error`` is already set is not asked. If the call itself
-    raises, every prompt of the batch is retried alone, so one bad question costs one row.
+    for each. A row whose ``error`` is already set is not asked.
+
+    A call that raises is made again with each half of its prompts, so that what can be
+    answered is, and one bad prompt among n is found in about 2 log2(n) more calls. Of a
+    call that returns too few answers, those it gave are kept: they are in order, and only
+    the prompts after them are asked again, until a call returns none. Surplus answers are
+    dropped. The run never ends for what a client does.
     """
     schema = rows.withColumn(reply, F.lit("")).withColumn(error, F.lit("")).schema
 
     def ask(prompts: list[str]) -> list[object]:
-        try:
-            return list(respond(prompts))
-        except Exception as exc:  # noqa: BLE001 - becomes the rows' error text
-            if len(prompts) == 1:
-                return [exc]
-            return [ask([p])[0] for p in prompts]
+        done: list[object] = []
+        while len(done) < len(prompts):
+            left = prompts[len(done) :]
+            try:
+                found = list(respond(left))[: len(left)]
+            except Exception as exc:  # noqa: BLE001 - becomes the rows' error text
+                if len(left) == 1:
+                    return [*done, exc]
+                half = len(left) // 2
+                return [*done, *ask(left[:half]), *ask(left[half:])]
+            if not found:
+                return [*done, *[RuntimeError("no answer was returned")] * len(left)]
+            done += found
+        return done
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterloom.session import stage
+
 BLOCK_ROWS = 1 << 16
 # Pieces of the positions with about equally many rows each, and blocks in all of them.
 PIECES = 64
@@ -180,7 +182,9 @@ def take_first(
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     """Number the rows 0, 1, 2, ... in reading order.
 
-    Only one row per input partition is ordered globally.
+    A row knows its place in its own split; all it lacks is how many rows come before that
+    split. These counts, one a split, are written as a table small enough to be sent to the
+    readers, so no row is moved.
     """
     tagged = df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
         "_part", F.shiftright("_id", 33)
@@ -195,7 +199,7 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     )
     inside = F.col("_id").bitwiseAND((1 << 33) - 1)
     return (
-        tagged.join(offsets, "_part")
+        tagged.join(stage(offsets, "offsets"), "_part")
         .withColumn(name, F.col("_offset") + inside)
         .drop("_id", "_part", "_offset")
     )

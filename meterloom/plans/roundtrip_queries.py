@@ -158,8 +158,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "read_questions",
-    """SELECT 'q' || conv_id || '-' || turn AS id, text AS question FROM conversations
-       WHERE role = 'user'""",
+    """SELECT count(*)::BIGINT AS questions, count(*)::BIGINT AS numbered,
+              bit_xor(('0x' || substr(md5('q' || conv_id || '-' || turn || text), 1, 12))::BIGINT) AS content
+       FROM conversations WHERE role = 'user'""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Questions from lines of JSON; positions count them without a gap."""
@@ -172,28 +173,43 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("q"), "conv_id", F.lit("-"), "turn").alias(name), F.col("text").alias(text)
     ).write.json(path)
     found = readers.read_questions(spark, path)
-    return found.select(F.col(name).alias("id"), F.col(text).alias("question"))
+    content = F.conv(F.substring(F.md5(F.concat(F.col(name), F.col(text))), 1, 12), 16, 10)
+    return found.agg(
+        F.count(F.lit(1)).alias("questions"),
+        # Positions from 0 without a gap or a repeat: as many as the largest says.
+        F.when(F.count_distinct("position") == F.max("position") + 1, F.max("position") + 1).alias("numbered"),
+        F.bit_xor(content.cast("bigint")).alias("content"),
+    )
 
 
 @query(
     "read_logs",
-    """SELECT event_type AS file, count(*)::BIGINT AS lines, count(*)::BIGINT AS last_line,
-              sum(length(props))::BIGINT AS characters FROM events GROUP BY 1""",
+    """SELECT event_type AS kind, count(*)::BIGINT AS lines, count(*)::BIGINT AS numbered,
+              sum(length(props))::BIGINT AS characters,
+              bit_xor(hash_of) AS content FROM (
+           SELECT *, ('0x' || substr(md5(props), 1, 12))::BIGINT AS hash_of FROM events)
+       GROUP BY 1""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """A log file for each kind of event, numbered from 1."""
+    """Log files of each kind of event, as many as tasks wrote them, numbered from 1."""
     path = _path(spark, "logs")
     events = table(spark, folder, "events").select("event_type", F.col("props").alias("value"))
-    events.repartition("event_type").write.partitionBy("event_type").text(path)
-    lines = readers.read_logs(spark, f"{path}/*/*.txt")
-    return (
-        lines.withColumn("file", F.regexp_extract("file_id", "event_type=([^/]+)/", 1))
-        .groupBy("file")
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.max("line_no").alias("last_line"),
-            F.sum(F.length("line")).cast("bigint").alias("characters"),
-        )
+    events.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("event_type").text(path)
+    content = F.conv(F.substring(F.md5("line"), 1, 12), 16, 10).cast("bigint")
+    files = readers.read_logs(spark, f"{path}/*/*.txt").groupBy("file_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        # Numbers without a gap or a repeat: as many different ones as the largest says.
+        F.when(
+            (F.min("line_no") == 1) & (F.count_distinct("line_no") == F.max("line_no")), F.max("line_no")
+        ).alias("numbered"),
+        F.sum(F.length("line")).alias("characters"),
+        F.bit_xor(content).alias("content"),
+    )
+    return files.groupBy(F.regexp_extract("file_id", "event_type=([^/]+)/", 1).alias("kind")).agg(
+        F.sum("lines").alias("lines"),
+        F.sum("numbered").alias("numbered"),
+        F.sum("characters").cast("bigint").alias("characters"),
+        F.bit_xor("content").alias("content"),
     )
 
 
@@ -203,12 +219,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
        GROUP BY lang) UNION ALL SELECT 'absent', false, 0""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """A source for each language, and one that is not there."""
+    """A source for each language there is, and one that is not there."""
     path = _path(spark, "sources")
-    table(spark, folder, "documents").select("lang", F.col("text").alias("instruction")).write.partitionBy(
-        "lang"
-    ).json(path)
-    names = ("en", "fr", "de", "es")
+    texts = table(spark, folder, "documents").select("lang", F.col("text").alias("instruction"))
+    texts.write.partitionBy("lang").json(path)
+    names = [r.lang for r in texts.select("lang").distinct().collect()]  # a source each
     found, status = readers.read_sources(
         spark, {n: f"{path}/lang={n}" for n in names} | {"absent": f"{path}/lang=absent"}, "json"
     )

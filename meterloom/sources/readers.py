@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterloom.operators.ordered import with_position
+from meterloom.session import stage
 
 INSTRUCTION_FIELDS = ("instruction", "input", "output")
 
@@ -136,8 +137,9 @@ def sweep_levels(reports: DataFrame) -> DataFrame:
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """``file_id, line_no, line`` with line numbers from 1; bad bytes are replaced.
 
-    Files are read split by split, so a file of any size is spread over tasks. Only the
-    line counts of the splits are put in order.
+    Files are read split by split, so a file of any size is spread over tasks. A line knows
+    its place in its split; the line counts of the splits, put in order, are written as a
+    table small enough to be sent to the readers, so no line is moved.
     """
     split = ["file_id", "_start"]
     raw = spark.read.text(path).select(
@@ -155,7 +157,7 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    return raw.join(offsets, split).select(
+    return raw.join(stage(offsets, "splits"), split).select(
         "file_id",
         (F.col("_offset") + F.col("_id") - F.col("_first") + 1).alias("line_no"),
         "line",

@@ -134,3 +134,38 @@ def test_confidence_of_the_published_delta(spark):
     assert row.std_error == pytest.approx(0.08)
     assert row.half_width_95 == pytest.approx(0.157, abs=1e-3)
     assert row.outside
+
+
+def test_one_bad_question_among_many_is_found_by_halving(spark, tmp_path):
+    """What can be answered is answered, and the calls grow with the logarithm."""
+    log = str(tmp_path / "calls")
+
+    def answer(prompts):
+        with open(log, "a") as out:
+            out.write("x")
+        if any(p == "q611" for p in prompts):
+            raise ValueError("cannot")
+        return [f"a {p}" for p in prompts]
+
+    asked = spark.createDataFrame([(f"q{i}",) for i in range(1000)], "question string").coalesce(1)
+    found = evaluation.answer_with(asked, answer, "question", "reply", "error", "failed").collect()
+    assert {r.question for r in found if r.error} == {"q611"}
+    assert all(r.reply == f"a {r.question}" for r in found if not r.error)
+    assert len(open(log).read()) <= 2 * 10 + 2
+
+
+def test_a_short_list_of_answers_costs_rows_not_the_run(spark):
+    def some(prompts):
+        return [f"a {p}" for p in prompts[:3]]
+
+    def none(prompts):
+        return []
+
+    def surplus(prompts):
+        return [f"a {p}" for p in prompts] + ["more"]
+
+    asked = spark.createDataFrame([(f"q{i}",) for i in range(10)], "question string").coalesce(1)
+    for respond, wanted in ((some, 10), (none, 0), (surplus, 10)):
+        found = evaluation.answer_with(asked, respond, "question", "reply", "error", "failed").collect()
+        assert sum(r.reply == f"a {r.question}" for r in found) == wanted
+        assert sum(r.error == "failed: no answer was returned" for r in found) == 10 - wanted

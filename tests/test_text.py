@@ -170,3 +170,23 @@ def test_a_low_repeat_limit_uses_the_exact_ratio(spark):
     )
     assert corpus.score(rows, max_repeat_ratio=0.2).first()["reasons"] == ["repetitive"]
     assert corpus.score(rows, max_repeat_ratio=0.25).first()["reasons"] == []
+
+
+def test_every_character_that_composition_may_change_is_suspected():
+    """Over all of Unicode: what changes, combines, or stands second in a composed character."""
+    import sys
+
+    coarse = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", T.NFC_SUSPECT) + "]")
+    fine = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", T.NFC_SUSPECT_FINE) + "]")
+    second = set(map(chr, [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]))
+    for code in range(sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(code)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            second.add(chr(int(parts[1], 16)))
+    for code in range(sys.maxunicode + 1):
+        c = chr(code)
+        if unicodedata.combining(c) or c in second or unicodedata.normalize("NFC", c) != c:
+            assert coarse.match(c) and fine.match(c), hex(code)
+    for text in ("漢字とかなカナ、。「」", "中文文本，没有变化。", "ＡＢＣ１２", "한국어 문장입니다."):
+        assert not fine.search(text)
+    assert fine.search("\u304b\u3099") and fine.search("\u1100\u1161")
