@@ -344,19 +344,21 @@ def test_the_tagger_adds_what_is_hidden_and_leaves_clean_texts_alone(spark, tagg
     assert hits >= 2
 
 
-def test_spans_of_the_patterns_stay_and_fit_and_find_repeat(spark, tagged):
+def test_spans_of_the_patterns_stay_and_fits_repeat(spark, tagged, monkeypatch):
     docs, model = tagged
-    again = pii.fit(docs.repartition(7), "text")
-    assert all(np.array_equal(model.tagger.p[k], again.tagger.p[k]) for k in model.tagger.p)
+    monkeypatch.setattr(pii, "EPOCHS", 1)
+    one, two = (pii.fit(docs.repartition(n), "text").tagger.p for n in (7, 2))
+    assert all(np.array_equal(one[k], two[k]) for k in one)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    added = 0
+    added = []
     for r in pii.find(docs, "text", model).collect():
         base = [(s.start, pii.KINDS.index(s.kind), s.end) for s in r.base]
         assert base == plain_spans(texts[r.doc_id])
         every = [(s.start, pii.KINDS.index(s.kind), s.end) for s in r.spans]
         assert set(base) <= set(every) and every == sorted(every)
-        added += len(every) - len(base)
-    assert added <= 5
+        added += [texts[r.doc_id][a:b] for a, kind, b in every if (a, kind, b) not in base]
+    # Cards behind another number, with which the pattern takes them for one that fails.
+    assert all(len(a) == 16 and pii.luhn(a) for a in added) and len(added) < 20
 
 
 def test_personal_data_in_odd_rows_and_empty_tables(spark, odd):

@@ -170,6 +170,34 @@ def test_shards_are_even_and_without_gaps(spark):
     assert spark.read.parquet(path).count() == 1003
 
 
+def test_op9_gives_every_row_its_shard_and_slot(spark, tmp_path):
+    """Against a plain version: rows by curve, part and id, cut into runs; ties, copies, odd rows."""
+    import zlib
+
+    import xxhash
+
+    rng = random.Random(3)
+    rows = [(i * 3 - 200, " ".join(rng.choices(["a", "bé", "東"], k=rng.randint(0, 300))), f"src{rng.randrange(20)}", rng.choice(["en", "de", None])) for i in range(700)]
+    rows += [(5000 + i, "copy", "src1", "en") for i in range(400)] + [(9000, None, None, None), (9001, "", "", "en"), (9002, "x" * 300_000, "src3", "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.QUERIES["op9_hilbert"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+
+    def part(doc_id):
+        h = xxhash.xxh64_intdigest(int(doc_id).to_bytes(8, "little", signed=True), 42)
+        return (h - (1 << 64) if h >> 63 else h) % hilbert.SPREAD
+
+    order = sorted(found, key=lambda i: (found[i].curve, part(i), i))
+    each, more = divmod(len(order), queries.SHARDS)
+    sizes = [each + (s < more) for s in range(queries.SHARDS)]
+    wanted = [(s, k) for s, n in enumerate(sizes) for k in range(n)]
+    assert [(found[i].shard, found[i].slot) for i in order] == wanted
+    for doc_id, text, *_ in rows:
+        raw = (text or "").encode()
+        r = found[doc_id]
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 8, zlib.crc32(raw), "rows", None)
+
+
 # Names that the operators use themselves, and odd ones.
 CLASHING = (
     "key", "id", "_id", "_source", "kept", "spans", "n_removed", "epoch", "block", "place", "score",
