@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.runs import GRAM, WIDTH, runs_of, substring_hashes
+from meterloom.llm.runs import WIDTH, runs_of, substring_hashes
 from meterloom.llm.shared import sliced, staged, text_bytes, with_columns
 from meterloom.llm.shingles import mixed, powers, prefix_hashes
 

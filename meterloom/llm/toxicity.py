@@ -19,6 +19,7 @@ examples themselves, each left out of its own vote.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +40,7 @@ BLOCK = 32
 READ_AT_ONCE = 1 << 15  # postings, at first
 IN_FULL = 64
 TIED = 1e-9
-REMEMBERED = 50_000
+REMEMBERED = 10_000
 FILTER_BITS = 20
 
 
@@ -412,8 +413,8 @@ def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent)
         model.steps, model.values = steps, values
-        # Texts with the same features as one before have its neighbours.
-        found: dict[tuple[bytes, bytes], tuple[float, list[dict]]] = {}
+        # Texts with the same features as one before (by a digest) have its neighbours.
+        found: dict[bytes, tuple[float, list[dict]]] = {}
         for batch in sliced(batches, text):
             row, feature, times = model.known.counts(*text_bytes(batch.column(text)))
             score = np.full(batch.num_rows, model.calibrated(model.prior))
@@ -421,7 +422,7 @@ def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
             for a, b in zip(cuts, [*cuts[1:], len(row)]):
                 f, t = feature[a:b], times[a:b]
-                same = (f.tobytes(), t.tobytes())
+                same = hashlib.blake2b(f.tobytes() + t.tobytes(), digest_size=16).digest()
                 if same not in found:
                     if len(found) >= REMEMBERED:
                         found.clear()
