@@ -236,26 +236,64 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "registry_read",
-    """SELECT 'source-' || source AS key, lang || '-' || source AS dataset_id,
-              list_contains(['en', 'de'], lang) AS commercial_use
-       FROM (SELECT DISTINCT source, lang FROM documents)""",
+    """WITH pairs AS (SELECT DISTINCT source, lang FROM documents)
+       SELECT 'dataset' AS section, lang || '/' || source AS name,
+              concat_ws('|', lang || '-' || source, 'mit', lang IN ('en', 'de'), 'text') AS entry FROM pairs
+       UNION ALL SELECT 'mix', lang || '-all', 'all of ' || lang || '|'
+              || string_agg(lang || '/' || source, ',' ORDER BY source) FROM pairs GROUP BY lang
+       UNION ALL SELECT 'suite', lang || '-suite', string_agg('b-' || lang || source, ',' ORDER BY source)
+              FROM pairs GROUP BY lang
+       UNION ALL SELECT 'benchmark', 'b-' || lang || source,
+              concat_ws('|', lang || '-' || source, 'cc', true, 'acc', 'task_' || source, source = 'src1') FROM pairs""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Registry entries (configuration: one for each source and language)."""
-    entries = table(spark, folder, "documents").select("source", "lang").distinct().collect()
-    config = {
-        "datasets": [
-            {
-                "key": f"source-{r.source}",
-                "dataset_id": f"{r.lang}-{r.source}",
-                "license": "mit",
-                "commercial_use": r.lang in ("en", "de"),
-                "kind": "text",
-            }
-            for r in entries
-        ]
-    }
-    return readers.registry_tables(spark, config)[1].select("key", "dataset_id", "commercial_use")
+    """A registry file for each language, written and read: all four of its tables."""
+    path = _path(spark, "registry")
+    lang, source = F.col("lang"), F.col("source")
+    key, bench, name = F.concat(lang, F.lit("/"), source), F.concat(F.lit("b-"), lang, source), F.concat(lang, F.lit("-"), source)
+    pairs = table(spark, folder, "documents").select("source", "lang").distinct()
+    entry = F.struct(
+        source,
+        F.struct(
+            key.alias("key"), name.alias("dataset_id"), F.lit("mit").alias("license"),
+            lang.isin("en", "de").alias("commercial_use"), F.lit("text").alias("kind"),
+        ).alias("dataset"),
+        F.struct(
+            bench.alias("key"), name.alias("dataset_id"), F.lit("cc").alias("license"), F.lit(True).alias("eval_only"),
+            F.lit("acc").alias("metric"), F.concat(F.lit("task_"), source).alias("harness_task"),
+            # Left out where no judge is needed.
+            F.when(source == "src1", F.lit(True)).alias("judge_required"),
+        ).alias("benchmark"),
+    )
+    # A registry has an entry for each source of a language.
+    entries = pairs.groupBy("lang").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    keys = F.transform("e", lambda e: e["dataset"]["key"])
+    entries.select(
+        "lang",
+        F.transform("e", lambda e: e["dataset"]).alias("datasets"),
+        F.create_map(
+            F.concat(lang, F.lit("-all")),
+            F.struct(F.concat(F.lit("all of "), lang).alias("description"), keys.alias("datasets")),
+        ).alias("mixes"),
+        F.transform("e", lambda e: e["benchmark"]).alias("benchmarks"),
+        F.create_map(F.concat(lang, F.lit("-suite")), F.transform("e", lambda e: e["benchmark"]["key"])).alias("suites"),
+    ).write.partitionBy("lang").json(path)
+    mixes_, datasets, suites, benchmarks = readers.read_registry(spark, path)
+
+    def rows(section: str, found: DataFrame, name: str, *columns: Column) -> DataFrame:
+        said = F.concat_ws("|", *[c.cast("string") for c in columns])
+        return found.select(F.lit(section).alias("section"), F.col(name).alias("name"), said.alias("entry"))
+
+    return (
+        rows("dataset", datasets, "key", *[F.col(c) for c in ("dataset_id", "license", "commercial_use", "kind")])
+        .unionByName(rows("mix", mixes_, "mix", F.col("description"), F.array_join("datasets", ",")))
+        .unionByName(rows("suite", suites, "suite", F.array_join("benchmarks", ",")))
+        .unionByName(
+            rows("benchmark", benchmarks, "key", *[
+                F.col(c) for c in ("dataset_id", "license", "eval_only", "metric", "harness_task", "judge_required")
+            ])
+        )
+    )
 
 
 @query(

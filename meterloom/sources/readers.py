@@ -199,3 +199,32 @@ def benchmark_tables(spark: SparkSession, config: Mapping) -> tuple[DataFrame, D
             "metric string, harness_task string, judge_required boolean",
         ),
     )
+
+
+REGISTRY_SCHEMA = """
+    datasets array<struct<key: string, dataset_id: string, license: string,
+                          commercial_use: boolean, kind: string>>,
+    mixes map<string, struct<description: string, datasets: array<string>>>,
+    benchmarks array<struct<key: string, dataset_id: string, license: string, eval_only: boolean,
+                            metric: string, harness_task: string, judge_required: boolean>>,
+    suites map<string, array<string>>
+"""
+
+
+def read_registry(
+    spark: SparkSession, path: str
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``(mixes, datasets, suites, benchmarks)`` of the registry files under a path.
+
+    A file holds one registry as JSON; any of its four sections may be absent. An entry that
+    does not say whether a judge is required needs none.
+    """
+    files = spark.read.schema(REGISTRY_SCHEMA).json(path, multiLine=True)
+    mixes = files.select(F.explode("mixes").alias("mix", "_m")).select("mix", "_m.*")
+    benchmarks = files.select(F.inline("benchmarks"))
+    return (
+        mixes.withColumn("datasets", F.coalesce("datasets", F.array().cast("array<string>"))),
+        files.select(F.inline("datasets")),
+        files.select(F.explode("suites").alias("suite", "benchmarks")),
+        benchmarks.withColumn("judge_required", F.coalesce("judge_required", F.lit(False))),
+    )
