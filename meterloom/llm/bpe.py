@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from meterloom.llm.shared import received, send, sliced, text_bytes, with_columns
+from meterloom.llm.shared import freed, received, send, sliced, text_bytes, with_columns
 
 # The splitting pattern of byte-level vocabularies. The commonest alternative comes first:
 # no other can start with a letter, or with a space before one.
@@ -433,7 +433,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
             rows = encode_texts(vocabulary, words, list(_texts(batch.column(text))))
             yield with_columns(batch, **{ids: pa.array(rows, pa.binary())})
 
-    return df.mapInArrow(run, _schema(df, ids, T.BinaryType()))
+    return df.mapInArrow(freed(run), _schema(df, ids, T.BinaryType()))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -455,7 +455,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
             ]
             yield with_columns(batch, **{text: pa.array(rows, pa.string())})
 
-    return df.mapInArrow(run, _schema(df, text, T.StringType()))
+    return df.mapInArrow(freed(run), _schema(df, text, T.StringType()))
 
 
 def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:

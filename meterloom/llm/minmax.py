@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterloom.llm.components import components
-from meterloom.llm.shared import checkpointed, sliced, staged, text_bytes
+from meterloom.llm.shared import checkpointed, freed, sliced, staged, text_bytes
 from meterloom.llm.shingles import mixed, shingle_sets
 
 WORDS = 5
@@ -117,7 +117,7 @@ def signatures(df: DataFrame) -> DataFrame:
                 SIGNATURES.names,
             )
 
-    return df.mapInArrow(run, SIGNATURES)
+    return df.mapInArrow(freed(run), SIGNATURES)
 
 
 def full_sets(df: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def full_sets(df: DataFrame) -> DataFrame:
                 [batch.column("id"), pa.array(rows, pa.binary())], ["id", "shingles"]
             )
 
-    return df.mapInArrow(run, "id bigint, shingles binary")
+    return df.mapInArrow(freed(run), "id bigint, shingles binary")
 
 
 def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 good.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(freed(run), "a bigint, b bigint")
 
 
 def _to_groups(left: DataFrame, labelled: DataFrame, docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def freed(run: Callable) -> Callable:
+    """``run`` over Arrow batches, after which its worker gives back what it no longer uses.
+
+    Workers serve one task after another. What a large model or many small arrays leave
+    behind in the allocators would otherwise stay with them beside the next task's.
+    """
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library
+            if trim:
+                trim(0)
+
+    return through
+
+
 def sliced(
     batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

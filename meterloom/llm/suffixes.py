@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.runs import WIDTH, runs_of, substring_hashes
-from meterloom.llm.shared import sliced, staged, text_bytes, with_columns
+from meterloom.llm.shared import freed, sliced, staged, text_bytes, with_columns
 from meterloom.llm.shingles import mixed, powers, prefix_hashes
 
 CELL = 8
@@ -213,7 +213,7 @@ def resolved(entries: DataFrame) -> DataFrame:
         for at in range(0, len(left["key"]), PIECE):
             yield _found(_take(left, slice(at, at + PIECE)), OPEN)
 
-    return entries.repartition("key").mapInArrow(run, FOUND)
+    return entries.repartition("key").mapInArrow(freed(run), FOUND)
 
 
 def _run_entries(docs: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def _run_entries(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return docs.mapInArrow(run, ENTRIES)
+    return docs.mapInArrow(freed(run), ENTRIES)
 
 
 def _closer_entries(docs: DataFrame, still: DataFrame, width: int) -> DataFrame:
@@ -268,7 +268,7 @@ def _closer_entries(docs: DataFrame, still: DataFrame, width: int) -> DataFrame:
                     }
                 )
 
-    return docs.join(spans, "id").select("id", "text", "spans").mapInArrow(run, ENTRIES)
+    return docs.join(spans, "id").select("id", "text", "spans").mapInArrow(freed(run), ENTRIES)
 
 
 def _pieces(sizes: np.ndarray) -> Iterator[slice]:
@@ -361,7 +361,7 @@ def repeated_spans(df: DataFrame, identity: str, text: str = "text") -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, kind)], ["id", "spans"])
 
     return staged(
-        gathered.mapInArrow(run, "id bigint, spans array<struct<from: bigint, to: bigint>>"), "spans"
+        gathered.mapInArrow(freed(run), "id bigint, spans array<struct<from: bigint, to: bigint>>"), "spans"
     )
 
 
@@ -412,6 +412,6 @@ def without_repeats(
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return joined.mapInArrow(
-        run,
+        freed(run),
         f"{fields}, n_removed bigint, spans array<struct<from: bigint, to: bigint>>, kept binary",
     )

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.shared import checkpointed, received, send, sliced, text_bytes
+from meterloom.llm.shared import checkpointed, freed, received, send, sliced, text_bytes
 from meterloom.llm.shingles import mixed, powers, prefix_hashes
 
 EXAMPLES = 2_000  # of each class, at most
@@ -282,7 +282,7 @@ def weigh_features(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0)
     share = totals["yes"] / totals["n"]
     counts = (
-        examples.mapInArrow(run, "h bigint, yes bigint, n bigint")
+        examples.mapInArrow(freed(run), "h bigint, yes bigint, n bigint")
         .groupBy("h")
         .agg(F.sum("yes").alias("yes"), F.sum("n").alias("n"))
     )
@@ -329,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
 
     total = docs.count()
     holding = np.zeros(n)
-    counts = docs.mapInArrow(held, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.mapInArrow(freed(held), "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
     holding[counts["f"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     worth = np.log1p(total / np.maximum(holding, 1)) * surprise
 
@@ -344,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
             )
 
     kept = (
-        examples.mapInArrow(counted, "id bigint, toxic int, f array<int>, n array<int>")
+        examples.mapInArrow(freed(counted), "id bigint, toxic int, f array<int>, n array<int>")
         .orderBy("id")
         .toArrow()
     )
@@ -369,7 +369,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes)], ["id", "vote"])
 
     parts = max(1, min(len(toxic) // 64, 4 * docs.sparkSession.sparkContext.defaultParallelism))
-    rows = docs.sparkSession.range(0, len(toxic), 1, parts).mapInArrow(voted, "id bigint, vote double").toPandas()
+    rows = docs.sparkSession.range(0, len(toxic), 1, parts).mapInArrow(freed(voted), "id bigint, vote double").toPandas()
     votes = np.full(len(toxic), prior)
     votes[rows["id"].to_numpy(np.int64)] = rows["vote"].to_numpy()
     model.sent = whole
@@ -438,4 +438,4 @@ def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{fields}, {SCORED}")
+    return df.mapInArrow(freed(run), f"{fields}, {SCORED}")
