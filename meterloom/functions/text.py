@@ -9,7 +9,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -41,9 +41,18 @@ NFC_SUSPECT_FINE = (
 )
 
 
-@F.pandas_udf(StringType())
-def _compose(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+AT_ONCE = 64  # texts that are Python strings at the same time
+
+
+@F.arrow_udf(StringType())
+def _compose(texts: pa.Array) -> pa.Array:
+    if texts.null_count == len(texts):
+        return texts
+    parts = (texts.slice(at, AT_ONCE) for at in range(0, len(texts), AT_ONCE))
+    return pa.concat_arrays([
+        pa.array([t if t is None else unicodedata.normalize("NFC", t) for t in part.to_pylist()], texts.type)
+        for part in parts
+    ])
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:

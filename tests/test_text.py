@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,13 @@ def test_every_character_that_composition_may_change_is_suspected():
     for text in ("漢字とかなカナ、。「」", "中文文本，没有变化。", "ＡＢＣ１２", "한국어 문장입니다."):
         assert not fine.search(text)
     assert fine.search("\u304b\u3099") and fine.search("\u1100\u1161")
+
+
+def test_composition_holds_few_texts_as_strings():
+    texts = pa.array(["e\u0301 " * 2000, None] * 1000)
+    tracemalloc.start()
+    found = T._compose.func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == ["\xe9 " * 2000, None] * 1000
+    assert peak < 2 << 20  # all of them are over 12 MB
