@@ -158,12 +158,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "read_questions",
-    """SELECT count(*)::BIGINT AS questions, count(*)::BIGINT AS numbered,
-              bit_xor(('0x' || substr(md5('q' || conv_id || '-' || turn || text), 1, 12))::BIGINT) AS content
+    """SELECT 'q' || conv_id || '-' || turn AS id, text AS question, (count(*) OVER ())::BIGINT AS numbered
        FROM conversations WHERE role = 'user'""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Questions from lines of JSON; positions count them without a gap."""
+    """Every question from lines of JSON, and how many their positions count without a gap."""
     path = _path(spark, "questions")
     asked = table(spark, folder, "conversations").filter("role = 'user'")
     name = readers.QUESTION_SCHEMA.split(",")[0].split()[0].strip(" `:")
@@ -173,13 +172,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("q"), "conv_id", F.lit("-"), "turn").alias(name), F.col("text").alias(text)
     ).write.json(path)
     found = readers.read_questions(spark, path)
-    content = F.conv(F.substring(F.md5(F.concat(F.col(name), F.col(text))), 1, 12), 16, 10)
-    return found.agg(
-        F.count(F.lit(1)).alias("questions"),
-        # Positions from 0 without a gap or a repeat: as many as the largest says.
-        F.when(F.count_distinct("position") == F.max("position") + 1, F.max("position") + 1).alias("numbered"),
-        F.bit_xor(content.cast("bigint")).alias("content"),
+    # Positions from 0 without a gap or a repeat: as many as the largest says.
+    numbered = found.agg(
+        F.when(F.count_distinct("position") == F.max("position") + 1, F.max("position") + 1).alias("numbered")
     )
+    return found.select(F.col(name).alias("id"), F.col(text).alias("question")).crossJoin(F.broadcast(numbered))
 
 
 @query(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterloom.operators import reports, serving
+from meterloom.plans.catalog import QUERIES
 from meterloom.plans.serving_job import accounts_of, flat_report, summarise_sweep
 from meterloom.session import stage
 from meterloom.sources import readers, sinks
@@ -161,3 +162,14 @@ def test_frames_to_flat_report(spark):
     assert found["bench.c2.errors"] == '{"no tokens streamed":1}'
     assert found["bench.knee_concurrency_none"] == reports.NO_KNEE
     assert "bench.base_url" not in found
+
+
+def test_the_questions_query_returns_every_question(spark, tmp_path):
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "c"), (2, 0, "user", "c"), (3, 2, "user", None)]
+    spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet")
+    )
+    found = QUERIES["read_questions"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        ("q1-0", "a", 4), ("q2-0", "c", 4), ("q2-0", "c", 4), ("q3-2", None, 4)
+    ]
