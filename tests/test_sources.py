@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -173,3 +174,15 @@ def test_the_questions_query_returns_every_question(spark, tmp_path):
     assert sorted(map(tuple, found.collect()), key=str) == [
         ("q1-0", "a", 4), ("q2-0", "c", 4), ("q2-0", "c", 4), ("q3-2", None, 4)
     ]
+
+
+def test_the_rendering_function_of_a_caller_stays_on_arrow_arrays(spark, tmp_path):
+    asked = ["é" * i + "x" * 20 for i in range(5)]
+    texts = [(i, f"{q}\nso ü", "en", "s", 0) for i, q in enumerate(asked)] + [(9, None, "en", "s", 0)]
+    spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    found = QUERIES["render_hook"](spark, str(tmp_path))
+    assert "], 200" not in found._jdf.queryExecution().toString()  # strings of pandas
+    wanted = {i: hashlib.md5(f"{len(t)}:{t}".encode()).hexdigest() for i, t, *_ in texts if t}
+    assert {r.row_id: r.text_md5 for r in found.collect()} == wanted
