@@ -52,8 +52,6 @@ class Sums(NamedTuple):
 
 
 class Accounts(Held):
-    HELD = """seq bigint, at_ms bigint, at_us bigint, is_done boolean, text bigint, content bigint,
-        thinking bigint, usage bigint, finish string"""
     KNOWN = """start bigint, last bigint, first bigint, counted bigint, content bigint,
         thinking bigint, usage bigint, finish string, done boolean, late bigint, told boolean"""
 

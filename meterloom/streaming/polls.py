@@ -14,7 +14,6 @@ FEED_SCHEMA = "job string, poll bigint, status string, previous string, reason s
 class Changes(Held):
     """The last poll of a job, and the polls that the watermark has not passed."""
 
-    HELD = "poll bigint, at_ms bigint, status string, reason string"
     KNOWN = "poll bigint, at_ms bigint, status string"
 
     def __init__(self, keep_ms: int, give_up_ms: int) -> None:

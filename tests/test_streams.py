@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterloom.operators import logs, streams
 from meterloom.streaming.frames import account_live
-from meterloom.streaming.held import use_rocksdb
+from meterloom.streaming.held import Held, use_rocksdb
 from meterloom.streaming.polls import status_feed, watch_progress
 
 FRAMES = "request_id string, seq long, ts timestamp, line string"
@@ -232,3 +232,47 @@ def test_the_closing_tag_may_be_spread_over_chunks(spark, block_rows):
         thinking, content = found.get(r.request_id, ("", ""))
         found[r.request_id] = (thinking + r.thinking, content + r.content)
     assert found == expected
+
+
+class Kept:
+    """A list or value of the state, and how often the store was asked."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.rows))
+
+    def appendList(self, rows):
+        self.calls += 1
+        self.rows += rows
+
+    def put(self, rows):
+        self.calls += 1
+        self.rows = list(rows)
+
+    def clear(self):
+        self.put([])
+
+
+def test_what_waits_for_the_watermark_is_held_packed_and_not_opened():
+    class Told(Held):
+        def fold(self, key, known, ready, now):
+            return [r[0] for r in ready], None, None
+
+    class Nothing(Kept):
+        def get(self):
+            super().get()
+            return None
+
+    told, timers = Told(), []
+    told.held, told.known = Kept(), Nothing()
+    told.handle = type("Handle", (), {"registerTimer": staticmethod(timers.append)})
+    dealt = [[(3, 30), (1, 10)], [(4, 40)], [(2, 20)]]
+    assert [list(told._advance(("k",), rows, 0)) for rows in dealt] == [[], [], []]
+    # A piece and at most a timer a batch; two reads and a write.
+    assert len(told.held.rows) == 3 and timers == [31, 41]
+    assert told.held.calls + told.known.calls == 9
+    assert list(told._advance(("k",), [], 35)) == [1, 2, 3]
+    assert list(told._advance(("k",), [(5, 50)], 60)) == [4, 5] and told.held.rows == []
