@@ -293,6 +293,41 @@ def test_spans_that_an_edge_cuts_are_joined():
     assert pii.reconciled([a, b, c], [(190, 3, 195)], text)[:1] != joined[:1]
 
 
+def test_windows_without_a_digit_or_an_at_sign_are_read_too():
+    text = "x " * 150 + "kim(at)mail.example.org " + "y " * 40
+
+    class Stub:
+        def quiet(self, x):
+            return np.zeros(len(x), bool)
+
+        def decode(self, x):
+            tags = np.zeros(x.shape, np.int64)
+            for row, window in enumerate(x):
+                at = "".join(map(chr, window)).find("kim(at)mail.example.org")
+                if at >= 0:
+                    tags[row, at : at + 23] = [1] + [2] * 22
+            return tags, np.ones(x.shape)
+
+    assert [s[:3] for s in pii.added(Stub(), [text, "", "z"], [[], [], []])[0]] == [(300, 0, 323)]
+    for n in (0, 1, 127, 128, 129, 192, 193, 700):
+        read = {i for s in pii.every_start("x" * n) for i in range(s, s + pii.WINDOW)}
+        assert read >= set(range(n))
+
+
+def test_quiet_windows_have_no_span():
+    rng = np.random.default_rng(4)
+    for seed, shift in ((1, 4.0), (2, 5.0), (3, 2.0)):
+        model = Tagger(seed=seed)
+        model.p["next"] = rng.normal(0, 0.3, model.p["next"].shape)
+        model.p["out"] *= 3
+        model.p["tag"][0] = shift
+        x = rng.integers(0, 130, (300, pii.WINDOW))
+        quiet, spans = model.quiet(x), model.decode(x)[0].any(axis=1)
+        assert not (quiet & spans).any()
+        if shift == 5.0:
+            assert quiet.any()
+
+
 @pytest.fixture(scope="module")
 def tagged(spark):
     """Documents of several hands, and a model of them."""
