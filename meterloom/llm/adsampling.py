@@ -33,6 +33,8 @@ COLUMNS = 16
 CONFIDENCE = 2.1  # of the test: larger gives up later
 CHUNK = 4096
 QUERIES = 1024
+AT_ONCE = 64  # queries of a chunk
+PAIRS = 1 << 14
 SEED = 5
 
 
@@ -71,54 +73,73 @@ def nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     )
 
 
-def survivors(columns: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
-    """Rows (of vectors stored column by column) that the partial distances do not rule out.
+def survivors(rows: np.ndarray, queries: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which rows (second axis) the partial distances to each query do not rule out.
 
     After d of D rotated dimensions, the squared distance so far times D / d is held
-    against the bound, widened by the confidence over the square root of d.
+    against the bound, widened by the confidence over the square root of d. A product of
+    matrices gives the distances in a block of columns; rows and queries of which all is
+    given up do not see the next block.
     """
-    dimension, n = columns.shape
-    alive, partial = np.arange(n), np.zeros(n)
+    dimension = rows.shape[1]
+    alive = np.ones((len(queries), len(rows)), bool)
+    asked, left = np.arange(len(queries)), np.arange(len(rows))
+    partial, here = np.zeros(alive.shape), alive
     for at in range(0, dimension, COLUMNS):
         seen = min(at + COLUMNS, dimension)
-        apart = columns[at:seen, alive] - query[at:seen, None]
-        partial = partial + (apart * apart).sum(axis=0)
+        q, r = queries[asked, at:seen], rows[left, at:seen]
+        partial -= 2 * (q @ r.T)
+        partial += (q * q).sum(axis=1)[:, None]
+        partial += (r * r).sum(axis=1)
         slack = 1.0 if seen == dimension else (1 + CONFIDENCE / math.sqrt(seen)) ** 2
-        keep = partial * (dimension / seen) <= bound * slack * (1 + 1e-9) + 1e-12
-        alive, partial = alive[keep], partial[keep]
-        if not len(alive):
-            break
+        most = (bounds[asked] * slack * (1 + 1e-9) + 1e-12) * (seen / dimension)
+        here = here & (partial <= most[:, None])
+        some, others = here.any(axis=1), here.any(axis=0)
+        if not (some.all() and others.all()):
+            gone = np.zeros(alive.shape, bool)
+            gone[np.ix_(asked[some], left[others])] = here[np.ix_(some, others)]
+            alive, asked, left = gone, asked[some], left[others]
+            partial, here = partial[np.ix_(some, others)], here[np.ix_(some, others)]
+        if not here.size:
+            return np.zeros(alive.shape, bool)
+    alive[np.ix_(asked, left)] = here
     return alive
 
 
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, most: float, k: int) -> pd.DataFrame:
     """The k nearest rows of a chunk for each query, those behind its bound left out."""
-    out = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [
+        (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    ]
     if len(queries) and len(rows):
         original = np.stack(rows["v"].to_numpy())
         turn = rotation(original.shape[1] + 1, SEED).T
-        columns = np.ascontiguousarray((lengthened(original, most, False) @ turn).T)
+        placed = lengthened(original, most, False) @ turn
         wide, ids = original.astype(np.float64), rows["id"].to_numpy()
         asked = np.stack(queries["v"].to_numpy())
-        turned = lengthened(asked, most, True) @ turn
-        for i, (query_id, bound) in enumerate(zip(queries["id"], queries["bound"])):
-            bound = np.inf if bound is None or np.isnan(bound) else bound
-            if np.isinf(bound) and len(ids) > 4 * k:
+        turned, asked = lengthened(asked, most, True) @ turn, asked.astype(np.float64)
+        names, bounds = queries["id"].to_numpy(), queries["bound"].to_numpy(np.float64, na_value=np.inf)
+        for at in range(0, len(asked), AT_ONCE):
+            some = slice(at, at + AT_ONCE)
+            bound = np.where(np.isnan(bounds[some]), np.inf, bounds[some])
+            if len(ids) > 4 * k and np.isinf(bound).any():
                 # No bound yet: the distances of a first few rows give one.
-                few = columns[:, : 4 * k] - turned[i][:, None]
-                bound = np.partition((few * few).sum(axis=0), k)[k]
-            alive = survivors(columns, turned[i], bound)
-            alive = alive[ids[alive] != query_id]
-            score = (wide[alive] * asked[i].astype(np.float64)).sum(axis=1)
-            top = np.lexsort((ids[alive], -score))[:k]
-            out.append(
-                pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][top], "score": score[top]})
-            )
-    if not out:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-            {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-        )
-    return pd.concat(out, ignore_index=True)
+                few, new = placed[: 4 * k], np.flatnonzero(np.isinf(bound))
+                apart = _distances(turned[some][new], few) + (turned[some][new] ** 2).sum(axis=1)[:, None]
+                bound[new] = np.partition(apart, k, axis=1)[:, k]
+            of, row = np.nonzero(survivors(placed, turned[some], bound))
+            other = ids[row] != names[some][of]
+            of, row = of[other], row[other]
+            score = np.concatenate([
+                (wide[row[a : a + PAIRS]] * asked[some][of[a : a + PAIRS]]).sum(axis=1)
+                for a in range(0, max(len(row), 1), PAIRS)
+            ])
+            order = np.lexsort((ids[row], -score, of))
+            of, row, score = of[order], row[order], score[order]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            out.append((names[some][of][place < k], ids[row][place < k], score[place < k]))
+    query_id, vec_id, score = (np.concatenate(column) for column in zip(*out))
+    return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
 
 
 def _scan(asked: DataFrame, rows: DataFrame, most: float, k: int) -> DataFrame:

@@ -304,3 +304,17 @@ def test_mix_in_sql(spark):
         frame = docs.toPandas()  # noqa: F841
         want = connection.sql(mixing.mix_sql("frame", **queries.MIX)).fetchall()
     assert sorted(map(tuple, mixed.collect())) == sorted(want)
+
+
+def test_partial_distances_give_up_the_same_rows_for_many_queries_at_once():
+    rng = np.random.default_rng(8)
+    rows, queries = rng.normal(size=(300, 37)), rng.normal(size=(9, 37))
+    bounds = np.array([np.inf, 20.0, 30.0, 40.0, 0.0, 50.0, 60.0, 45.0, np.inf])
+    found = adsampling.survivors(rows, queries, bounds)
+    assert found.shape == (9, 300) and found[0].all() and not found[4].any()
+    for query, bound, alive in zip(queries, bounds, found):
+        wanted = np.ones(300, bool)
+        for seen in (16, 32, 37):
+            slack = 1.0 if seen == 37 else (1 + adsampling.CONFIDENCE / seen**0.5) ** 2
+            wanted &= ((rows - query)[:, :seen] ** 2).sum(axis=1) * 37 / seen <= bound * slack
+        assert (alive == wanted).all()
