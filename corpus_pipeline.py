@@ -100,7 +100,8 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no ids. Every row is encoded, repeated ones too. An empty table
     stays empty. Only ``doc_id`` and ``text`` are read.
     """
-    encoded = bpe.encode(docs.select("doc_id", "text"), queries.TOKENIZER).drop("text")
+    # Written in between, so that a task does not need a worker for each of the two at once.
+    encoded = staged(bpe.encode(docs.select("doc_id", "text"), queries.TOKENIZER).drop("text"), "ids")
     return bpe.decode(encoded, queries.TOKENIZER).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

@@ -32,6 +32,7 @@ PATTERN = (
 )
 CACHED_WORDS = 200_000
 SHORT_WORD = 256
+TOGETHER = 4096  # words
 SEEN_BITS = 20
 _FOREVER = 1 << 30
 
@@ -374,7 +375,11 @@ class _Words(dict):
         if len(self) >= CACHED_WORDS:
             self.clear()
         new = [w for w in set(words).difference(self) if len(w) <= SHORT_WORD // 4]
-        self.update(zip(new, self.vocabulary.many_word_ids([w.encode() for w in new])))
+        # Some at a time, of like length: the table of prefixes is as wide as the longest.
+        new.sort(key=len)
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            self.update(zip(some, self.vocabulary.many_word_ids([w.encode() for w in some])))
 
     def __missing__(self, word: str) -> bytes:
         """A long word: encoded alone, and not kept."""

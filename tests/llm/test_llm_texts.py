@@ -331,3 +331,12 @@ def test_archive_lines_passed_over_are_counted():
     assert dict(zip(arc.ARC_SCHEMA.names, found))["passed_over"] == 3
     with pytest.raises(ValueError):
         list(arc.arc_records("x.arc", b"odd\n", True))
+
+
+def test_the_token_stage_needs_one_worker_a_task(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
+    found = corpus_pipeline.to_tokens(spark, docs, "")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_tokens > 0) for r in found.collect()) == [(1, True), (2, False)]
