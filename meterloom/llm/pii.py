@@ -4,7 +4,8 @@ The patterns label the tagger's examples: windows around digits and at signs, so
 their spans rewritten as people hide them (an at sign spelt out, a phone number without its
 plus). The tagger, a bidirectional LSTM with a CRF, reads overlapping windows of whole
 texts, every one: an address that is spelt out needs neither a digit nor an at sign. A
-cheaper run of the same network tells most windows without a span. Spans that a window's
+cheaper run of the same network tells the windows without a span; the others are read in
+full. Spans that a window's
 edge cuts are joined with what the next window saw of them; of all a text's candidates
 those that do not overlap and have the largest sum of posteriors stay. What overlaps a
 pattern's span is not added, nor what fails the checks of its kind
@@ -18,7 +19,6 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +137,28 @@ def every_start(text: str) -> range:
     return range(0, last + 1 if text else 0, STRIDE)
 
 
+def every_window(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All windows of some texts, ``AT_ONCE`` at a time: their text, start and characters."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n = 0
+    for at, text in enumerate(texts):
+        starts = np.asarray(every_start(text), np.int64)
+        for first in range(0, len(starts), AT_ONCE):
+            some = starts[first : first + AT_ONCE]
+            part = characters(text[some[0] : some[-1] + WINDOW])
+            padded = np.full(some[-1] + WINDOW - some[0], PAD)
+            padded[: len(part)] = part
+            windows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+            held.append((np.full(len(some), at), some, windows))
+            n += len(some)
+            if n >= AT_ONCE:
+                owners, places, x = (np.concatenate(each) for each in zip(*held))
+                yield owners[:AT_ONCE], places[:AT_ONCE], x[:AT_ONCE]
+                held, n = [(owners[AT_ONCE:], places[AT_ONCE:], x[AT_ONCE:])], n - AT_ONCE
+    if n:
+        yield tuple(np.concatenate(each) for each in zip(*held))
+
+
 def cut(text: str) -> np.ndarray:
     """The characters of a window."""
     out = np.full(WINDOW, PAD)
@@ -376,10 +398,10 @@ def added(
     def read(some: list[tuple[int, int]]) -> np.ndarray:
         return np.stack([cut(texts[o][s : s + WINDOW]) for o, s in some])
 
-    every = ((at, start) for at, text in enumerate(texts) for start in every_start(text))
     loud: list[tuple[int, int]] = []
-    while some := list(islice(every, AT_ONCE)):
-        loud += [some[i] for i in np.flatnonzero(~tagger.quiet(read(some))).tolist()]
+    for owners, starts, x in every_window(texts):
+        hit = ~tagger.quiet(x)
+        loud += zip(owners[hit].tolist(), starts[hit].tolist())
     windows: list[list[tuple[int, list]]] = [[] for _ in texts]
     for first in range(0, len(loud), AT_ONCE):
         some = loud[first : first + AT_ONCE]

@@ -171,39 +171,71 @@ class Tagger:
                     self.p[k] -= now * mean[k] / (1 - 0.9**step) / fair
         return last
 
-    def quiet(self, x: np.ndarray) -> np.ndarray:
-        """Windows whose best path is outside all along, told by a cheap run in single precision.
+    def _light(self, x: np.ndarray) -> np.ndarray:
+        """The scores of :meth:`_run` in single precision, as (time, tag, window).
 
-        What a run of characters inside gains over that path is at most the sum of the best
-        gain of each, of going in, going on and coming out. Where no run gains anything the
-        answer is certain; other windows may still have no span.
+        Sigmoids are made of exp, which numpy runs on whole vectors where it has no such tanh.
         """
         p = {k: v.astype(np.float32) for k, v in self.p.items()}
         n, steps = x.shape
         size = self.hidden
         rows, again = (p["look"] + p["bias"]).reshape(-1, 4 * size), p["again"]
-        for weights in (rows, again):  # a sigmoid is half of 1 + tanh of the half
-            weights[..., : 3 * size] *= 0.5
+        for weights in (rows, again):  # a sigmoid is 1 / (1 + exp(-z)), a tanh 2 / (1 + exp(-2 z)) - 1
+            weights[..., : 3 * size] *= -1
+            weights[..., 3 * size :] *= -2
         places = np.stack([x.T, x.T[::-1] + CHARACTERS], axis=1)
         h, c = (np.zeros((2, n, size), np.float32) for _ in range(2))
+        z, step = (np.empty((2, n, 4 * size), np.float32) for _ in range(2))
+        g, bent = (np.empty_like(c) for _ in range(2))
         outputs = np.empty((steps, 2, n, size), np.float32)
-        for t in range(steps):
-            z = np.take(rows, places[t], axis=0)
-            z += h @ again
-            np.tanh(z, out=z)
-            i, f, o, g = (z[:, :, k * size : (k + 1) * size] for k in range(4))
-            c = 0.5 * ((f + 1) * c + (i + 1) * g)
-            h = np.multiply(0.5 * (o + 1), np.tanh(c), out=outputs[t])
-        scores = outputs[:, 0] @ p["out"][:size] + outputs[::-1, 1] @ p["out"][size:] + p["tag"]
-        after, ways = self._next() - self.p["next"][0, 0], allowed()
-        enter, leave = float(after[0, 1:].max()), max(0.0, float(after[1:, 0].max()))
-        stay = float(after[1:, 1:][ways[1:, 1:]].max())
-        gain = scores[:, :, 1:].max(2) - scores[:, :, 0] + stay
-        run, best = np.full(n, -np.inf), np.full(n, -np.inf)
-        for t in range(steps):
-            run = np.maximum(run, 0) + gain[t]
-            best = np.maximum(best, run)
-        return best + (enter - stay + leave) < -MARGIN
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is the 0 that is wanted
+            for t in range(steps):
+                np.take(rows, places[t], axis=0, out=z, mode="clip")
+                z += np.matmul(h, again, out=step)
+                np.exp(z, out=z)
+                z += 1
+                np.divide(1, z, out=z)
+                np.multiply(z[:, :, 3 * size :], 2, out=g)
+                g -= 1
+                g *= z[:, :, :size]
+                c *= z[:, :, size : 2 * size]
+                c += g
+                np.multiply(c, -2, out=bent)
+                np.exp(bent, out=bent)
+                bent += 1
+                np.divide(2, bent, out=bent)
+                bent -= 1
+                h = np.multiply(z[:, :, 2 * size : 3 * size], bent, out=outputs[t])
+        sides = outputs.transpose(0, 1, 3, 2)
+        scores = p["out"][:size].T @ sides[:, 0]
+        scores += p["out"][size:].T @ sides[::-1, 1]
+        scores += p["tag"][:, None]
+        return scores
+
+    def quiet(self, x: np.ndarray) -> np.ndarray:
+        """Windows whose best path is outside all along, told by a cheap run in single precision.
+
+        A path gains over that one what its runs of characters inside gain, each from the tag
+        before it to the tag after it. The best run is found tag by tag: a kind begins with its
+        first tag and goes on from itself. Only where a kind follows another one at once does
+        the best of all stand for the tag before. Where no run gains anything the answer is
+        certain; other windows may still have no span.
+        """
+        scores = self._light(x)
+        after = (self._next() - self.p["next"][0, 0]).astype(np.float32)
+        first, more = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
+        gain = scores[:, 1:] - scores[:, :1]
+        start, other = after[0, first][:, None], after[1:, first].max(0)[:, None]
+        on, still, leave = after[first, more][:, None], after[more, more][:, None], after[1:, 0][:, None]
+        worth = np.full((TAGS - 1, len(x)), NEVER, np.float32)  # of a run that ends here, by tag
+        best = np.full(len(x), NEVER, np.float32)
+        for t in range(len(gain)):
+            fresh = np.maximum(worth.max(0) + other, start)
+            longer = np.maximum(worth[::2] + on, worth[1::2] + still)
+            worth[::2], worth[1::2] = fresh, longer
+            worth += gain[t]
+            np.maximum(best, (worth + leave).max(0), out=best)
+        return np.maximum(best, worth.max(0)) < -MARGIN
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best tags of every window, and the posterior of each."""

@@ -328,6 +328,37 @@ def test_quiet_windows_have_no_span():
             assert quiet.any()
 
 
+def test_nearly_all_windows_without_a_span_are_quiet():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 130, (400, pii.WINDOW))
+    # Inside tags that look good everywhere, and whose kind cannot begin.
+    model = Tagger(seed=1)
+    model.p["out"][:] = 0
+    model.p["tag"][2::2], model.p["tag"][1::2] = 0.5, -200.0
+    assert not model.decode(x)[0].any() and model.quiet(x).all()
+    for seed, shift in ((1, 5.0), (2, 6.0), (3, 4.0)):
+        model = Tagger(seed=seed)
+        model.p["next"] = rng.normal(0, 0.3, model.p["next"].shape)
+        model.p["out"] *= 3
+        model.p["tag"][0] = shift
+        light, full = model._light(x), model._run(x)[0]
+        assert np.abs(light.transpose(0, 2, 1) - full).max() < 1e-4
+        quiet, spans = model.quiet(x), model.decode(x)[0].any(axis=1)
+        assert not (quiet & spans).any()
+        assert (~quiet & ~spans).sum() <= 0.05 * len(x)
+
+
+def test_every_window_of_every_text_is_read_once():
+    texts = ["", "a", "bc" * 64, "d" * 129, "", "e\u20ac\U0001f600" * 20_000, "f" * 192]
+    got = list(pii.every_window(texts))
+    assert [len(x) for *_, x in got[:-1]] == [pii.AT_ONCE] * (len(got) - 1)
+    at = [(o, s) for owners, starts, _ in got for o, s in zip(owners.tolist(), starts.tolist())]
+    assert at == [(o, s) for o, t in enumerate(texts) for s in pii.every_start(t)]
+    x = np.concatenate([x for *_, x in got])
+    assert all((x[i] == pii.cut(texts[o][s : s + pii.WINDOW])).all() for i, (o, s) in enumerate(at))
+    assert list(pii.every_window(["", ""])) == []
+
+
 @pytest.fixture(scope="module")
 def tagged(spark):
     """Documents of several hands, and a model of them."""
