@@ -136,6 +136,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_rounds_of_components_leave_no_more_partitions_than_links_need(spark, monkeypatch):
+    from meterloom.llm import components as module
+
+    left = []
+
+    def counted(df):
+        out = checkpointed(df)
+        left.append(out.rdd.getNumPartitions())
+        return out
+
+    checkpointed = module.checkpointed
+    monkeypatch.setattr(module, "checkpointed", counted)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    links = [(i, i + 1) for i in range(30) if i % 10] + [(50, 60), (60, 50), (7, 7), (None, 3)]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = module.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    wanted = {i: i - (i - 1) % 10 for i in range(1, 31)} | {50: 50, 60: 50}
+    assert sorted(map(tuple, found)) == sorted(wanted.items())
+    assert len(left) > 2 and max(left[2:]) <= module.LEAST_TASKS
+
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 3), (3, 2)])
 def test_the_curve_visits_neighbours(spark, dimensions, bits):
     n = 1 << bits
