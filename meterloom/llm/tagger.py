@@ -15,6 +15,11 @@ OTHER, PAD = 128, 129  # all characters beyond ASCII; what is beyond a text's en
 CHARACTERS = 130
 NEVER = -1e4
 MARGIN = 0.01  # far more than single precision is off by
+HEAD = 20  # steps after which a run is compared with the next window's over the same characters
+AHEAD = 12  # further steps whose gates are looked at one by one
+NEAR = 0.02  # how far apart their outputs may be then, and at any step from then on
+LEEWAY = 1.5 * NEAR  # by how much outputs that are taken over count as off
+FEW = 64  # one window of so many is decoded without a closer look
 
 
 def characters(text: str) -> np.ndarray:
@@ -212,21 +217,166 @@ class Tagger:
         scores += p["tag"][:, None]
         return scores
 
+    def _gates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights in single precision, gate by gate, and those of tags over the one outside.
+
+        A sigmoid of z is (1 + tanh(z / 2)) / 2; what :meth:`_advance` calls h is twice that.
+        """
+        size = self.hidden
+        look = (self.p["look"] + self.p["bias"]).reshape(2 * CHARACTERS, 4, size).transpose(1, 0, 2).copy()
+        again = self.p["again"].reshape(2, size, 4, size).transpose(2, 0, 1, 3) / 2
+        look[:3] /= 2
+        again[:3] /= 2
+        out = (self.p["out"][:, 1:] - self.p["out"][:, :1]).reshape(2, size, TAGS - 1).transpose(0, 2, 1) / 2
+        return tuple(np.ascontiguousarray(w, np.float32) for w in (look, again, out))
+
+    def _advance(
+        self,
+        weights: tuple[np.ndarray, np.ndarray, np.ndarray],
+        places: np.ndarray,
+        h: np.ndarray,
+        c: np.ndarray,
+        gains: np.ndarray,
+        ends: tuple[np.ndarray, np.ndarray] | None = None,
+        fall: tuple[np.ndarray, np.ndarray] | None = None,
+    ) -> None:
+        """Take ``h`` and ``c`` on, in place, over the characters ``places`` (time, direction, window).
+
+        ``gains`` (time, direction, tag, window) gets what each direction adds to the tags,
+        ``ends`` the least and the largest tanh of each cell, ``fall`` the share of a cell that is
+        left at last, and the most that a small change of the first cell changes its tanh.
+        """
+        look, again, out = weights
+        z, step = (np.empty((4, *h.shape), np.float32) for _ in range(2))
+        (i, f, o, g), gates, across = z, z[:3], h.transpose(0, 2, 1)
+        bent = np.empty_like(c)
+        for t in range(len(places)):
+            for gate in range(4):
+                np.take(look[gate], places[t], axis=0, out=step[gate], mode="clip")
+            np.matmul(h, again, out=z)
+            z += step
+            np.tanh(z, out=z)
+            gates += 1
+            c *= f
+            g *= i
+            c += g
+            c *= 0.5
+            np.tanh(c, out=bent)
+            np.multiply(bent, o, out=h)
+            np.matmul(out, across, out=gains[t])
+            if ends:
+                np.minimum(ends[0], bent, out=ends[0])
+                np.maximum(ends[1], bent, out=ends[1])
+            if fall:
+                left, slope = fall
+                left *= f
+                left *= 0.5
+                np.multiply(bent, bent, out=bent)
+                np.subtract(1, bent, out=bent)
+                bent *= left
+                np.maximum(slope, bent, out=slope)
+
+    def _gains(self, x: np.ndarray) -> tuple[np.ndarray, int]:
+        """Bounds of what outputs add to tags over the one outside (time, tag, window); steps run.
+
+        Windows have an even length. Where a window's second half is the next one's first half,
+        both forward runs go over it, one of them from a fresh state; backward it is the other
+        way round. ``HEAD`` steps on, the outputs of the two mostly agree. With the same gates
+        from then on, cells that differ never differ by more, nor change sides. Their tanh
+        differ by that at most, by no more than the fresh run's ever lacked to 1, or -1, on that
+        side, and by no more than its slope and what is left of the difference allow. Where no
+        output may differ by over ``NEAR`` at any step, the fresh run's gains are taken for both,
+        raised by what outputs that are off by ``LEEWAY`` make of them; elsewhere the run goes on.
+        """
+        n, steps = x.shape
+        half = steps // 2
+        head = min(HEAD, half)
+        ahead = min(head + AHEAD, half)
+        joint = half + head
+        weights = self._gates()
+        places = np.empty((steps, 2, n), np.intp)
+        places[:, 0] = x.T
+        np.add(x.T[::-1], CHARACTERS, out=places[:, 1], dtype=np.intp)
+        gains = np.empty((steps, 2, TAGS - 1, n), np.float32)
+        h, c = (np.zeros((2, n, self.hidden), np.float32) for _ in range(2))
+        least, most, left, slope = np.ones_like(h), -np.ones_like(h), np.ones_like(h), np.zeros_like(h)
+        self._advance(weights, places[:head], h, c, gains[:head])
+        fresh_h, fresh_c = h.copy(), c.copy()
+        self._advance(weights, places[head:ahead], h, c, gains[head:ahead], (least, most), (left, slope))
+        self._advance(weights, places[ahead:half], h, c, gains[ahead:half], (least, most))
+        np.maximum(slope, left, out=slope)
+        self._advance(weights, places[half:joint], h, c, gains[half:joint])
+        same = (x[:-1, half:] == x[1:, :half]).all(axis=1)
+        alone = []
+        for side, (mine, other) in enumerate([(np.s_[:-1], np.s_[1:]), (np.s_[1:], np.s_[:-1])]):
+            apart = c[side, mine] - fresh_c[side, other]
+            room = np.where(apart > 0, 1 - least[side, other], 1 + most[side, other])
+            outward = np.where(apart > 0, least[side, other] >= 0, most[side, other] <= 0)
+            apart = np.abs(apart)
+            steep = slope[side, other] * np.where(outward, 1, np.exp(2 * np.minimum(apart, 1)))
+            apart = np.minimum(apart * np.where(steep < 1, steep, 1), room)
+            np.maximum(apart, np.abs(h[side, mine] - fresh_h[side, other]) / 2, out=apart)
+            near = apart.max(axis=1) <= NEAR
+            off = 2 * LEEWAY * np.abs(weights[2][side]).sum(axis=1)
+            np.add(gains[head:half, side, :, other], off[:, None], out=gains[joint:, side, :, mine])
+            taken = np.zeros(n, bool)
+            taken[mine] = near & same
+            alone.append(np.flatnonzero(~taken))
+        longest = max(map(len, alone))
+        if longest:
+            rows, sides = np.zeros((2, longest), np.intp), np.arange(2)[:, None]
+            for side, some in enumerate(alone):
+                rows[side, : len(some)] = some
+            rest = np.empty((steps - joint, 2, TAGS - 1, longest), np.float32)
+            self._advance(weights, places[joint:, sides, rows], h[sides, rows], c[sides, rows], rest)
+            for side, some in enumerate(alone):
+                gains[joint:, side, :, some] = rest[:, side, :, : len(some)].transpose(2, 0, 1)
+        gains[:, 0] += gains[::-1, 1]
+        return gains[:, 0], 2 * n * joint + (steps - joint) * sum(map(len, alone))
+
     def quiet(self, x: np.ndarray) -> np.ndarray:
         """Windows whose best path is outside all along, told by a cheap run in single precision.
 
         A path gains over that one what its runs of characters inside gain, each from the tag
-        before it to the tag after it. The best run is found tag by tag: a kind begins with its
-        first tag and goes on from itself. Only where a kind follows another one at once does
-        the best of all stand for the tag before. Where no run gains anything the answer is
-        certain; other windows may still have no span.
+        before it to the tag after it. Bounds of that, over all kinds at once, tell most
+        windows; where they leave more than a few, these are looked at closer. Where no run
+        gains anything the answer is certain; other windows may still have no span.
         """
-        scores = self._light(x)
+        gain, _ = self._gains(x)
+        start, other, on, still, leave = self._turns()
+        enter = np.stack([other, np.maximum(on, still)], axis=1).reshape(-1, 1)
+        gain += enter + (self.p["tag"][1:] - self.p["tag"][0]).astype(np.float32)[:, None]
+        longer = gain.max(axis=1)
+        fresh = (gain[:, ::2] + (start - other)).max(axis=1)
+        worth, best = (np.full(len(x), NEVER, np.float32) for _ in range(2))
+        for t in range(len(gain)):
+            worth += longer[t]
+            np.maximum(worth, fresh[t], out=worth)
+            np.maximum(best, worth, out=best)
+        quiet = np.maximum(best + leave.max(), worth) < -MARGIN
+        loud = np.flatnonzero(~quiet)
+        if len(loud) * FEW > len(x):
+            quiet[loud] = self._outside(x[loud])
+        return quiet
+
+    def _turns(self) -> tuple[np.ndarray, ...]:
+        """What transitions gain, by kind: to its first tag from outside and at best from another
+        kind, to further ones from the first and from themselves; by tag: to the outside."""
         after = (self._next() - self.p["next"][0, 0]).astype(np.float32)
         first, more = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
+        turns = after[0, first], after[1:, first].max(0), after[first, more], after[more, more], after[1:, 0]
+        return tuple(turn[:, None] for turn in turns)
+
+    def _outside(self, x: np.ndarray) -> np.ndarray:
+        """:meth:`quiet` by whole runs over every window.
+
+        The best run is found tag by tag: a kind begins with its first tag and goes on from
+        itself. Only where a kind follows another one at once does the best of all stand for
+        the tag before.
+        """
+        scores = self._light(x.astype(np.intp))
         gain = scores[:, 1:] - scores[:, :1]
-        start, other = after[0, first][:, None], after[1:, first].max(0)[:, None]
-        on, still, leave = after[first, more][:, None], after[more, more][:, None], after[1:, 0][:, None]
+        start, other, on, still, leave = self._turns()
         worth = np.full((TAGS - 1, len(x)), NEVER, np.float32)  # of a run that ends here, by tag
         best = np.full(len(x), NEVER, np.float32)
         for t in range(len(gain)):

@@ -348,6 +348,32 @@ def test_nearly_all_windows_without_a_span_are_quiet():
         assert (~quiet & ~spans).sum() <= 0.05 * len(x)
 
 
+def test_characters_of_two_windows_are_mostly_run_over_once_each_way():
+    rng = np.random.default_rng(5)
+    words = ["lorem", "ipsum", "kim@mail.example.org", "10.2.3.4", "sit", "\u00fcber", "x9f33a", "\n"]
+    texts = [" ".join(rng.choice(words, n)) for n in (3, 700, 40, 900)]
+    (_, _, x), *more = pii.every_window(texts)
+    assert not more
+    for seed, shift, forgets in ((1, 4.0, True), (2, 6.0, True), (3, 5.0, False)):
+        model = Tagger(seed=seed)
+        model.p["next"] = rng.normal(0, 0.3, model.p["next"].shape)
+        model.p["out"] *= 3
+        model.p["tag"][0] = shift
+        # Cells that keep what a run brought along: nothing may be taken over then.
+        model.p["bias"][:, :, 16:32] = -1.0 if forgets else 30.0
+        bounds, run = model._gains(x)
+        assert run <= 0.75 * 2 * x.size if forgets else run >= 0.95 * 2 * x.size
+        wide = x.astype(int)
+        scores = model._run(wide)[0].transpose(0, 2, 1)
+        gains = scores[:, 1:] - scores[:, :1]
+        bounds = bounds + (model.p["tag"][1:] - model.p["tag"][0])[:, None]
+        assert (bounds - gains).min() > -1e-3
+        quiet, spans = model.quiet(x), model.decode(wide)[0].any(axis=1)
+        assert not (quiet & spans).any()
+        alone = np.concatenate([model.quiet(x[i : i + 1]) for i in range(0, len(x), 9)])
+        assert not (alone & spans[::9]).any()
+
+
 def test_every_window_of_every_text_is_read_once():
     texts = ["", "a", "bc" * 64, "d" * 129, "", "e\u20ac\U0001f600" * 20_000, "f" * 192]
     got = list(pii.every_window(texts))
