@@ -33,7 +33,7 @@ from meterloom.llm.tagger import KINDS, PAD, Tagger, characters
 WINDOW, STRIDE = 128, 64
 EXAMPLES = 400  # windows of each kind, and as many without a span
 EPOCHS = 5
-AT_ONCE = 768  # windows
+AT_ONCE = 3072  # windows
 DECODED_AT_ONCE = 512  # windows
 READ_AT_ONCE = 16 << 20  # bytes of texts
 SURE = 0.95
@@ -144,13 +144,13 @@ def every_window(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     n = 0
     for at, text in enumerate(texts):
-        starts = np.asarray(every_start(text), np.int64)
+        starts = np.arange(0, every_start(text).stop, STRIDE)
         for first in range(0, len(starts), AT_ONCE):
             some = starts[first : first + AT_ONCE]
             part = characters(text[some[0] : some[-1] + WINDOW])
             padded = np.full(some[-1] + WINDOW - some[0], PAD, np.uint8)
             padded[: len(part)] = part
-            windows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+            windows = np.ndarray((len(some), WINDOW), np.uint8, padded, strides=(STRIDE, 1))
             held.append((np.full(len(some), at), some, windows))
             n += len(some)
             if n >= AT_ONCE:

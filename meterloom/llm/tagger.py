@@ -15,10 +15,11 @@ OTHER, PAD = 128, 129  # all characters beyond ASCII; what is beyond a text's en
 CHARACTERS = 130
 NEVER = -1e4
 MARGIN = 0.01  # far more than single precision is off by
-HEAD = 20  # steps after which a run is compared with the next window's over the same characters
+BLOCK = 768  # windows whose steps are taken at once: what they need stays in a core's cache
+HEAD = 18  # steps after which a run is compared with the next window's over the same characters
 AHEAD = 12  # further steps whose gates are looked at one by one
-NEAR = 0.02  # how far apart their outputs may be then, and at any step from then on
-LEEWAY = 1.5 * NEAR  # by how much outputs that are taken over count as off
+NEAR = 0.03  # how far apart their outputs may be then, and at any step from then on
+LEEWAY = NEAR  # by how much outputs that are taken over count as off
 FEW = 64  # one window of so many is decoded without a closer look
 
 
@@ -277,7 +278,8 @@ class Tagger:
                 np.maximum(slope, bent, out=slope)
 
     def _gains(self, x: np.ndarray) -> tuple[np.ndarray, int]:
-        """Bounds of what outputs add to tags over the one outside (time, tag, window); steps run.
+        """Bounds of what outputs add to tags over the one outside, as (time from each end on,
+        direction, tag, window); steps run.
 
         Windows have an even length. Where a window's second half is the next one's first half,
         both forward runs go over it, one of them from a fresh state; backward it is the other
@@ -298,14 +300,19 @@ class Tagger:
         places[:, 0] = x.T
         np.add(x.T[::-1], CHARACTERS, out=places[:, 1], dtype=np.intp)
         gains = np.empty((steps, 2, TAGS - 1, n), np.float32)
-        h, c = (np.zeros((2, n, self.hidden), np.float32) for _ in range(2))
-        least, most, left, slope = np.ones_like(h), -np.ones_like(h), np.ones_like(h), np.zeros_like(h)
-        self._advance(weights, places[:head], h, c, gains[:head])
-        fresh_h, fresh_c = h.copy(), c.copy()
-        self._advance(weights, places[head:ahead], h, c, gains[head:ahead], (least, most), (left, slope))
-        self._advance(weights, places[ahead:half], h, c, gains[ahead:half], (least, most))
+        h, c, fresh_h, fresh_c, left, slope = (np.zeros((2, n, self.hidden), np.float32) for _ in range(6))
+        least, most = np.ones_like(h), -np.ones_like(h)
+        left += 1
+        for first in range(0, n, BLOCK):
+            some = np.s_[:, first : first + BLOCK]
+            now, cells, ends, fall = h[some], c[some], (least[some], most[some]), (left[some], slope[some])
+            its, into = places[:, some[0], some[1]], gains[..., some[1]]
+            self._advance(weights, its[:head], now, cells, into[:head])
+            fresh_h[some], fresh_c[some] = now, cells
+            self._advance(weights, its[head:ahead], now, cells, into[head:ahead], ends, fall)
+            self._advance(weights, its[ahead:half], now, cells, into[ahead:half], ends)
+            self._advance(weights, its[half:joint], now, cells, into[half:joint])
         np.maximum(slope, left, out=slope)
-        self._advance(weights, places[half:joint], h, c, gains[half:joint])
         same = (x[:-1, half:] == x[1:, :half]).all(axis=1)
         alone = []
         for side, (mine, other) in enumerate([(np.s_[:-1], np.s_[1:]), (np.s_[1:], np.s_[:-1])]):
@@ -313,7 +320,8 @@ class Tagger:
             room = np.where(apart > 0, 1 - least[side, other], 1 + most[side, other])
             outward = np.where(apart > 0, least[side, other] >= 0, most[side, other] <= 0)
             apart = np.abs(apart)
-            steep = slope[side, other] * np.where(outward, 1, np.exp(2 * np.minimum(apart, 1)))
+            # A slope grows by exp(2 d) at most on the way towards zero; 1 less a square is rounded.
+            steep = (slope[side, other] + 1e-6) * np.where(outward, 1, np.exp(np.minimum(2 * apart, 80)))
             apart = np.minimum(apart * np.where(steep < 1, steep, 1), room)
             np.maximum(apart, np.abs(h[side, mine] - fresh_h[side, other]) / 2, out=apart)
             near = apart.max(axis=1) <= NEAR
@@ -331,8 +339,7 @@ class Tagger:
             self._advance(weights, places[joint:, sides, rows], h[sides, rows], c[sides, rows], rest)
             for side, some in enumerate(alone):
                 gains[joint:, side, :, some] = rest[:, side, :, : len(some)].transpose(2, 0, 1)
-        gains[:, 0] += gains[::-1, 1]
-        return gains[:, 0], 2 * n * joint + (steps - joint) * sum(map(len, alone))
+        return gains, 2 * n * joint + (steps - joint) * sum(map(len, alone))
 
     def quiet(self, x: np.ndarray) -> np.ndarray:
         """Windows whose best path is outside all along, told by a cheap run in single precision.
@@ -342,16 +349,16 @@ class Tagger:
         windows; where they leave more than a few, these are looked at closer. Where no run
         gains anything the answer is certain; other windows may still have no span.
         """
-        gain, _ = self._gains(x)
+        gains, _ = self._gains(x)
         start, other, on, still, leave = self._turns()
         enter = np.stack([other, np.maximum(on, still)], axis=1).reshape(-1, 1)
-        gain += enter + (self.p["tag"][1:] - self.p["tag"][0]).astype(np.float32)[:, None]
-        longer = gain.max(axis=1)
-        fresh = (gain[:, ::2] + (start - other)).max(axis=1)
+        enter += (self.p["tag"][1:] - self.p["tag"][0]).astype(np.float32)[:, None]
         worth, best = (np.full(len(x), NEVER, np.float32) for _ in range(2))
-        for t in range(len(gain)):
-            worth += longer[t]
-            np.maximum(worth, fresh[t], out=worth)
+        for t in range(len(gains)):
+            gain = gains[t, 0] + gains[-1 - t, 1]
+            gain += enter
+            worth += gain.max(axis=0)
+            np.maximum(worth, (gain[::2] + (start - other)).max(axis=0), out=worth)
             np.maximum(best, worth, out=best)
         quiet = np.maximum(best + leave.max(), worth) < -MARGIN
         loud = np.flatnonzero(~quiet)
