@@ -17,7 +17,7 @@ NEVER = -1e4
 MARGIN = 0.01  # far more than single precision is off by
 BLOCK = 768  # windows whose steps are taken at once: what they need stays in a core's cache
 HEAD = 18  # steps after which a run is compared with the next window's over the same characters
-AHEAD = 12  # further steps whose gates are looked at one by one
+SPELLS = (1, 2, 4, 8, 16)  # steps behind these, each spell's gates and cells are summed up
 NEAR = 0.03  # how far apart their outputs may be then, and at any step from then on
 LEEWAY = NEAR  # by how much outputs that are taken over count as off
 FEW = 64  # one window of so many is decoded without a closer look
@@ -55,7 +55,7 @@ class Tagger:
         }
         self.p["bias"][:, :, hidden : 2 * hidden] = 1.0  # remember at first
 
-    def _run(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def _run(self, x: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
         """Tag scores (time, window, tag) of windows of characters, and what the gradient needs."""
         n, steps = x.shape
         size = self.hidden
@@ -74,7 +74,8 @@ class Tagger:
             c = f * c + i * g
             bent = np.tanh(c)
             h = o * bent
-            kept.append((before, i, f, o, g, bent))
+            if keep:
+                kept.append((before, i, f, o, g, bent))
             outputs[t] = h
         joined = np.concatenate([outputs[:, 0], outputs[::-1, 1]], axis=2)
         return joined @ self.p["out"] + self.p["tag"], (both, kept, joined)
@@ -238,22 +239,22 @@ class Tagger:
         h: np.ndarray,
         c: np.ndarray,
         gains: np.ndarray,
-        ends: tuple[np.ndarray, np.ndarray] | None = None,
-        fall: tuple[np.ndarray, np.ndarray] | None = None,
-    ) -> None:
+        seen: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
+    ) -> np.ndarray | None:
         """Take ``h`` and ``c`` on, in place, over the characters ``places`` (time, direction, window).
 
-        ``gains`` (time, direction, tag, window) gets what each direction adds to the tags,
-        ``ends`` the least and the largest tanh of each cell, ``fall`` the share of a cell that is
-        left at last, and the most that a small change of the first cell changes its tanh.
+        ``gains`` (time, direction, tag, window) gets what each direction adds to the tags.
+        ``seen`` gets the least and the largest tanh of each cell, and what is left of its third
+        array after all steps; what is left after the first one is returned then.
         """
         look, again, out = weights
         z, step = (np.empty((4, *h.shape), np.float32) for _ in range(2))
         (i, f, o, g), gates, across = z, z[:3], h.transpose(0, 2, 1)
-        bent = np.empty_like(c)
-        for t in range(len(places)):
-            for gate in range(4):
-                np.take(look[gate], places[t], axis=0, out=step[gate], mode="clip")
+        bent, first = np.empty_like(c), None
+        pairs = list(zip(look, step))
+        for t, here in enumerate(places):
+            for table, part in pairs:
+                table.take(here, 0, part, "clip")
             np.matmul(h, again, out=z)
             z += step
             np.tanh(z, out=z)
@@ -265,17 +266,16 @@ class Tagger:
             np.tanh(c, out=bent)
             np.multiply(bent, o, out=h)
             np.matmul(out, across, out=gains[t])
-            if ends:
-                np.minimum(ends[0], bent, out=ends[0])
-                np.maximum(ends[1], bent, out=ends[1])
-            if fall:
-                left, slope = fall
+            if seen:
+                least, most, left = seen
+                np.minimum(least, bent, out=least)
+                np.maximum(most, bent, out=most)
                 left *= f
-                left *= 0.5
-                np.multiply(bent, bent, out=bent)
-                np.subtract(1, bent, out=bent)
-                bent *= left
-                np.maximum(slope, bent, out=slope)
+                if first is None:
+                    first = left * 0.5
+        if seen:
+            left *= 0.5 ** len(places)
+        return first
 
     def _gains(self, x: np.ndarray) -> tuple[np.ndarray, int]:
         """Bounds of what outputs add to tags over the one outside, as (time from each end on,
@@ -293,26 +293,30 @@ class Tagger:
         n, steps = x.shape
         half = steps // 2
         head = min(HEAD, half)
-        ahead = min(head + AHEAD, half)
         joint = half + head
+        cuts = [*[head + s for s in (0, *SPELLS) if head + s < half], half]
         weights = self._gates()
         places = np.empty((steps, 2, n), np.intp)
         places[:, 0] = x.T
         np.add(x.T[::-1], CHARACTERS, out=places[:, 1], dtype=np.intp)
         gains = np.empty((steps, 2, TAGS - 1, n), np.float32)
-        h, c, fresh_h, fresh_c, left, slope = (np.zeros((2, n, self.hidden), np.float32) for _ in range(6))
+        h, c, fresh_h, fresh_c, slope = (np.zeros((2, n, self.hidden), np.float32) for _ in range(5))
         least, most = np.ones_like(h), -np.ones_like(h)
-        left += 1
         for first in range(0, n, BLOCK):
             some = np.s_[:, first : first + BLOCK]
-            now, cells, ends, fall = h[some], c[some], (least[some], most[some]), (left[some], slope[some])
+            now, cells = h[some], c[some]
             its, into = places[:, some[0], some[1]], gains[..., some[1]]
             self._advance(weights, its[:head], now, cells, into[:head])
             fresh_h[some], fresh_c[some] = now, cells
-            self._advance(weights, its[head:ahead], now, cells, into[head:ahead], ends, fall)
-            self._advance(weights, its[ahead:half], now, cells, into[ahead:half], ends)
+            left = np.ones_like(cells)
+            for a, b in zip(cuts, cuts[1:]):
+                low, high = np.ones_like(cells), -np.ones_like(cells)
+                first_left = self._advance(weights, its[a:b], now, cells, into[a:b], (low, high, left))
+                flat = np.maximum(np.maximum(low, -high), 0)
+                np.maximum(slope[some], first_left * (1 - flat * flat), out=slope[some])
+                np.minimum(least[some], low, out=least[some])
+                np.maximum(most[some], high, out=most[some])
             self._advance(weights, its[half:joint], now, cells, into[half:joint])
-        np.maximum(slope, left, out=slope)
         same = (x[:-1, half:] == x[1:, :half]).all(axis=1)
         alone = []
         for side, (mine, other) in enumerate([(np.s_[:-1], np.s_[1:]), (np.s_[1:], np.s_[:-1])]):
@@ -396,7 +400,7 @@ class Tagger:
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best tags of every window, and the posterior of each."""
-        scores, _ = self._run(x)
+        scores, _ = self._run(x, keep=False)
         a, b, _, _ = self._sums(scores)
         posterior = a * b
         after = self._next()
