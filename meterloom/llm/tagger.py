@@ -289,6 +289,8 @@ class Tagger:
         side, and by no more than its slope and what is left of the difference allow. Where no
         output may differ by over ``NEAR`` at any step, the fresh run's gains are taken for both,
         raised by what outputs that are off by ``LEEWAY`` make of them; elsewhere the run goes on.
+        That the gates are the same holds but for what outputs within ``NEAR`` change in them;
+        this is not bounded, and measured to be far below the raise.
         """
         n, steps = x.shape
         half = steps // 2
@@ -351,7 +353,8 @@ class Tagger:
         A path gains over that one what its runs of characters inside gain, each from the tag
         before it to the tag after it. Bounds of that, over all kinds at once, tell most
         windows; where they leave more than a few, these are looked at closer. Where no run
-        gains anything the answer is certain; other windows may still have no span.
+        gains anything there is no span, as far as the bounds of :meth:`_gains` hold; other
+        windows may still have none.
         """
         gains, _ = self._gains(x)
         start, other, on, still, leave = self._turns()
